@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, pii, quality, sharding, token_output
+from . import bpe, chat, decontam, jaccard, lm, pii, quality, sharding, token_output
 from .common import bounded_batches, table, text_or_empty, tokenizer_path
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and item found in it."""
+    bounded_batches(spark)
+    found = decontam.leaks(F.col("text"), table(spark, sf_dir, "benchmark"))
+    leaked = table(spark, sf_dir, "documents").select("doc_id", found.alias("found")).where(F.size("found") > 0)
+    return leaked.select("doc_id", F.inline("found"))
+
+
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     found = table(spark, sf_dir, "documents").select("doc_id", pii.pii_spans(text_or_empty()).alias("found"))
@@ -112,6 +130,9 @@ def op10_token_output(spark: SparkSession, sf_dir: str, path: str | None = None)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
+        "op2_lm": op2_lm,
+        "op3_jaccard": op3_jaccard,
         "op4_pii": op4_pii,
         "op5_bpe": op5_bpe,
         "op6_chat": op6_chat,
