@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-CLASSES, DIM, NOISE, BATCH, ROUNDS, RATE = 1024, 16, 16, 2048, 2, 0.1
+CLASSES, DIM, NOISE, BATCH, ROUNDS, RATE = 1024, 16, 16, 512, 2, 0.2
 HOT_WORDS = 100_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 400_000

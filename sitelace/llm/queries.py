@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, jaccard, lm, pii, quality, sharding, token_output
+from . import bpe, chat, decontam, jaccard, lm, pii, quality, secrets, sharding, token_output
 from .common import bounded_batches, table, text_or_empty, tokenizer_path
 
 
@@ -65,6 +65,22 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(planted)))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", secrets.secret_spans(F.col("text")).alias("found"))
+    said = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["rank"] < secrets.BASE)
+    return found.select(
+        "doc_id",
+        *(count(r.kind) for r in secrets.RULES[: secrets.BASE]),
+        F.sha2(F.concat_ws(",", F.transform(base, said)), 256).alias("base_sha256"),
+        F.concat_ws(",", F.transform("found", said)).alias("spans"),
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     at = F.col("quality_ledger")
@@ -136,6 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii": op4_pii,
         "op5_bpe": op5_bpe,
         "op6_chat": op6_chat,
+        "op7_secrets": op7_secrets,
         "op8_quality": op8_quality,
         "op9_sharding": op9_sharding,
         "op10_token_output": op10_token_output,

@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 from cases import DOCS, documents, odd_texts
-from sitelace.llm import bpe, chat, pii, quality, queries, sharding, token_output
+from sitelace.llm import bpe, chat, pii, quality, queries, secrets, sharding, token_output
 from sitelace.llm.common import tokenizer_path
 from tokenizers import Tokenizer
 
@@ -194,3 +194,49 @@ def test_shuffle_is_uniform(spark):
         for r in sharding.shard_documents(df, 2, seed=seed).collect():
             total[r["id"]] += r["shard"] * 20 + r["slot"]
     assert 8 < (total / 12).min() and (total / 12).max() < 31
+
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute_secrets(text):
+    out = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def secret_texts():
+    r = random.Random(6)
+    bits = ["password", "PassWd", "secret", "token", "api_key", "ApiKey", '"', "'", " ", ":", "=", "abcdef", "x", "\n", "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "deadbeef", "é", "😀", "hunter2", "."]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 40))) for _ in range(300)]
+    gh = "ghp_" + "a1B2" * 9
+    return [*odd_texts(), *texts, "secret=token: abcdefgh", "token = 'abc'\n" * 40 + "password: longenough1\n" * 100, f"{gh} xoxb-1234567890ab -----BEGIN RSA PRIVATE KEY-----", "a" * 30 + "\n" + "eyJhbGciOiJI.eyJzdWIiOiIx.abcd"]
+
+
+def test_op7(spark, sf):
+    rows = [(i, t, None, None, None, "x") for i, t in enumerate(secret_texts())]
+    got = by_id(queries.op7_secrets(spark, sf(documents=(rows, DOCS))))
+    for i, t, *_ in rows:
+        base = brute_secrets(t or "")
+        said = ",".join(f"{k}:{a}:{b}" for a, _, b, k in base)
+        assert got[i]["base_sha256"] == hashlib.sha256(said.encode()).hexdigest(), t
+        assert [got[i][f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(x[3] == k for x in base) for k in ("assign", "access", "hex")]
+        assert not said or set(said.split(",")) <= set(got[i]["spans"].split(","))
+    extra = " ".join(g["spans"] for g in got.values())
+    assert all(f"{k}:" in extra for k in ("private_key", "source_host", "chat_host", "web_token"))
+
+
+def test_trigram_queries():
+    assert secrets.trigram_query(secrets.RULES[1].pattern) == [[frozenset({"aki", "kia"})]]
+    assert secrets.trigram_query(secrets.RULES[2].pattern) == []
+    (clause,) = secrets.trigram_query(secrets.RULES[0].pattern)
+    assert frozenset({"tok", "oke", "ken"}) in clause and len(clause) == 6
+
+
+def test_prefix_sums(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(list(range(n)),) for n in (0, 1, 31, 32, 33, 2000)]
+    for r in spark.createDataFrame(rows, "a array<int>").select("a", secrets.prefix_sums(F.col("a")).alias("s")).collect():
+        assert r["s"] == np.cumsum(r["a"]).tolist()
