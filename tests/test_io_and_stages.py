@@ -134,8 +134,8 @@ def test_stage_1(spark):
 
 
 def linked(spark):
-    targets = spark.createDataFrame([(0, "Torca 115 kV", 4.5, -74.0, "x"), (1, "San Carlos", 6.0, -75.0, "y"), (2, "Guavio", 1.0, -70.0, "z")], "rid bigint, elementName string, lat double, lon double, other string")
-    source = spark.createDataFrame([(0, "Torca", "4,5001", "-74.0", "115"), (1, "SAN CARLOS 230kV", "7", "-76", "230"), (2, "Lejos", "10", "-60", "34.5"), (3, "Gvavio", "3", "-71", None)], "rid bigint, nombre_subestacion string, lat string, lon string, tension_kV string")
+    targets = spark.createDataFrame([(0, "Torca 115 kV", 4.5, -74.0, "x"), (1, "San Carlos", 6.0, -75.0, "y"), (2, "Guavio Central Nueva", 1.0, -70.0, "z")], "rid bigint, elementName string, lat double, lon double, other string")
+    source = spark.createDataFrame([(0, "Torca", "4,5001", "-74.0", "115"), (1, "SAN CARLOS 230kV", "7", "-76", "230"), (2, "Lejos", "10", "-60", "34.5"), (3, "Guavio Central Nueba", "3", "-71", None)], "rid bigint, nombre_subestacion string, lat string, lon string, tension_kV string")
     return targets, source
 
 
@@ -145,7 +145,7 @@ def test_stage_5(spark):
     assert rows["Torca 115 kV"]["match_method"] == "location" and rows["Torca 115 kV"]["lat"] == 4.5001
     assert rows["San Carlos"]["match_method"] == "name_exact" and rows["San Carlos"]["lat"] == 7.0
     assert rows["Lejos"]["match_method"] == "left_only_append" and rows["Lejos"]["voltage"] == "34.5" and rows["Lejos"]["rid"] is None
-    assert rows["Guavio"]["match_method"] == "name_fuzzy"
+    assert rows["Guavio Central Nueva"]["match_method"] == "name_fuzzy"
     assert done.matched.count() == 3 and [r["reason"] for r in done.unmatched.collect()] == ["no_close_match"]
 
 
@@ -156,7 +156,7 @@ def test_stage_6(spark):
     rows = {r["rid"]: r for r in done.enriched.collect()}
     assert (rows[0]["lon"], rows[0]["lat"], rows[0]["filled"]) == ("-74,000000", "4,500000", True) and rows[1]["lon"] is None
     assert {r["left_index"] for r in done.unmatched.collect()} == {1, 2}
-    assert {r["right_key"] for r in done.uncovered.collect()} == {"san carlos", "guavio"}
+    assert {r["right_key"] for r in done.uncovered.collect()} == {"san carlos", "guavio central nueva"}
 
 
 def test_stage_7(spark):
