@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +49,17 @@ def with_row_id(df: DataFrame, order: Sequence[str | Column], name: str = "rid")
         at += r["n"]
     offset = F.create_map(*before)[part] if before else F.lit(0)
     return laid.withColumn(name, (offset + F.col(mark).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))).cast("bigint")).drop(mark)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for a context, so that their Python finds it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_sitelace_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    target = Path(os.path.realpath(tempfile.mkdtemp())) / "sitelace.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, p.relative_to(home.parent))
+    context.addPyFile(str(target))
+    context._sitelace_shipped = True
