@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Q = 12
-EDITS = 0.06
+Q = 10
+EDITS = 0.08
 PIECE, LONGEST = 128, 160
 #: Diagonals between the starts of two bands; at least the largest budget.
 STEP = 16
@@ -48,13 +48,14 @@ def grams(raw: bytes) -> np.ndarray:
     if n <= 0:
         return np.empty(0, np.uint64)
     padded = raw + b"\0" * 16
-    eight = np.empty(n + 4, np.uint64)
+    more = Q - 8  # two words of eight bytes, the second so much later, cover a gram
+    eight = np.empty(n + more, np.uint64)
     for o in range(8):
         own = eight[o::8]
         own[:] = np.frombuffer(padded, "<u8", count=len(own), offset=o)
     mixed = eight[:n] * _ONE
     mixed ^= mixed >> np.uint64(29)
-    mixed += eight[4 : n + 4] * _TWO
+    mixed += eight[more : n + more] * _TWO
     return mixed * _ONE
 
 
