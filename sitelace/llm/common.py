@@ -44,5 +44,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json", folder: str | None = None) -
     return f"{folder or TOKENIZER_DIR}/{name}"
 
 
+def fresh(name: str, *taken: str) -> str:
+    """The name, with as many underscores behind it as keep it apart from columns that are there (in any case)."""
+    held = {t.lower() for t in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 Q = 10
 EDITS = 0.08
 PIECE, LONGEST = 128, 160
@@ -187,7 +189,5 @@ def leaks(text: Column, benchmark: DataFrame, item_id: str = "item_id", item_tex
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows without any item, with the columns they had."""
-    at = "leaked_items"
-    while at in df.columns:
-        at += "_"
+    at = fresh("leaked_items", *df.columns)
     return df.withColumn(at, leaks(F.col(text), benchmark)).where(F.size(at) == 0).drop(at)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, written
 
 WORDS, THRESHOLD, RECALL, MAX_PERMUTATIONS = 5, 0.8, 0.999, 140
 #: Hashes of the sets in one block of a large component (8 MB), and its sets.
@@ -278,24 +278,25 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     keeps = F.col("k").isNull() | F.col("doc_id").eqNullSafe(F.col("class_id"))
     again = fate.groupBy("doc_id").agg(F.count("*").alias("sets"), F.sum(F.when(F.col("k").isNull(), 1).otherwise(F.col("rows"))).alias("linked_rows"), F.bool_and(~keeps).alias("gone"), F.bool_and(keeps).alias("stays"))
     again = written(again.where("not stays or sets > 1 or linked_rows > 1 or doc_id is null"), "fates")
-    gone = again.where("gone").select(F.col("doc_id").alias("g"))
-    mixed = again.where("not gone").select(F.col("doc_id").alias("g"))
-    n_gone, n_mixed = again.where("gone").count(), again.where("not gone").count()
-    same = F.col(doc_id).eqNullSafe(F.col("g"))
+    cols = df.columns
+    other, key, root, name, at = (fresh(x, *cols) for x in ("other_id", "set_key", "set_root", "set_class", "shingle_set"))
+    gone = again.where("gone").select(F.col("doc_id").alias(other))
+    mixed = again.where("not gone").select(F.col("doc_id").alias(other))
+    n_gone, n_mixed = gone.count(), mixed.count()
+    same = F.col(doc_id).eqNullSafe(F.col(other))
     hint = lambda x, n: F.broadcast(x) if n <= BROADCAST_IDS else x
     out = df.join(hint(gone, n_gone), same, "left_anti")
     if not n_mixed:
         return out
     # Ids that stand for several rows: judged by their sets, which takes another look at these texts.
-    at = "shingle_set"
-    while at in df.columns:
-        at += "_"
     single = out.join(hint(mixed, n_mixed), same, "left_anti")
     several = out.join(hint(mixed, n_mixed), same, "left_semi").withColumn(at, membered(F.col(text))["node"])
-    chosen = written(several.join(linked, F.col(at) == F.col("k"), "left"), "several")
-    free = chosen.where("k is null").select(*df.columns)
+    names = linked.select(F.col("k").alias(key), F.col("root").alias(root), F.col("class_id").alias(name))
+    chosen = written(several.join(names, F.col(at) == F.col(key), "left"), "several")
+    free = chosen.where(F.col(key).isNull()).select(*cols)
     # The rows of the least id and of one class: of their sets the least, of its rows one.
-    one = chosen.where(F.col("k").isNotNull() & F.col(doc_id).eqNullSafe(F.col("class_id")))
-    least = one.groupBy("root").agg(F.min(at).alias("least_set")).select("least_set")
-    one = one.join(least, F.col(at) == F.col("least_set"), "left_semi").dropDuplicates([at])
-    return single.unionByName(free).unionByName(one.select(*df.columns))
+    one = chosen.where(F.col(key).isNotNull() & F.col(doc_id).eqNullSafe(F.col(name)))
+    first = fresh("least_set", *chosen.columns)
+    least = one.groupBy(root).agg(F.min(at).alias(first)).select(first)
+    one = one.join(least, F.col(at) == F.col(first), "left_semi").dropDuplicates([at])
+    return single.unionByName(free).unionByName(one.select(*cols))

@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: name: (failed when, of the measurements).  A rule's bit is its place here; add at the end only.
@@ -89,7 +91,7 @@ MEASURES = ("n_words", "word_chars", "n_repeat_words", "n_lines", "n_dup_lines",
 
 
 def ledger(df: DataFrame, text: str = "text", into: str = "quality_ledger") -> DataFrame:
-    """The rows with a struct column of all measurements and `fail_bits`."""
+    """The rows with a struct column of all measurements and `fail_bits`; it takes the place of a column of that name."""
     out = df.withColumn(into, measured(F.col(text)))
     m = {k: F.col(into)[k] for k in MEASURES}
     bits = sum((F.when(rule(m), F.lit(BITS[name])).otherwise(0) for name, rule in RULES.items()), F.lit(0))
@@ -116,7 +118,5 @@ def ablation(ledgers: DataFrame, policy: str = "v1", at: str = "quality_ledger")
 
 def keep(df: DataFrame, policy: str = "v1", text: str = "text") -> DataFrame:
     """The rows that pass, with the columns they had."""
-    at = "quality_ledger"
-    while at in df.columns:
-        at += "_"
+    at = fresh("quality_ledger", *df.columns)
     return ledger(df, text, at).where(passes(policy, at)).drop(at)

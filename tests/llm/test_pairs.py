@@ -153,7 +153,9 @@ def test_deduplicate_with_repeated_and_null_ids(spark):
     a, b, c, d = (prose(r, 80) for _ in range(4))
     near = a.replace(a.split()[40], "zz")
     rows = [(1, a), (2, a), (3, near), (3, b), (4, b), (5, c), (5, c), (5, d), (None, c), (None, d + " x"), (None, None), (6, ""), (7, None), (1, a)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clash = ("other_id", "g", "k", "root", "class_id", "node", "shingle_set", "Set_Key", "least_set")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").select("*", *(F.lit(i).alias(c) for i, c in enumerate(clash)))
+    assert jaccard.deduplicate(df).columns == df.columns
     kept = [(x["doc_id"], x["text"]) for x in jaccard.deduplicate(df).collect()]
     assert sorted(kept, key=str) == sorted([(1, a), (3, b), (5, c), (5, d), (None, None), (6, ""), (7, None)], key=str)
     nulls = spark.createDataFrame([(None, a), (None, a), (None, b), (None, b)], "doc_id bigint, text string")
