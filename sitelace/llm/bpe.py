@@ -15,6 +15,7 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SCAN_PARTS = 128
-#: Entries that a worker's word cache holds before it is emptied: under 150 MB.
-CACHE_WORDS = 400_000
+#: Chunks and pieces met at least twice, and pieces met once, that a worker holds before it forgets them: under 130 MB.
+CACHE_CHUNKS, CACHE_NEW = 400_000, 200_000
 #: Fixed values of the vocabulary's pre-tokenizer.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 NONE = 1 << 60
@@ -38,7 +39,73 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-class WordBPE:
+class ChunkEncoder:
+    """Ids of a text, chunk by chunk, from a cache of what was seen.
+
+    Texts are cut at ASCII blanks, which no piece or special token holds.  Nearly all chunks are letters, at most with one
+    sign behind them; the others go through the vocabulary's pattern, those with special tokens to `special_chunk`.
+    A form of a piece (with capitals or a sign) is kept from the second time on that its piece is met.
+    """
+
+    def __init__(self, special: list[str]):
+        self.special_mark = re.compile(b"|".join(re.escape(t.encode()) for t in special) or rb"(?!)")
+        self.split = regex.compile(PIECES)
+        self.known: dict[bytes, bytes] = {}
+        self.new: dict[bytes, bytes] = {}
+
+    def piece_ids(self, raw: bytes) -> bytes:
+        """Of one piece, not looked up."""
+        raise NotImplementedError
+
+    def normal(self, text: str) -> str:
+        raise NotImplementedError
+
+    def special_chunk(self, text: str) -> bytes:
+        raise NotImplementedError
+
+    def keep(self, raw: bytes, ids: bytes) -> bytes:
+        if len(self.known) >= CACHE_CHUNKS:
+            self.known.clear()
+        if len(raw) < 64:
+            self.known[raw] = ids
+        return ids
+
+    def piece(self, raw: bytes) -> bytes:
+        if (ids := self.known.get(raw)) is not None:
+            return ids
+        if (ids := self.new.pop(raw, None)) is not None:
+            return self.keep(raw, ids)
+        ids = self.piece_ids(raw)
+        if len(self.new) >= CACHE_NEW:
+            self.new.clear()
+        if len(raw) < 64:
+            self.new[raw] = ids
+        return ids
+
+    def chunk(self, raw: bytes) -> bytes:
+        low = raw.lower()
+        if low.isalpha():
+            seen = low in self.known
+            ids = self.piece(low)
+            return self.keep(raw, ids) if seen else ids
+        if low[:-1].isalpha() and low[-1] < 128 and low[-1:] != b"'":
+            seen = low[:-1] in self.known
+            ids = self.piece(low[:-1]) + self.piece(low[-1:])
+            return self.keep(raw, ids) if seen else ids
+        if self.special_mark.search(raw):
+            return self.keep(raw, self.special_chunk(raw.decode()))
+        pieces = [p.encode() for p in self.split.findall(self.normal(raw.decode()))]
+        seen = all(p in self.known for p in pieces)
+        ids = b"".join(map(self.piece, pieces))
+        return self.keep(raw, ids) if seen else ids
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        known = self.known.get
+        return b"".join([i if (i := known(c)) is not None else self.chunk(c) for c in (text or "").encode().split()])
+
+
+class WordBPE(ChunkEncoder):
     """The model of one vocabulary file: NFC, lower case, pieces, bytes, merges."""
 
     def __init__(self, path: str):
@@ -48,6 +115,7 @@ class WordBPE:
         vocab = model["vocab"]
         suffix = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        super().__init__(list(self.special))
         self.inner = [vocab.get(s) for s in symbols]
         self.final = [vocab.get(s + suffix) for s in symbols]
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}
@@ -56,11 +124,6 @@ class WordBPE:
         self.tokens = [""] * (1 + max([*vocab.values(), *self.special.values()]))
         for t, i in (vocab | self.special).items():
             self.tokens[i] = t
-        self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.special_marks = tuple(self.special)
-        self.pieces = regex.compile(PIECES)
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
     def merged(self, parts: list[int]) -> list[int]:
         if len(parts) > SCAN_PARTS:
@@ -103,43 +166,22 @@ class WordBPE:
                     heapq.heappush(heap, (m[0], x, parts[x], parts[y], m[1]))
         return [p for p in parts if p != gone]
 
-    def word(self, piece: str) -> bytes:
-        if (known := self.words.get(piece)) is None:
-            raw = piece.encode()
-            parts = [i for i in map(self.inner.__getitem__, raw[:-1]) if i is not None]
-            if (last := self.final[raw[-1]]) is not None:
-                parts.append(last)
-            known = np.array(self.merged(parts), "<u4").tobytes()
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            if len(piece) < 64:
-                self.words[piece] = known
-        return known
-
-    def plain(self, text: str) -> bytes:
-        """Ids of a text without special tokens.  Lower case letter by letter: a final sigma is no exception."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return b"".join(map(self.word, self.pieces.findall(text.lower())))
-
-    def chunk(self, raw: bytes) -> bytes:
-        """Ids of what stands between two ASCII blanks; pieces never hold blanks."""
-        text = raw.decode()
-        if self.split_special and any(s in text for s in self.special_marks):
-            parts = self.split_special.split(text)
-            ids = b"".join(np.array([self.special[p]], "<u4").tobytes() if p in self.special else self.plain(p) for p in parts if p)
-        else:
-            ids = self.plain(text)
-        if len(self.chunks) >= CACHE_WORDS:
-            self.chunks.clear()
-        if len(raw) < 64:
-            self.chunks[raw] = ids
-        return ids
-
-    def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        known = self.chunks.get
-        return b"".join([i if (i := known(c)) is not None else self.chunk(c) for c in (text or "").encode().split()])
+    def piece_ids(self, raw: bytes) -> bytes:
+        parts = [i for i in map(self.inner.__getitem__, raw[:-1]) if i is not None]
+        if (last := self.final[raw[-1]]) is not None:
+            parts.append(last)
+        return array("I", self.merged(parts)).tobytes()
+
+    def normal(self, text: str) -> str:
+        """Lower case letter by letter: a final sigma is no exception."""
+        return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+    def special_chunk(self, text: str) -> bytes:
+        out, at = [], 0
+        for m in self.special_mark.finditer(raw := text.encode()):
+            out += [self.encode(raw[at : m.start()].decode()), array("I", [self.special[m[0].decode()]]).tobytes()]
+            at = m.end()
+        return b"".join([*out, self.encode(raw[at:].decode())])
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -15,18 +15,19 @@ from __future__ import annotations
 import io
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import CACHE_WORDS, PIECES, byte_symbols
+from .bpe import ChunkEncoder, byte_symbols
 from .common import shared_dir
 
 MAGIC = b"S8BIDS01"
@@ -150,8 +151,9 @@ def read_file(source) -> Iterator[tuple[int | None, np.ndarray]]:
         have = have[n:]
 
 
-class LibraryEncoder:
-    """The tokenizers library's model, asked once for each piece that the cache lacks."""
+class LibraryEncoder(ChunkEncoder):
+    """The tokenizers library's model, asked once for each piece that the cache lacks; chunks with special tokens go
+    through the whole library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -159,40 +161,20 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model, self.symbols, self.split = self.tokenizer.model, byte_symbols(), regex.compile(PIECES)
-        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def piece(self, piece: str) -> bytes:
-        if (ids := self.pieces.get(piece)) is None:
-            shown = "".join(map(self.symbols.__getitem__, piece.encode()))
-            ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-            if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            if len(piece) < 64:
-                self.pieces[piece] = ids
-        return ids
-
-    def chunk(self, raw: bytes) -> bytes:
-        """Ids of what stands between two blanks; no piece or special token holds a blank."""
-        text = raw.decode()
-        if not text.isascii() or any(s in text for s in self.special):
-            if any(s in text for s in self.special):
-                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                ids = b"".join(map(self.piece, self.split.findall(self.tokenizer.normalizer.normalize_str(text))))
-        else:
-            ids = b"".join(map(self.piece, self.split.findall(text.lower())))
-        if len(self.chunks) >= CACHE_WORDS:
-            self.chunks.clear()
-        if len(raw) < 64:
-            self.chunks[raw] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        known = self.chunks.get
-        return b"".join([i if (i := known(c)) is not None else self.chunk(c) for c in text.encode().split()])
+        super().__init__([t.content for t in self.tokenizer.get_added_tokens_decoder().values()])
+        self.model, self.symbols = self.tokenizer.model, byte_symbols()
+
+    def piece_ids(self, raw: bytes) -> bytes:
+        shown = raw.decode() if raw.isalpha() else "".join(map(self.symbols.__getitem__, raw))
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def normal(self, text: str) -> str:
+        if max(text) < "\u0250":
+            return unicodedata.normalize("NFC", text).lower()
+        return self.tokenizer.normalizer.normalize_str(text)
+
+    def special_chunk(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 _encoders: dict[str, LibraryEncoder] = {}
