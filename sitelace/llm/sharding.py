@@ -9,7 +9,7 @@ differ by one at most, and slots have no gaps.
 
 Cases: nulls anywhere, equal rows and repeated ids are rows like others (copies go to shards like strangers: the law is
 equal row counts, which a large group kept together would break).  With fewer rows than shards some shards are empty; an
-empty table gives an empty result.  Input columns are kept; `shard`, `slot` must not be among them.
+empty table gives an empty result.  Input columns are kept; where one is called `shard` or `slot`, ours gets an underscore.
 """
 
 from __future__ import annotations
@@ -21,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, written
 
 BIN_ROWS = 1024
+#: Bins at most, but for more shards than that; beyond it bins grow with the table.  Each is then one sort of a task.
+MOST_BINS = 1 << 16
 #: monotonically_increasing_id() has the partition above this bit.
 PLACE_BITS = 33
 
@@ -71,20 +73,16 @@ def matrix_row(before: np.ndarray, sizes: np.ndarray, seed: int, p: int) -> np.n
 def shard_documents(df: DataFrame, n_shards: int, seed: int = 0, bin_rows: int = BIN_ROWS) -> DataFrame:
     """The rows with `shard` (int) and `slot` (bigint, gapless from 0 in each shard)."""
     spark, cols = df.sparkSession, df.columns
-    if {"shard", "slot"} & {c.lower() for c in cols}:
-        raise ValueError("the table has a column named shard or slot")
-    mark = "row_place"
-    while mark in cols:
-        mark += "_"
+    mark, shard_name, slot_name = fresh("row_place", *cols), fresh("shard", *cols), fresh("slot", *cols)
     laid = written(df.withColumn(mark, F.monotonically_increasing_id()), "shuffle")
     # One row for each partition of the input.
     held = laid.groupBy(F.shiftright(mark, PLACE_BITS).alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()
     numbers, counts = np.array([r["p"] for r in held], np.int64), np.array([r["n"] for r in held], np.int64)
     total = int(counts.sum())
-    pieces = max(1, -(-total // (n_shards * bin_rows)))
+    pieces = max(1, min(-(-total // (n_shards * bin_rows)), MOST_BINS // n_shards))
     sizes = np.concatenate([even(int(s), pieces) for s in even(total, n_shards)])
     before = np.concatenate([[0], np.cumsum(counts)])
-    known = spark.sparkContext.broadcast((numbers, before, sizes))  # 16 bytes a partition, 8 a bin
+    known = spark.sparkContext.broadcast((numbers, before, sizes))  # 16 bytes a partition, 8 a bin, MOST_BINS of them
 
     def dealt(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         numbers, before, sizes = known.value
@@ -104,10 +102,10 @@ def shard_documents(df: DataFrame, n_shards: int, seed: int = 0, bin_rows: int =
             yield pa.StructArray.from_arrays([pa.array(bins), pa.array(order)], ["bin", "key"])
 
     deal = F.arrow_udf(dealt, "struct<bin:int,key:bigint>")
-    first = np.cumsum(sizes) - sizes
-    shard_first = np.repeat(first[::pieces], pieces)
-    bins = spark.createDataFrame([(i, i // pieces, int(first[i] - shard_first[i])) for i in range(len(sizes))], "bin int, shard int, bin_first bigint")
     sent = laid.select(F.struct(*(F.col(c) for c in laid.columns)).alias("row"), deal(F.col(mark)).alias("to"))
     again = Window.partitionBy("to.bin").orderBy("to.key", f"row.{mark}")
-    placed = sent.withColumn("place", F.row_number().over(again)).join(bins, F.col("to.bin") == bins["bin"])
-    return placed.select(*(F.col("row")[c].alias(c) for c in cols), bins["shard"].alias("shard"), (F.col("bin_first") + F.col("place") - 1).alias("slot"))
+    # Sizes are even, so a bin's first slot follows from its number.
+    shard, piece = F.floor(F.col("to.bin") / pieces), F.pmod("to.bin", F.lit(pieces))
+    rows = F.lit(total // n_shards) + F.when(shard < total % n_shards, 1).otherwise(0)
+    bin_first = piece * F.floor(rows / pieces) + F.least(piece, rows % pieces)
+    return sent.select(*(F.col("row")[c].alias(c) for c in cols), shard.cast("int").alias(shard_name), (bin_first + F.row_number().over(again) - 1).cast("bigint").alias(slot_name))

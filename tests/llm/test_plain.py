@@ -240,3 +240,9 @@ def test_prefix_sums(spark):
     rows = [(list(range(n)),) for n in (0, 1, 31, 32, 33, 2000)]
     for r in spark.createDataFrame(rows, "a array<int>").select("a", secrets.prefix_sums(F.col("a")).alias("s")).collect():
         assert r["s"] == np.cumsum(r["a"]).tolist()
+
+
+def test_sharding_beside_columns_of_its_names(spark):
+    got = sharding.shard_documents(spark.range(10).selectExpr("id", "id as Shard", "id as slot_", "id as slot", "id as row_place", "id as bin"), 3)
+    assert got.columns == ["id", "Shard", "slot_", "slot", "row_place", "bin", "shard_", "slot__"]
+    assert sorted(r["shard_"] for r in got.collect()) == [0] * 4 + [1] * 3 + [2] * 3
