@@ -14,7 +14,7 @@ class MatchConfig:
 
     conflict: who writes when several sites hit one row: "last" in the order of stages, then of rows, or "best", the
     first stage.  key_mode: "normalized", or "raw" for targets whose names are their keys.  scorer: "indel" or "difflib".
-    key_fn: name -> key, STR-15 unless given.  chunk: least score at which a fuzzy pair counts.
+    key_fn: name -> key, STR-15 unless given.  fuzzy_threshold: least score at which names count as alike.
     """
 
     radius_m: float = 3000.0

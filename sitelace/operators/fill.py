@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.parse import blanks_to_null
+
 
 def fill_forward(df: DataFrame, columns: Sequence[str], order: str = "rid", within: Sequence[str] = ()) -> DataFrame:
     """Nulls take the last value before them, within groups.
@@ -36,10 +38,12 @@ BLOCK_ROWS = 1_000_000
 def clean_workbook(df: DataFrame, group: str, order: str = "rid") -> DataFrame:
     """Merged cells: blanks become null, the group column is filled down, then all others within their group; what is
     still missing becomes a dash (PRJ-01, WIN-01, WIN-02, PRJ-02)."""
-    from ..functions.parse import blanks_to_null, nulls_to_dash
-
-    rows = blanks_to_null(df)
-    rows = fill_forward(rows, [group], order)
     others = [c for c in df.columns if c not in (group, order)]
+    rows = fill_forward(blanks_to_null(df), [group], order)
     rows = fill_forward(rows, others, order, within=[group])
-    return rows.select(order, *(c for c in nulls_to_dash(rows).columns if c != order)).transform(lambda x: x.select(order, *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")).alias(c) for c in x.columns if c != order)))
+    return _dashed(rows, order)
+
+
+def _dashed(rows: DataFrame, order: str) -> DataFrame:
+    """A dash for what is missing, but in the order column."""
+    return rows.select(*(F.col(f"`{c}`") if c == order else F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")).alias(c) for c in rows.columns))
