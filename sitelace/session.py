@@ -23,15 +23,26 @@ def session(name: str = "sitelace", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder below `spark.checkpoint.dir`, which driver and executors share; a default where it is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table below `spark.checkpoint.dir`, which driver and executors share."""
+    """Cuts lineage: the rows as a Parquet table in the shared folder, until `clear_written`."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_written(spark: SparkSession) -> None:
+    """Deletes what this application has written there; results that still read it must be saved before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def with_row_id(df: DataFrame, order: Sequence[str | Column], name: str = "rid") -> DataFrame:
     """Dense numbers 0, 1, ... in the given order, by a range exchange and one count for each partition.
 

@@ -19,4 +19,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    from sitelace.session import clear_written
+
+    clear_written(session)
