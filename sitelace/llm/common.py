@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder, written
+
+__all__ = ["bounded_batches", "fresh", "shared_dir", "table", "text_or_empty", "tokenizer_path", "written"]
 #: Rows of one Arrow batch.  Texts of 100 KB then make batches of 50 MB at most.
 ARROW_ROWS = 512
 #: Where `word_bpe_49k.json` and the other vocabularies lie, if the environment names no other folder.
@@ -27,17 +30,8 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below `spark.checkpoint.dir`, which driver and executors share; local default only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: the rows as a Parquet table in the shared folder."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """A new folder that driver and executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json", folder: str | None = None) -> str:
