@@ -1,8 +1,9 @@
 """Chat formatting that reads back exactly.
 
-A turn is `<|im_start|>role`, a line end, its text, `<|im_end|>` and a line end.  A turn is first rendered as it is and
-parsed again; where that does not give back role and text, each `<\\...\\|` in its text gets one more backslash (in roles
-also line ends and backslashes are escaped), which the parser takes off, and the check is repeated.
+A turn is `<|im_start|>role`, a line end, its text, `<|im_end|>` and a line end; neither mark may stand in a role or a
+text.  A turn is first rendered as it is and parsed again; where that does not give back role and text, each `<|` in its
+text, with or without backslashes between, gets one more backslash there, which the parser takes off (in roles line ends,
+`<` and backslashes are escaped), and the check is repeated.
 
 The output has a row for each part of a conversation: PART_CHARS code points at most, but for a single longer turn; nearly
 every conversation is one part.  Rows are streamed in order, so no conversation is held in memory.
@@ -27,8 +28,6 @@ PART_CHARS = 1 << 20
 MARK = re.compile(r"<(\\*)\|")
 ESCAPED = re.compile(r"<\\(\\*)\|")
 ROLE_ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.DOTALL)
-
 
 def escape(text: str) -> str:
     return MARK.sub(r"<\\\1|", text)
@@ -39,21 +38,25 @@ def unescape(text: str) -> str:
 
 
 def escape_role(role: str) -> str:
-    return role.replace("\\", "\\\\").replace("\n", "\\n").replace("<", "\\<")
+    return role.replace("\\", "\\\\").replace("\n", "\\n").replace("<", "\\l")
 
 
 def unescape_role(role: str) -> str:
-    return ROLE_ESCAPED.sub(lambda m: "\n" if m[1] == "n" else m[1], role) if "\\" in role else role
+    return ROLE_ESCAPED.sub(lambda m: {"n": "\n", "l": "<"}.get(m[1], m[1]), role) if "\\" in role else role
 
 
 def parse(rendered: str) -> Iterator[tuple[str, str, int, int]]:
     """Turns of a formatted text: role, text, and where the text as written starts and ends."""
     at = 0
     while at < len(rendered):
-        if not (m := TURN.match(rendered, at)):
+        line = rendered.find("\n", at)
+        end = rendered.find(END, line + 1)
+        role = rendered[at + len(START) : line]
+        after = end + len(END)
+        if line < 0 or end < 0 or not rendered.startswith(START, at) or rendered[after : after + 1] != "\n" or START in role or END in role or rendered.find(START, line, end) >= 0:
             raise ValueError(f"no turn at {at}")
-        yield unescape_role(m[1]), unescape(m[2]), *m.span(2)
-        at = m.end()
+        yield unescape_role(role), unescape(rendered[line + 1 : end]), line + 1, end
+        at = after + 1
 
 
 def reads_as(rendered: str, role: str, text: str) -> bool:
