@@ -8,8 +8,8 @@ exp-tables gives the normaliser of every pair of contexts at once, so probabilit
 of its own has the probability of the rest class times its add-one share in the rest, where one share is for all words
 never seen.
 
-Word counts cover the whole training part.  The HOT_WORDS most frequent go to the workers (a fixed bound); texts' other
-words are joined to the count table by a shuffle, so every count is exact.
+Word counts cover the whole training part.  At most HOT_WORDS of the most frequent go to the workers; texts' other words
+are joined to the count table by a shuffle, so every count is exact.
 
 Cases: null or empty texts have one token, their end.  A null id counts as the empty string for the held-out rule.  Equal
 rows get a row each.  An empty table gives an empty result; a table whose every row is held out has N = V = 0 and the
@@ -268,12 +268,29 @@ def _score(batches: Iterator[pa.RecordBatch], sent, flat: np.ndarray) -> Iterato
         yield pa.RecordBatch.from_arrays(columns, schema=SCORED)
 
 
+def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> list[tuple[bytes, int]]:
+    """The words from a count on above which there are at most `most`, by count, then bytes.
+
+    The bound comes from a histogram of at most 1,024 bins, so no task sends more than its share of the words."""
+    level = F.floor(F.log2(F.col("c")) * 16)
+    edge, held = None, 0
+    for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
+        held += r["n"]
+        if held > most:
+            break
+        edge = r["level"]
+    if edge is None:
+        return []
+    rows = counts.where(level >= edge).collect()
+    return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 def fit(texts: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Row, object, Model]:
     """One column of training texts -> word counts, their totals (total, distinct), the broadcast hot words, the model."""
     spark = texts.sparkSession
     counts = written(word_counts(texts), "counts")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
-    ranked = [(bytes(r["word"]), r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()]
+    ranked = hot_words(counts)
     sent = spark.sparkContext.broadcast((ranked, sums["total"], sums["distinct"]))
     words = Words(*sent.value)
     model = Model(words.unigram)

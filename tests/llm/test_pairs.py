@@ -230,3 +230,10 @@ def test_pipeline(spark, sf):
         docs = stage(spark, docs, at)
         assert docs.columns == spark.read.parquet(f"{at}/documents.parquet").columns
     assert docs.where(F.col("text").contains("@b.example.org")).count() == 0
+
+
+def test_hot_words_are_bounded(spark):
+    counts = spark.createDataFrame([(f"w{i}".encode(), 1 + i // 10) for i in range(300)], "word binary, c bigint")
+    hot = lm.hot_words(counts, 50)
+    assert 0 < len(hot) <= 50 and hot == sorted(hot, key=lambda x: (-x[1], x[0])) and min(c for _, c in hot) > 20
+    assert len(lm.hot_words(counts, 1000)) == 300 and lm.hot_words(counts, 3) == [] and lm.hot_words(counts.limit(0)) == []
