@@ -38,21 +38,22 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 _STEPS = np.array([1, *COUNTS], np.int64)
 _POWERS = np.uint64(1) << np.arange(61, dtype=np.uint64)
+#: Bits of each small id.
+_BITS = np.searchsorted(_POWERS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.int8)
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the escaped values."""
     n = len(ids)
     values = np.concatenate([ids.astype(np.uint64), np.zeros(COUNTS[0], np.uint64)])
-    bits = np.searchsorted(_POWERS, values[:n], side="right").astype(np.int8)
-    here, chosen = np.arange(n), np.zeros(n, np.int8)
-    least = int(bits.min(initial=60))
+    bits = _BITS[ids] if n and ids.max() < len(_BITS) else np.searchsorted(_POWERS, values[:n], side="right").astype(np.int8)
+    # The widest id of each window, longer windows from two shorter ones; the longest window that fits is chosen.
+    window, length = np.concatenate([bits, np.zeros(COUNTS[0], np.int8)]), 1
+    chosen = np.zeros(n, np.int8)
     for s in range(len(COUNTS), 0, -1):
-        if WIDTHS[s - 1] < least:
-            break
-        wide = np.where(bits > WIDTHS[s - 1], here, n + COUNTS[0])
-        free = np.minimum.accumulate(wide[::-1])[::-1] - here >= COUNTS[s - 1]
-        chosen[free] = s
+        if (more := COUNTS[s - 1] - length) > 0:
+            window, length = np.maximum(window[: len(window) - more], window[more:]), COUNTS[s - 1]
+        chosen[window[:n] <= WIDTHS[s - 1]] = s
     steps, starts, i = _STEPS[chosen].tolist(), [], 0
     while i < n:
         starts.append(i)
