@@ -1,12 +1,14 @@
 """Log-bilinear language model, trained by noise-contrastive estimation, with normalised token probabilities.
 
-The CLASSES - 2 most frequent training words are classes of their own; the end of a text is one, all other words another.
-A class is predicted from the two before it: its vector's product with the sum of their vectors, each sent through the
+The CLASSES - 2 most frequent training words are classes of their own, and the end of a text is one.  All other words, seen
+or not, lie in at most GROUPS groups by their last bytes, each of which is a class.  A class is predicted from the two before it: its vector's product with the sum of their vectors, each sent through the
 matrix of its place, plus a bias.  Training runs over all training tokens where they lie, in ROUNDS over disjoint parts
 of the texts; after each round the tasks' parameters are averaged by their tokens.  For scoring, one product of
-exp-tables gives the normaliser of every pair of contexts at once, so probabilities sum to one.  A word without a class
-of its own has the probability of the rest class times its add-one share in the rest, where one share is for all words
-never seen.
+exp-tables gives the normaliser of every pair of contexts at once, so probabilities sum to one.  Within a group a second
+log-bilinear model, over the words before, predicts the word: each hot word has its vectors as target and as context, and the
+group's other words share theirs.  It is trained with noise from the group, normalised over the group's members, and its rows
+are averaged by how often each task met them.  A word that is not hot has the probability of its group's others times its
+add-one share in them, where one share is for all words of the group never seen.
 
 Word counts cover the whole training part.  At most HOT_WORDS of the most frequent go to the workers; texts' other words
 are joined to the count table by a shuffle, so every count is exact.
@@ -18,6 +20,7 @@ uniform model.  Words equally frequent are ranked by their bytes.  Only the id a
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,6 +32,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 CLASSES, DIM, NOISE, BATCH, ROUNDS, RATE = 1024, 16, 16, 512, 2, 0.2
+GROUPS, GROUP_WORDS, GROUP_NOISE, GROUP_BATCH, GROUP_RATE = 384, 64, 5, 4096, 0.1
+#: Words whose parameters travel in one row.
+SLICE = 4096
 HOT_WORDS = 100_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 400_000
@@ -71,27 +77,56 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 class Words:
-    """Ranks and counts of the hot words, and their classes: 0 the end, 1 the rest, then by rank."""
+    """Ranks and counts of the hot words, and their classes: 0 the end, 1 to `groups` the groups, then by rank.
 
-    def __init__(self, ranked: list[tuple[bytes, int]], total: int, distinct: int, classes: int = CLASSES):
+    `edges` are the least reversed words of the groups from the second on; `others` has, by group, the tokens and the words
+    that are not hot.  An id is a hot word's rank, or the number of hot words and a group, for the group's others."""
+
+    def __init__(self, ranked: list[tuple[bytes, int]], total: int, distinct: int, classes: int = CLASSES, edges: list[bytes] = (), others: np.ndarray | None = None):
         counts = dict(ranked)
         own = [(w, c) for w, c in ranked if w != END]
         self.counts = np.array([counts.get(END, 0), *(c for _, c in own)], np.int64)
         self.rank = {END: 0} | {w: i + 1 for i, (w, _) in enumerate(own)}
-        n = min(classes - 2, len(own))
-        self.classes = n + 2
-        self.class_of = np.ones(len(self.counts) + 1, np.int32)  # the last is for words that are not hot
-        self.class_of[0] = 0
-        self.class_of[1 : n + 1] = np.arange(2, n + 2)
+        self.edges, self.groups = list(edges), len(edges) + 1
+        n, hot = min(classes - 2, len(own)), len(self.counts)
+        self.classes = n + 1 + self.groups
+        if others is None:
+            others = np.array([[total - int(self.counts.sum()), distinct - len(counts)]])
+        group = np.array([self.group(w) for w, _ in own[n:]], np.int64)
+        self.class_of = np.zeros(hot, np.int32)
+        self.class_of[1 : n + 1] = np.arange(n) + 1 + self.groups
+        self.class_of[n + 1 :] = group + 1
         known = int(self.counts[: n + 1].sum())
         self.total, self.distinct = total, distinct
         self.rest_size = (total - known) + (distinct - n - (END in counts)) + 1
-        mass = np.array([self.counts[0], total - known, *self.counts[1 : n + 1]], np.float64) + 1
+        self.others_size = others.sum(axis=1) + 1
+        tokens = np.bincount(group, self.counts[n + 1 :], self.groups) + others[:, 0]
+        mass = np.array([self.counts[0], *tokens, *self.counts[1 : n + 1]], np.float64) + 1
         self.unigram = mass / mass.sum()
+        # Members of the groups, one group after the other.
+        ids = np.concatenate([np.arange(n + 1, hot), hot + np.arange(self.groups)])
+        of = np.concatenate([group, np.arange(self.groups)])
+        by = np.argsort(of, kind="stable")
+        self.members = ids[by]
+        self.first = np.searchsorted(of[by], np.arange(self.groups + 1))
+        self.share = np.ones(hot + self.groups)
+        self.share[ids] = np.concatenate([self.counts[n + 1 :] + 1, self.others_size])
+        size = np.add.reduceat(self.share[self.members], self.first[:-1])
+        self.share[ids] /= size[of]
+
+    def group(self, word: bytes) -> int:
+        return bisect_right(self.edges, word[::-1])
 
     def ranks(self, words: list[bytes]) -> list[int]:
-        get = self.rank.get
-        return [get(w, -1) for w in words]
+        """Ranks of hot words; of others, the negative of their group's class."""
+        get, edges = self.rank.get, self.edges
+        return [r if (r := get(w)) is not None else -1 - bisect_right(edges, w[::-1]) for w in words]
+
+    def classes_of(self, ranks: np.ndarray) -> np.ndarray:
+        return np.where(ranks < 0, -ranks, self.class_of[np.maximum(ranks, 0)])
+
+    def ids(self, ranks: np.ndarray) -> np.ndarray:
+        return np.where(ranks < 0, len(self.counts) - 1 - ranks, ranks)
 
 
 class Model:
@@ -162,6 +197,76 @@ class Trainer:
             self.apply(name, grad)
 
 
+class Inner:
+    """Within groups: for each id a vector as context, one as target and a bias, and matrices of the two places."""
+
+    def __init__(self, words: Words, seed: int = 4):
+        g, n = np.random.default_rng(seed), len(words.share)
+        self.rows = np.empty((n, 2 * DIM + 1), np.float32)
+        self.rows[:, : 2 * DIM] = 0.1 * g.standard_normal((n, 2 * DIM))
+        self.rows[:, 2 * DIM] = np.log(words.share)
+        self.c = np.stack([np.eye(DIM), 0.5 * np.eye(DIM)]).astype(np.float32)
+
+    def logs(self, words: Words, group: np.ndarray, w: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+        """Log probabilities of ids in their groups."""
+        r, q, b = self.rows[:, :DIM], self.rows[:, DIM : 2 * DIM], self.rows[:, -1]
+        h = r[p1] @ self.c[0] + r[p2] @ self.c[1]
+        out = np.einsum("ij,ij->i", h, q[w]) + b[w]
+        by = np.argsort(group, kind="stable")
+        ends = np.searchsorted(group[by], np.arange(words.groups + 1))
+        for g in np.flatnonzero(np.diff(ends)).tolist():
+            members = words.members[words.first[g] : words.first[g + 1]]
+            qg, bg = q[members].T, b[members]
+            for a in range(ends[g], ends[g + 1], BUFFER // 16):
+                i = by[a : min(a + BUFFER // 16, ends[g + 1])]
+                scores = h[i] @ qg + bg
+                top = scores.max(axis=1)
+                out[i] -= np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
+        return out
+
+
+class InnerTrainer:
+    """Steps of Adagrad on the rows that a batch meets; noise comes from the target's group."""
+
+    def __init__(self, inner: Inner, words: Words, seed: int):
+        self.m, self.words, self.g = inner, words, np.random.default_rng(seed)
+        share = words.share[words.members]
+        self.cumulative = np.concatenate([[0], np.cumsum(share)])
+        self.log_noise = np.log(GROUP_NOISE * words.share).astype(np.float32)
+        self.seen = np.full(inner.rows.shape, 1e-1, np.float32)
+        self.seen_c = np.full(inner.c.shape, 1e-1, np.float32)
+        self.times = np.zeros(len(inner.rows), np.float32)
+
+    def apply(self, ids: np.ndarray, grads: np.ndarray, columns: slice) -> None:
+        own, at, times = np.unique(ids, return_inverse=True, return_counts=True)
+        d = grads.shape[1]
+        grad = np.bincount((at[:, None] * d + np.arange(d)).ravel(), weights=grads.ravel(), minlength=len(own) * d).reshape(-1, d).astype(np.float32)
+        seen = self.seen[own, columns] + grad * grad
+        self.seen[own, columns] = seen
+        self.m.rows[own, columns] += GROUP_RATE * grad / np.sqrt(seen)
+        self.times[own] += times
+
+    def step(self, group: np.ndarray, w: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
+        m, first = self.m, self.words.first
+        low, high = first[group][:, None], first[group + 1][:, None]
+        u = self.cumulative[low] + self.g.random((len(w), GROUP_NOISE)) * (self.cumulative[high] - self.cumulative[low])
+        noise = self.words.members[np.clip(np.searchsorted(self.cumulative, u, side="right") - 1, low, high - 1)]
+        ids = np.concatenate([w[:, None], noise], axis=1)
+        r1, r2, rows = m.rows[p1, :DIM], m.rows[p2, :DIM], m.rows[ids, DIM:]
+        h = r1 @ m.c[0] + r2 @ m.c[1]
+        scores = np.einsum("ij,ikj->ik", h, rows[:, :, :DIM]) + rows[:, :, DIM] - self.log_noise[ids]
+        e = -1 / (1 + np.exp(np.clip(-scores, -30, 30)))
+        e[:, 0] += 1
+        dh = np.einsum("ik,ikj->ij", e, rows[:, :, :DIM])
+        both = np.concatenate([e[:, :, None] * h[:, None, :], e[:, :, None]], axis=2)
+        dc = np.stack([r1.T @ dh, r2.T @ dh]) / len(w)
+        dr = np.concatenate([dh @ m.c[0].T, dh @ m.c[1].T])
+        self.apply(ids.ravel(), both.reshape(-1, DIM + 1), slice(DIM, None))
+        self.apply(np.concatenate([p1, p2]), dr, slice(0, DIM))
+        self.seen_c += dc * dc
+        m.c = m.c + GROUP_RATE * dc / np.sqrt(self.seen_c)
+
+
 def contexts(classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The class before each token and the one before that; texts begin after an end."""
     p1, p2 = np.empty_like(classes), np.empty_like(classes)
@@ -173,28 +278,35 @@ def contexts(classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return p1, p2
 
 
-def train(texts: DataFrame, words: Words, sent, model: Model, round_no: int) -> Model:
-    """One round: every task trains on its texts from the same start; the mean by tokens is the result."""
-    start = model.flat()
+def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, round_no: int) -> None:
+    """One round: every task trains on its texts from the same start; the means by tokens are the result."""
+    start = texts.sparkSession.sparkContext.broadcast((model.flat(), inner.rows, inner.c))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known, n = _words(sent), 0
-        own = Model(known.unigram).load(start)
-        trainer = Trainer(own, known.unigram, seed=1000 * round_no + TaskContext.get().partitionId() % 1000)
+        known, n, task = _words(sent), 0, TaskContext.get().partitionId()
+        own, within = Model(known.unigram).load(start.value[0]), Inner.__new__(Inner)
+        within.rows, within.c = start.value[1].copy(), start.value[2].copy()
+        trainer = Trainer(own, known.unigram, seed=1000 * round_no + task % 1000)
+        second = InnerTrainer(within, known, seed=1000 * round_no + task % 1000)
         waiting: list[list[int]] = []
         size = 0
 
         def learn():
             ranks = np.concatenate([np.array(x, np.int64) for x in waiting])
             starts = np.cumsum([0, *(len(x) for x in waiting[:-1])])
-            w = known.class_of[ranks]
+            w, ids = known.classes_of(ranks), known.ids(ranks)
             p1, p2 = contexts(w, starts)
             order = trainer.g.permutation(len(w))
             for a in range(0, len(order), BATCH):
                 i = order[a : a + BATCH]
                 trainer.step(w[i], p1[i], p2[i])
+            p1, p2 = contexts(ids, starts)
+            order = order[(w[order] > 0) & (w[order] <= known.groups)]
+            for a in range(0, len(order), GROUP_BATCH):
+                i = order[a : a + GROUP_BATCH]
+                second.step(w[i] - 1, ids[i], p1[i], p2[i])
 
         for b in batches:
             for t in b.column(0):
@@ -207,20 +319,46 @@ def train(texts: DataFrame, words: Words, sent, model: Model, round_no: int) ->
             learn()
             n += size
         if n:
-            yield pa.RecordBatch.from_pylist([{"n": float(n), "p": (own.flat() * n).tobytes()}])
+            flat = np.concatenate([own.flat(), within.c.ravel()]) * n
+            yield pa.RecordBatch.from_pylist([{"part": -1 - task % ADDERS, "n": float(n), "ids": b"", "p": flat.tobytes()}])
+            met = np.flatnonzero(second.times)
+            for part in np.unique(met // SLICE).tolist():
+                ids = met[met // SLICE == part]
+                times = second.times[ids, None]
+                rows = np.concatenate([within.rows[ids] * times, times], axis=1)
+                yield pa.RecordBatch.from_pylist([{"part": part, "n": 0.0, "ids": ids.astype(np.int32).tobytes(), "p": rows.tobytes()}])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, p = 0.0, 0.0
+        flats: dict[int, tuple] = {}
+        slices: dict[int, np.ndarray] = {}
         for b in batches:
             for r in b.to_pylist():
-                n, p = n + r["n"], p + np.frombuffer(r["p"])
-        if n:
-            yield pa.RecordBatch.from_pylist([{"n": n, "p": p.tobytes()}])
-
-    shape = "n double, p binary"
-    sums = texts.mapInArrow(fit, shape).repartition(ADDERS).mapInArrow(total, shape).collect()  # ADDERS rows at most
-    n = sum(r["n"] for r in sums)
-    return model.load(sum(np.frombuffer(bytes(r["p"])) for r in sums) / n) if n else model
+                part = r["part"]
+                if part < 0:
+                    n, p = flats.get(part, (0.0, 0.0))
+                    flats[part] = n + r["n"], p + np.frombuffer(r["p"])
+                else:
+                    held = slices.setdefault(part, np.zeros((SLICE, 2 * DIM + 2)))
+                    held[np.frombuffer(r["ids"], np.int32) - part * SLICE] += np.frombuffer(r["p"], np.float32).reshape(-1, 2 * DIM + 2)
+        for part, (n, p) in flats.items():
+            yield pa.RecordBatch.from_pylist([{"part": part, "n": n, "ids": b"", "p": p.tobytes()}])
+        for part, held in slices.items():
+            ids = np.flatnonzero(held[:, -1])
+            mean = (held[ids, :-1] / held[ids, -1:]).astype(np.float32)
+            yield pa.RecordBatch.from_pylist([{"part": part, "n": 0.0, "ids": (ids + part * SLICE).astype(np.int32).tobytes(), "p": mean.tobytes()}])
+
+    shape = "part bigint, n double, ids binary, p binary"
+    sums = texts.mapInArrow(fit, shape).repartition(ADDERS, "part").mapInArrow(total, shape).collect()  # ADDERS rows at most, and one for each slice
+    flats = [r for r in sums if r["part"] < 0]
+    if n := sum(r["n"] for r in flats):
+        flat = sum(np.frombuffer(bytes(r["p"])) for r in flats) / n
+        model.load(flat[: -inner.c.size])
+        inner.c = flat[-inner.c.size :].reshape(inner.c.shape).astype(np.float32)
+        inner.rows = inner.rows.copy()
+        for r in sums:
+            if r["part"] >= 0:
+                inner.rows[np.frombuffer(bytes(r["ids"]), np.int32)] = np.frombuffer(bytes(r["p"]), np.float32).reshape(-1, 2 * DIM + 1)
+    start.unpersist()
 
 
 _cache: list[tuple[tuple, Words]] = []
@@ -241,13 +379,13 @@ SCORED = pa.schema([
 SCORED_DDL = "doc_id bigint, held_out boolean, key bigint, n_tokens bigint, n_hot bigint, hot_log double, model_log double, words array<binary>, times array<int>"
 
 
-def _score(batches: Iterator[pa.RecordBatch], sent, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc_id, held_out, key, text) -> sums over the hot words and the model's classes, and the other words with their times."""
+def _score(batches: Iterator[pa.RecordBatch], sent, learnt) -> Iterator[pa.RecordBatch]:
+    """(doc_id, held_out, key, text) -> sums over the hot words and both models, and the other words with their times."""
     known = _words(sent)
+    flat, inner = learnt.value
     one, two, z = Model(known.unigram).load(flat).tables()
-    logs = np.log10(np.append(known.counts, 0) + 1.0)
-    seen, rest = np.append(known.counts > 0, False), known.class_of == 1
-    share = np.log10(known.rest_size)
+    logs = np.log10(np.append(known.counts, 0) + 1.0)  # the last is for words that are not hot
+    seen, share = np.append(known.counts > 0, False), np.log10(known.others_size)
     for b in batches:
         if not b.num_rows:
             continue
@@ -256,9 +394,18 @@ def _score(batches: Iterator[pa.RecordBatch], sent, flat: np.ndarray) -> Iterato
         sizes = np.array([len(x) for x in split])
         starts = np.cumsum(sizes) - sizes
         flat_ranks = np.concatenate(ranks)
-        w = known.class_of[flat_ranks]
+        w, ids = known.classes_of(flat_ranks), known.ids(flat_ranks)
         p1, p2 = contexts(w, starts)
-        lp = (one[p1, w] + two[p2, w] - z[p1, p2]).astype(np.float64) / np.log(10) + np.where(rest[flat_ranks], logs[flat_ranks] - share, 0.0)
+        lp = (one[p1, w] + two[p2, w] - z[p1, p2]).astype(np.float64)
+        p1, p2 = contexts(ids, starts)
+        grouped = np.flatnonzero((w > 0) & (w <= known.groups))
+        for a in range(0, len(grouped), 4 * BUFFER):
+            i = grouped[a : a + 4 * BUFFER]
+            lp[i] += inner.logs(known, w[i] - 1, ids[i], p1[i], p2[i])
+        lp /= np.log(10)
+        more = flat_ranks < 0
+        lp[more] -= share[-1 - flat_ranks[more]]
+        flat_ranks = np.where(more, -1, flat_ranks)
         others = [Counter(x[i] for i in np.flatnonzero(r < 0).tolist()) for x, r in zip(split, ranks, strict=True)]
         columns = [
             b.column(0), b.column(1), b.column(2), pa.array(sizes, pa.int64()),
@@ -285,31 +432,58 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> list[tuple[bytes, int
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
-def fit(texts: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Row, object, Model]:
-    """One column of training texts -> word counts, their totals (total, distinct), the broadcast hot words, the model."""
+def group_edges(ranked: list[tuple[bytes, int]], classes: int = CLASSES) -> list[bytes]:
+    """Least reversed words of the groups from the second on, so that each has about as many hot words."""
+    turned = sorted(w[::-1] for w, _ in [x for x in ranked if x[0] != END][classes - 2 :])
+    n = max(1, min(GROUPS, len(turned) // GROUP_WORDS))
+    return [turned[len(turned) * i // n] for i in range(1, n)]
+
+
+def other_sizes(counts: DataFrame, ranked: list[tuple[bytes, int]], edges: list[bytes]) -> np.ndarray:
+    """By group, the tokens and the words that are not hot; a row for each group reaches the driver."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((len(edges) + 1, 2), np.int64)
+        for b in batches:
+            of = np.array([bisect_right(edges, w[::-1]) for w in b.column(0).to_pylist()], np.int64)
+            c = b.column(1).to_numpy()
+            np.add.at(held, of, np.stack([c, np.ones_like(c)], axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(held))), pa.array(held[:, 0]), pa.array(held[:, 1])], ["g", "c", "n"])
+
+    out = np.zeros((len(edges) + 1, 2), np.int64)
+    for r in counts.mapInArrow(add, "g bigint, c bigint, n bigint").groupBy("g").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).collect():
+        out[r["g"]] = r["c"], r["n"]
+    for w, c in ranked:
+        out[bisect_right(edges, w[::-1])] -= (c, 1)
+    return out
+
+
+def fit(texts: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Row, object, Model, Inner]:
+    """One column of training texts -> word counts, their totals (total, distinct), the broadcast hot words, the models."""
     spark = texts.sparkSession
     counts = written(word_counts(texts), "counts")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     ranked = hot_words(counts)
-    sent = spark.sparkContext.broadcast((ranked, sums["total"], sums["distinct"]))
+    edges = group_edges(ranked)
+    sent = spark.sparkContext.broadcast((ranked, sums["total"], sums["distinct"], CLASSES, edges, other_sizes(counts, ranked, edges)))
     words = Words(*sent.value)
-    model = Model(words.unigram)
+    model, inner = Model(words.unigram), Inner(words)
     column = texts.columns[0]
     for i in range(rounds):
         part = texts.where(F.pmod(F.xxhash64(column), F.lit(rounds)) == i)
-        model = train(part, words, sent, model, i)
-    return counts, sums, sent, model
+        train(part, words, sent, model, inner, i)
+    return counts, sums, sent, model, inner
 
 
 def score_documents(df: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learnt from the rows that are not held out."""
     rows = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.expr(held_out()).alias("held_out"))
-    counts, sums, sent, model = fit(rows.where("not held_out").select("text"), rounds)
+    counts, sums, sent, model, inner = fit(rows.where("not held_out").select("text"), rounds)
     total, distinct = sums["total"], sums["distinct"]
     # The key goes with the row through Python and is written with it, so it is drawn once.
     keyed = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "held_out", F.monotonically_increasing_id().alias("key"), "text")
-    flat = model.flat()
-    scored = written(keyed.mapInArrow(lambda b: _score(b, sent, flat), SCORED_DDL), "scores")
+    learnt = df.sparkSession.sparkContext.broadcast((model.flat(), inner))
+    scored = written(keyed.mapInArrow(lambda b: _score(b, sent, learnt), SCORED_DDL), "scores")
     pairs = scored.select("key", F.explode(F.arrays_zip("words", "times")).alias("p")).select("key", F.col("p.words").alias("word"), F.col("p.times").alias("times"))
     found = pairs.join(counts, "word").groupBy("key").agg(F.sum("times").alias("n_more"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("more_log"))
     both = scored.drop("words", "times").join(found, "key", "left")

@@ -237,3 +237,28 @@ def test_hot_words_are_bounded(spark):
     hot = lm.hot_words(counts, 50)
     assert 0 < len(hot) <= 50 and hot == sorted(hot, key=lambda x: (-x[1], x[0])) and min(c for _, c in hot) > 20
     assert len(lm.hot_words(counts, 1000)) == 300 and lm.hot_words(counts, 3) == [] and lm.hot_words(counts.limit(0)) == []
+
+
+def test_lm_tells_words_without_class_apart():
+    """c and d are equally frequent and lie in one group; c follows a, d follows b."""
+    ranked = [(b"a", 90), (b"b", 80), (lm.END, 20), (b"c", 7), (b"d", 7), (b"z", 5)]
+    words = lm.Words(ranked, 219, 9, classes=4, edges=[b"m"], others=np.array([[7, 2], [3, 1]]))
+    inner = lm.Inner(words)
+    a, b, c, d = (words.rank[x] for x in (b"a", b"b", b"c", b"d"))
+    trainer = lm.InnerTrainer(inner, words, 1)
+    w, p = np.array([c, d] * 200), np.array([a, b] * 200)
+    for _ in range(20):
+        trainer.step(np.zeros_like(w), w, p, np.zeros_like(w))
+    ask = lambda x, y: inner.logs(words, np.array([0]), np.array([x]), np.array([y]), np.array([0]))[0]
+    assert ask(c, a) > ask(d, a) + 1 and ask(d, b) > ask(c, b) + 1
+    # Both groups' members, and over all words of the model, add up to one.
+    one, two, z = lm.Model(words.unigram).tables()
+    total = sum(np.exp(one[3, k] + two[0, k] - z[3, 0]) for k in (0, 3, 4))
+    for g in (0, 1):
+        members = words.members[words.first[g] : words.first[g + 1]]
+        n = len(members)
+        within = np.exp(inner.logs(words, np.full(n, g), members, np.full(n, a), np.zeros(n, int))).sum()
+        assert abs(within - 1) < 1e-5
+        total += np.exp(one[3, 1 + g] + two[0, 1 + g] - z[3, 0]) * within
+    assert abs(total - 1) < 1e-5 and words.others_size.tolist() == [10, 5]
+    assert words.ranks([b"new", b"c", b"tx"]) == [-2, c, -2] and words.ranks([b"ea"]) == [-1]
