@@ -432,6 +432,19 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> list[tuple[bytes, int
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
+def known_words(counts: DataFrame, most: int | None = None) -> list[tuple[bytes, int]]:
+    """The hot words, and whatever the histogram says the end and the most frequent words, which become classes."""
+    ranked = hot_words(counts, HOT_WORDS if most is None else most)
+    end = [(END, r["c"]) for r in counts.where(F.col("word") == F.lit(END)).collect()] if END not in dict(ranked) else []
+    lacks = CLASSES - 2 - len([w for w, _ in ranked if w != END])
+    if lacks > 0:
+        below = counts.where(F.col("word") != F.lit(END))
+        if ranked:
+            below = below.where(F.col("c") < ranked[-1][1])
+        ranked = ranked + [(bytes(r["word"]), r["c"]) for r in below.orderBy(F.desc("c"), "word").limit(lacks).collect()]
+    return sorted(ranked + end, key=lambda x: (-x[1], x[0]))
+
+
 def group_edges(ranked: list[tuple[bytes, int]], classes: int = CLASSES) -> list[bytes]:
     """Least reversed words of the groups from the second on, so that each has about as many hot words."""
     turned = sorted(w[::-1] for w, _ in [x for x in ranked if x[0] != END][classes - 2 :])
@@ -463,7 +476,7 @@ def fit(texts: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Row, object,
     spark = texts.sparkSession
     counts = written(word_counts(texts), "counts")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
-    ranked = hot_words(counts)
+    ranked = known_words(counts)
     edges = group_edges(ranked)
     sent = spark.sparkContext.broadcast((ranked, sums["total"], sums["distinct"], CLASSES, edges, other_sizes(counts, ranked, edges)))
     words = Words(*sent.value)

@@ -262,3 +262,17 @@ def test_lm_tells_words_without_class_apart():
         total += np.exp(one[3, 1 + g] + two[0, 1 + g] - z[3, 0]) * within
     assert abs(total - 1) < 1e-5 and words.others_size.tolist() == [10, 5]
     assert words.ranks([b"new", b"c", b"tx"]) == [-2, c, -2] and words.ranks([b"ea"]) == [-1]
+
+
+def test_lm_where_no_word_is_hot(spark, monkeypatch):
+    """All words tie, so the first bin overflows: the end and the classes are known all the same, and counts stay exact."""
+    monkeypatch.setattr(lm, "HOT_WORDS", 3)
+    monkeypatch.setattr(lm, "CLASSES", 12)
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][:1] + [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:1]
+    texts = [" ".join(f"w{i}" for i in range(40)), "w1 w39 new"]
+    counts = lm.word_counts(spark.createDataFrame([(texts[0],)], "text string"))
+    assert lm.hot_words(counts, 3) == [] and lm.known_words(counts) == [(b"", 1), *sorted((f"w{i}".encode(), 1) for i in range(40))[:10]]
+    got = {r["doc_id"]: r for r in lm.score_documents(spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id bigint, text string")).collect()}
+    assert [got[i]["n_known"] for i in ids] == [41, 3]
+    base = math.log10(2 / (41 + 41 + 1))
+    assert abs(got[ids[0]]["base_score"] - 41 * base) < 1e-9 and abs(got[ids[1]]["base_score"] - 3 * base - math.log10(1 / 83)) < 1e-9
