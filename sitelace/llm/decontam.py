@@ -1,8 +1,9 @@
 """Benchmark passages in documents, by q-gram lemma filtering.
 
 Texts are lowered, every run of blanks and ASCII punctuation becomes one space, and characters are UTF-8 bytes.  An item is
-cut into pieces of PIECE bytes with half of that as step (items of up to LONGEST stay whole), so that a long part of an
-item is found too.  A copy of a piece of length n with at most k = n * EDITS edits shares n + 1 - q - q * k of the
+cut into pieces of PIECE bytes with half of that as step (items of up to LONGEST stay whole), and besides, if longer than
+PART, into pieces of PART bytes at steps of PART_STEP, so that parts are found too: a verbatim passage of PART + PART_STEP - 1
+= 79 bytes always, as it holds a whole piece, and an edited one where a piece keeps within its budget.  A copy of a piece of length n with at most k = n * EDITS edits shares n + 1 - q - q * k of the
 piece's q-grams with the document, all within k + 1 neighbouring diagonals.  Shared q-grams are therefore counted in
 bands of 2 * STEP diagonals, each overlapping the next by half; bands that reach the bound are verified by alignment
 within the band, all candidates of a batch at once.
@@ -27,10 +28,11 @@ from .common import fresh
 Q = 10
 EDITS = 0.08
 PIECE, LONGEST = 128, 160
+PART, PART_STEP = 64, 16
 #: Diagonals between the starts of two bands; at least the largest budget.
 STEP = 16
 #: Benchmark bytes in one index; a larger benchmark takes several, one after the other.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 TABLE_BITS = 22
 _FOLD = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -77,6 +79,9 @@ class Benchmark:
                 continue
             starts = [0] if len(raw) <= LONGEST else sorted({*range(0, len(raw) - PIECE, PIECE // 2), len(raw) - PIECE})
             self.pieces += [(item_id, raw if len(starts) == 1 else raw[s : s + PIECE]) for s in starts]
+            if len(raw) > PART:
+                parts = sorted({*range(0, len(raw) - PART, PART_STEP), len(raw) - PART})
+                self.pieces += [(item_id, raw[s : s + PART]) for s in parts]
         self.lengths = np.array([len(p) for _, p in self.pieces], np.int64)
         self.budgets = np.minimum((self.lengths * EDITS).astype(np.int64), np.maximum(0, (self.lengths - Q) // Q))
         self.needed = self.lengths + 1 - Q - Q * self.budgets

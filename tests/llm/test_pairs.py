@@ -276,3 +276,16 @@ def test_lm_where_no_word_is_hot(spark, monkeypatch):
     assert [got[i]["n_known"] for i in ids] == [41, 3]
     base = math.log10(2 / (41 + 41 + 1))
     assert abs(got[ids[0]]["base_score"] - 41 * base) < 1e-9 and abs(got[ids[1]]["base_score"] - 3 * base - math.log10(1 / 83)) < 1e-9
+
+
+def test_op1_parts_of_items():
+    """Any 79 bytes of an item are found, and a short item without its last words."""
+    r = random.Random(21)
+    items = [(i, prose(r, n)[:m]) for i, (n, m) in enumerate([(30, 82), (40, 100), (60, 160), (80, 233), (120, 394)])]
+    index = decontam.Benchmark(items)
+    for i, text in items:
+        raw = decontam.normal(text).decode()
+        passages = [raw[a : a + 79] for a in range(len(raw) - 78)]
+        texts = ["qq " * 9 + p + " zz" * 30 for p in passages]
+        assert all(i in dict(f) for f in index.leaks(texts))
+    assert index.leaks([items[0][1][:68], prose(r, 200, 10**6)]) == [[(0, 0)], []]
