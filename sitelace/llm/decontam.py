@@ -117,8 +117,8 @@ class Benchmark:
         enough = count >= self.needed[piece]
         return piece[enough], (code[enough] % bands - LONGEST) * STEP
 
-    def edits(self, raw: np.ndarray, piece: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
-        """Least edits that turn each piece into a stretch of the text within its band."""
+    def edits(self, raw: np.ndarray, piece: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least edits that turn each piece into a stretch of the text within its band, and the place where that stretch ends."""
         margin = int(self.budgets.max(initial=0))
         width, longest = 2 * STEP + 2 * margin + 1, int(self.lengths[piece].max())
         start = diagonal - margin
@@ -128,14 +128,15 @@ class Benchmark:
         text[inside] = raw[places[inside]]
         pattern, ramp = self.bytes[piece], np.arange(width, dtype=np.int32)
         cost = np.zeros((len(piece), width), np.int32)
-        out = np.zeros(len(piece), np.int32)
+        out, end = np.zeros(len(piece), np.int32), np.zeros(len(piece), np.int64)
         for i in range(longest):
             new = cost + (text[:, i : i + width] != pattern[:, i : i + 1])
             new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
             cost = np.minimum.accumulate(new - ramp, axis=1) + ramp
             done = self.lengths[piece] == i + 1
             out[done] = cost[done].min(axis=1)
-        return out
+            end[done] = start[done] + i + cost[done].argmin(axis=1)
+        return out, end
 
     def leaks(self, texts: list[str | None]) -> list[list[tuple[int, int]]]:
         """For each text (item, edits of its closest piece), by item."""
@@ -148,9 +149,9 @@ class Benchmark:
             text = np.frombuffer(whole, np.uint8)
             for a in range(0, len(piece), 4096):
                 p, d = piece[a : a + 4096], diagonal[a : a + 4096]
-                edits = self.edits(text, p, d)
+                edits, end = self.edits(text, p, d)
                 good = edits <= self.budgets[p]
-                docs = np.searchsorted(starts, d[good] + STEP + self.lengths[p[good]] // 2, side="right") - 1
+                docs = np.searchsorted(starts, end[good], side="right") - 1
                 for doc, i, e in zip(docs.tolist(), p[good].tolist(), edits[good].tolist(), strict=True):
                     item = self.pieces[i][0]
                     found[doc][item] = min(e, found[doc].get(item, e))

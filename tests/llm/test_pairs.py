@@ -289,3 +289,13 @@ def test_op1_parts_of_items():
         texts = ["qq " * 9 + p + " zz" * 30 for p in passages]
         assert all(i in dict(f) for f in index.leaks(texts))
     assert index.leaks([items[0][1][:68], prose(r, 200, 10**6)]) == [[(0, 0)], []]
+
+
+def test_op1_short_items_at_document_starts():
+    """A match at a document's first bytes is that document's alone, wherever the document lies in the batch."""
+    for n in range(11, 30):
+        item = "".join(chr(97 + (7 * k + n) % 26) for k in range(n))
+        index = decontam.Benchmark([(1, item)])
+        for before in range(1, 40):
+            assert index.leaks(["y" * before, item + " tail", "x"]) == [[], [(1, 0)], []]
+            assert index.leaks([item, "y" * before]) == [[(1, 0)], []]
