@@ -8,7 +8,7 @@ piece's q-grams with the document, all within k + 1 neighbouring diagonals.  Sha
 bands of 2 * STEP diagonals, each overlapping the next by half; bands that reach the bound are verified by alignment
 within the band, all candidates of a batch at once.
 
-Cases: null or empty documents and items match nothing; items of fewer bytes than q + 1 must occur as whole words without
+Cases: null or empty documents and items match nothing; a null item_id is reported as it is; items of fewer bytes than q + 1 must occur as whole words without
 edits; equal items are each reported; repeated documents are each reported.  An empty benchmark leaks into nothing.  The
 operator is a column expression over the text, so other columns are untouched.
 """
@@ -159,7 +159,7 @@ class Benchmark:
             for doc, r in enumerate(raws):
                 if mark in b" " + r + b" ":
                     found[doc][item] = 0
-        return [sorted(f.items()) for f in found]
+        return [sorted(f.items(), key=lambda x: (x[0] is not None, x[0] or 0)) for f in found]
 
 
 TYPE = "array<struct<item_id:bigint,edits:int>>"
@@ -168,7 +168,7 @@ _ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32())]))
 
 def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
     """The items, in blocks of about BLOCK_BYTES: only as much as fits is ever on the driver or broadcast."""
-    items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
+    items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).where("t is not null")
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-size // BLOCK_BYTES)
     for b in range(n):

@@ -299,3 +299,12 @@ def test_op1_short_items_at_document_starts():
         for before in range(1, 40):
             assert index.leaks(["y" * before, item + " tail", "x"]) == [[], [(1, 0)], []]
             assert index.leaks([item, "y" * before]) == [[(1, 0)], []]
+
+
+def test_op1_items_without_id(spark):
+    text = prose(random.Random(22), 30)
+    benchmark = spark.createDataFrame([(None, text), (7, text)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "so " + text), (2, "clean")], "doc_id bigint, text string")
+    found = {r["doc_id"]: [x["item_id"] for x in r["f"]] for r in docs.select("doc_id", decontam.leaks(F.col("text"), benchmark).alias("f")).collect()}
+    assert found == {1: [None, 7], 2: []}
+    assert [r["doc_id"] for r in decontam.decontaminate(docs, benchmark.where("item_id is null")).collect()] == [2]
