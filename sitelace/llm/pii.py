@@ -71,6 +71,19 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, free))
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The longest match that holds mod-97, else the longest of its prefixes before a blank that does; then on from its end."""
+    at = 0
+    while m := IBAN.search(text, at):
+        start, end = m.span()
+        ends = [end, *(i for i in range(end - 1, start, -1) if text[i] == " ")]
+        held = next((e for e in ends if mod97(text[start:e])), None)
+        if held:
+            yield start, held
+        # A match that fails may hide one that begins at a later word.
+        at = held or next((i + 1 for i in range(start, end) if text[i] == " "), end)
+
+
 def proposed(text: str) -> Iterator[tuple[str, int, int]]:
     if "@" in text:
         for a, b in emails(text):
@@ -90,9 +103,8 @@ def proposed(text: str) -> Iterator[tuple[str, int, int]]:
         for m in PHONE.finditer(text):
             if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
                 yield "phone", *m.span()
-    for m in IBAN.finditer(text):
-        if mod97(m[0]):
-            yield "iban", *m.span()
+    for start, end in ibans(text):
+        yield "iban", start, end
     for m in NATIONAL.finditer(text):
         yield "national_phone", *m.span()
     for m in SSN.finditer(text):

@@ -262,3 +262,11 @@ def test_sharding_beside_columns_of_its_names(spark):
     got = sharding.shard_documents(spark.range(10).selectExpr("id", "id as Shard", "id as slot_", "id as slot", "id as row_place", "id as bin"), 3)
     assert got.columns == ["id", "Shard", "slot_", "slot", "row_place", "bin", "shard_", "slot__"]
     assert sorted(r["shard_"] for r in got.collect()) == [0] * 4 + [1] * 3 + [2] * 3
+
+
+def test_iban_before_capitals():
+    iban = "DE89 3704 0044 0532 0130 00"
+    for text in (f"IBAN {iban} BIC COBADEFFXXX", f"IBAN {iban}", f"AB12 CDEF GHIJ {iban} 77 {iban} XY"):
+        found = [text[a:b] for k, a, b, _ in pii.spans(text) if k == "iban"]
+        assert found == [iban] * text.count(iban)
+        assert "3704" not in pii.redacted(text)
