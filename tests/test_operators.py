@@ -220,3 +220,17 @@ def test_reports_take_a_pipelines_names(spark):
     df = spark.createDataFrame([(1, "x", True)], "left_index int, nearest_right_name string, key_in_right boolean")
     assert reports.renamed(df, "station", "marker").columns == ["station_index", "nearest_marker_name", "key_in_marker"]
     assert F.col("x") is not None
+
+
+def test_uncovered_sources_sees_every_target(spark, monkeypatch):
+    """Both halves go in whole: only keys of rows change."""
+    from sitelace import catalog
+
+    seen = []
+    monkeypatch.setattr(catalog.reports, "uncovered_sources", lambda sources, targets, config: seen.append((sources, targets)))
+    a, b = (spark.createDataFrame([(i, f"k{i}") for i in ids], "rid bigint, key string") for ids in (range(0, 16, 2), range(1, 16, 2)))
+    monkeypatch.setattr(catalog, "_by_name", lambda spark, sf_dir: (a, b))
+    catalog.uncovered_sources(spark, "")
+    ((sources, targets),) = seen
+    assert sorted(r["rid"] for r in targets.collect()) == list(range(0, 16, 2)) and sources.count() == 8
+    assert sorted(r["key"] for r in targets.collect() if r["rid"] % 4) == ["k10", "k14", "k2", "k6"]
