@@ -4,9 +4,14 @@ A word's parts lie in one list of symbol ids, beside it a list of the merge rank
 found by a scan, its boundary deleted and the two neighbouring ranks looked up anew, until no pair merges.  Words are
 short, so the scan beats a heap; words of more than `SCAN_PARTS` symbols go through a heap with the same order of merges.
 
-Cases: a null or empty text has no ids and decodes to the empty string.  Equal texts give equal ids.  White space is no
-token and does not come back; the decoded text is the tokens joined by single spaces, as the vocabulary has no decoder.
-Other columns, whatever their names, are not touched: the operator is a column expression.
+The vocabulary file names the normal form and the pieces that it is for.  Words of letters that were proved to be their own
+normal form need neither; for all other chunks between blanks both come from the tokenizers library, whose tables of
+letters are the ones that count.  A file with another normaliser, pre-tokenizer or kind of model is refused with a ValueError.
+
+Cases: a null or empty text has no ids and decodes to the empty string.  Very long texts are taken whole, chunk by chunk;
+memory beyond the text and its ids is that of the longest chunk.  Equal texts give equal ids.  White space is no token and
+does not come back; the decoded text is the tokens joined by single spaces, as the vocabulary has no decoder.  An empty
+table gives an empty result.  Other columns, whatever their names, are not touched: the operator is a column expression.
 """
 
 from __future__ import annotations
@@ -14,21 +19,30 @@ from __future__ import annotations
 import heapq
 import json
 import re
-import unicodedata
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from .common import worker_cache
 
 SCAN_PARTS = 128
-#: Chunks and pieces met at least twice, and pieces met once, that a worker holds before it forgets them: under 130 MB.
-CACHE_CHUNKS, CACHE_NEW = 400_000, 200_000
-#: Fixed values of the vocabulary's pre-tokenizer.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+#: Chunks and pieces met at least twice, and pieces met once, that a worker holds before it forgets them: under 110 MB.
+CACHE_CHUNKS, CACHE_NEW = 400_000, 150_000
+# What a vocabulary file must say for its ids to come out right here.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
 NONE = 1 << 60
 
 
@@ -39,28 +53,51 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def checked(path: str) -> dict:
+    """The vocabulary file, if it is of the one kind that this module knows."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    said = {"normalizer": spec["normalizer"], "pre_tokenizer": spec["pre_tokenizer"], "post_processor": spec["post_processor"], "decoder": spec["decoder"]}
+    known = {"normalizer": NORMALIZER, "pre_tokenizer": PRE_TOKENIZER, "post_processor": None, "decoder": None}
+    model = {k: v for k, v in spec["model"].items() if k not in ("vocab", "merges")}
+    plain = all(t["special"] and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec["added_tokens"])
+    if said != known or model != MODEL or not plain:
+        raise ValueError(f"{path} has another normaliser, pre-tokenizer, model or kind of added tokens than this encoder")
+    return spec
+
+
+def word_pattern(library: Tokenizer) -> re.Pattern:
+    """Chunks that are a word and maybe a run of signs: of small ASCII letters, and of those two-byte letters that the
+    library, asked one by one, leaves as they are and takes into a word; signs are ASCII ones that never stand for more."""
+    leads: dict[int, bytes] = {}
+    normal, split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+    for c in map(chr, range(0xC0, 0x250)):
+        if normal(f"a{c}b") == f"a{c}b" and len(split(f"a{c}b")) == 1 and [len(x) for x, _ in split(f"{c},")] == [2, 1]:
+            raw = c.encode()
+            leads[raw[0]] = leads.get(raw[0], b"") + re.escape(raw[1:])
+    letters = b"|".join([b"[a-z]", *(bytes([lead]) + b"[" + follow + b"]" for lead, follow in leads.items())])
+    return re.compile(rb"((?:" + letters + rb")+)([!-&(-/:;=?@\[-`{}~]*)")
+
+
 class ChunkEncoder:
     """Ids of a text, chunk by chunk, from a cache of what was seen.
 
-    Texts are cut at ASCII blanks, which no piece or special token holds.  Nearly all chunks are letters, at most with one
-    sign behind them; the others go through the vocabulary's pattern, those with special tokens to `special_chunk`.
-    A form of a piece (with capitals or a sign) is kept from the second time on that its piece is met.
+    Texts are cut at ASCII blanks, which no piece or special token holds.  Nearly all chunks are words, at most with signs
+    behind them; the others go to `chunk_ids`.  A form of a word (with capitals or signs) is kept from the second time on
+    that the word is met.
     """
 
-    def __init__(self, special: list[str]):
-        self.special_mark = re.compile(b"|".join(re.escape(t.encode()) for t in special) or rb"(?!)")
-        self.split = regex.compile(PIECES)
+    def __init__(self, library: Tokenizer):
+        self.word = word_pattern(library)
         self.known: dict[bytes, bytes] = {}
         self.new: dict[bytes, bytes] = {}
 
     def piece_ids(self, raw: bytes) -> bytes:
-        """Of one piece, not looked up."""
+        """Of a word or a run of signs as the pattern has them, not looked up."""
         raise NotImplementedError
 
-    def normal(self, text: str) -> str:
-        raise NotImplementedError
-
-    def special_chunk(self, text: str) -> bytes:
+    def chunk_ids(self, raw: bytes) -> bytes:
+        """Of any other chunk."""
         raise NotImplementedError
 
     def keep(self, raw: bytes, ids: bytes) -> bytes:
@@ -70,33 +107,27 @@ class ChunkEncoder:
             self.known[raw] = ids
         return ids
 
-    def piece(self, raw: bytes) -> bytes:
+    def looked_up(self, raw: bytes, find) -> bytes:
         if (ids := self.known.get(raw)) is not None:
             return ids
         if (ids := self.new.pop(raw, None)) is not None:
             return self.keep(raw, ids)
-        ids = self.piece_ids(raw)
+        ids = find(raw)
         if len(self.new) >= CACHE_NEW:
             self.new.clear()
         if len(raw) < 64:
             self.new[raw] = ids
         return ids
 
+    def piece(self, raw: bytes) -> bytes:
+        return self.looked_up(raw, self.piece_ids)
+
     def chunk(self, raw: bytes) -> bytes:
-        low = raw.lower()
-        if low.isalpha():
-            seen = low in self.known
-            ids = self.piece(low)
-            return self.keep(raw, ids) if seen else ids
-        if low[:-1].isalpha() and low[-1] < 128 and low[-1:] != b"'":
-            seen = low[:-1] in self.known
-            ids = self.piece(low[:-1]) + self.piece(low[-1:])
-            return self.keep(raw, ids) if seen else ids
-        if self.special_mark.search(raw):
-            return self.keep(raw, self.special_chunk(raw.decode()))
-        pieces = [p.encode() for p in self.split.findall(self.normal(raw.decode()))]
-        seen = all(p in self.known for p in pieces)
-        ids = b"".join(map(self.piece, pieces))
+        if (m := self.word.fullmatch(raw.lower())) is None:  # of bytes: ASCII capitals alone become small
+            return self.looked_up(raw, self.chunk_ids)
+        word, signs = m.groups()
+        seen = word in self.known
+        ids = self.piece(word) + self.piece(signs) if signs else self.piece(word)
         return self.keep(raw, ids) if seen else ids
 
     def encode(self, text: str | None) -> bytes:
@@ -106,16 +137,17 @@ class ChunkEncoder:
 
 
 class WordBPE(ChunkEncoder):
-    """The model of one vocabulary file: NFC, lower case, pieces, bytes, merges."""
+    """The model of one vocabulary file: normal form, pieces, bytes, merges."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model, symbols = spec["model"], byte_symbols()
-        vocab = model["vocab"]
-        suffix = model["end_of_word_suffix"] or ""
+        spec, symbols, library = checked(path), byte_symbols(), Tokenizer.from_file(path)
+        super().__init__(library)
+        model = spec["model"]
+        vocab, suffix = model["vocab"], model["end_of_word_suffix"]
+        self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        super().__init__(list(self.special))
+        self.special_mark = re.compile("|".join(map(re.escape, self.special)) or "(?!)")
+        self.byte_of = {s: i for i, s in enumerate(symbols)}
         self.inner = [vocab.get(s) for s in symbols]
         self.final = [vocab.get(s + suffix) for s in symbols]
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}
@@ -172,29 +204,27 @@ class WordBPE(ChunkEncoder):
             parts.append(last)
         return array("I", self.merged(parts)).tobytes()
 
-    def normal(self, text: str) -> str:
-        """Lower case letter by letter: a final sigma is no exception."""
-        return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-
-    def special_chunk(self, text: str) -> bytes:
-        out, at = [], 0
-        for m in self.special_mark.finditer(raw := text.encode()):
-            out += [self.encode(raw[at : m.start()].decode()), array("I", [self.special[m[0].decode()]]).tobytes()]
+    def chunk_ids(self, raw: bytes) -> bytes:
+        text, out, at = raw.decode(), [], 0
+        for m in self.special_mark.finditer(text):
+            out += [self.plain_ids(text[at : m.start()]), array("I", [self.special[m[0]]]).tobytes()]
             at = m.end()
-        return b"".join([*out, self.encode(raw[at:].decode())])
+        return b"".join([*out, self.plain_ids(text[at:])])
+
+    def plain_ids(self, text: str) -> bytes:
+        shown = self.split(self.normal(text)) if text else ()
+        return b"".join(self.piece(bytes(map(self.byte_of.__getitem__, p))) for p, _ in shown)
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_models: dict[str, WordBPE] = {}
-
-
 def model(path: str) -> WordBPE:
-    """One model for each worker process; its caches outlive a task."""
-    if path not in _models:
-        _models[path] = WordBPE(path)
-    return _models[path]
+    """The worker's model of a file; its caches outlive a task, but not the stage."""
+    held = worker_cache("bpe")
+    if path not in held:
+        held[path] = WordBPE(path)
+    return held[path]
 
 
 def encoded(text: Column, path: str) -> Column:

@@ -1,20 +1,23 @@
-"""What the corpus operators share: where tables lie, where lineage is cut, how large an Arrow batch may get."""
+"""What the corpus operators share: where tables lie, where lineage is cut, how large an Arrow batch may get, and what a
+Python worker keeps between tasks."""
 
 from __future__ import annotations
 
-import os
+import contextlib
+import ctypes
+import gc
 import uuid
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, written
 
-__all__ = ["bounded_batches", "fresh", "shared_dir", "table", "text_or_empty", "tokenizer_path", "written"]
-#: Rows of one Arrow batch.  Texts of 100 KB then make batches of 50 MB at most.
-ARROW_ROWS = 512
-#: Where `word_bpe_49k.json` and the other vocabularies lie, if the environment names no other folder.
-TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+__all__ = ["bounded_batches", "fresh", "shared_dir", "table", "text_or_empty", "tokenizer_path", "worker_cache", "written"]
+#: Rows of one Arrow batch, and its bytes: a batch ends with the row that reaches either, so only a single text is larger.
+ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +25,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches small enough for long texts; a smaller setting stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Keeps Arrow batches small enough for long texts; smaller settings stay.
+
+    Plans are made when a result is asked for, so the settings hold for the session from here on."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        now = int(spark.conf.get(key, str(most + 1)).removesuffix("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
+_held: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What an operator keeps in this worker from task to task.  What others have kept goes, memory and all, so a worker
+    that serves one stage after another holds the caches of one."""
+    others = [k for k in _held if k != owner]
+    for k in others:
+        del _held[k]
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call, it keeps the pages
+            ctypes.CDLL(None).malloc_trim(0)
+    return _held.setdefault(owner, {})
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -34,8 +56,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json", folder: str | None = None) -> str:
-    return f"{folder or TOKENIZER_DIR}/{name}"
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    return public_tokenizers.path(name)
 
 
 def fresh(name: str, *taken: str) -> str:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import fresh, worker_cache, written
 
 WORDS, THRESHOLD, RECALL, MAX_PERMUTATIONS = 5, 0.8, 0.999, 140
 #: Hashes of the sets in one block of a large component (8 MB), and its sets.
@@ -34,7 +34,7 @@ BLOCK_SHINGLES, BLOCK_NODES = 1_000_000, 2048
 CHUNK_BITS = 1 << 16
 #: A list of that many ids is broadcast (under 10 MB), a longer one joined by a shuffle.
 BROADCAST_IDS = 250_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -50,22 +50,19 @@ def banding(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MA
     return best
 
 
-_known: dict[bytes, int] = {}
-
-
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word n-grams."""
+def shingles(text: str | None, known: dict[bytes, int], words: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's word n-grams.  known: hashes of words, kept from text to text."""
     split = (text or "").encode().split()
     if not split:
         return np.empty(0, np.uint64)
-    if len(_known) > CACHE_WORDS:
-        _known.clear()
     hashes = []
     for w in split:
-        if (h := _known.get(w)) is None:
+        if (h := known.get(w)) is None:
             h = xxhash.xxh64_intdigest(w)
             if len(w) < 64:
-                _known[w] = h
+                if len(known) >= CACHE_WORDS:
+                    known.clear()
+                known[w] = h
         hashes.append(h)
     h = np.array(hashes, np.uint64)
     n = max(1, len(h) - words + 1)
@@ -115,9 +112,9 @@ def signed(text: Column, bands: int, rows: int) -> Column:
     """text -> node (null without words), number of shingles, band hashes."""
 
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        minhash = MinHash(bands, rows)
+        minhash, known = MinHash(bands, rows), worker_cache("jaccard")
         for texts in batches:
-            sets = [shingles(t.as_py()) for t in texts]
+            sets = [shingles(t.as_py(), known) for t in texts]
             yield pa.StructArray.from_arrays(
                 [
                     pa.array([node_of(s) for s in sets], pa.binary()),
@@ -134,8 +131,9 @@ def membered(text: Column) -> Column:
     """text -> node and its sorted hashes as bytes."""
 
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = worker_cache("jaccard")
         for texts in batches:
-            sets = [shingles(t.as_py()) for t in texts]
+            sets = [shingles(t.as_py(), known) for t in texts]
             yield pa.StructArray.from_arrays([pa.array([node_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "members"])
 
     return F.arrow_udf(find, "struct<node:binary,members:binary>").asNondeterministic()(text)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import worker_cache, written
 
 CLASSES, DIM, NOISE, BATCH, ROUNDS, RATE = 1024, 16, 16, 512, 2, 0.2
 GROUPS, GROUP_WORDS, GROUP_NOISE, GROUP_BATCH, GROUP_RATE = 384, 64, 5, 4096, 0.1
@@ -361,15 +361,12 @@ def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, roun
     start.unpersist()
 
 
-_cache: list[tuple[tuple, Words]] = []
-
-
 def _words(sent) -> Words:
     """The broadcast words, made ready once for each worker."""
-    value = sent.value
-    if not _cache or _cache[0][0] is not value:
-        _cache[:] = [(value, Words(*value))]
-    return _cache[0][1]
+    value, held = sent.value, worker_cache("lm")
+    if held.get("of") is not value:
+        held |= {"of": value, "words": Words(*value)}
+    return held["words"]
 
 
 SCORED = pa.schema([

@@ -43,6 +43,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *map(count, pii.KINDS[: pii.BASE]),
         F.sha2(F.concat_ws(",", F.transform(base, said)), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform("found", said)).alias("spans"),
+        F.concat_ws(",", F.transform("found", lambda s: F.format_number(s["score"], 2))).alias("scores"),
     )
 
 

@@ -5,7 +5,8 @@ A 64-bit word has a selector in its top four bits, which says how many ids of ho
 is an escape, whose value of over 60 bits stands behind the block's words.  The block table has each block's place and
 counts, so any block is found and decoded alone, one selector at a time for all its words at once.
 
-Cases: null or empty texts have the end id alone.  Order: document id with nulls first, then a hash of the text, so
+Cases: null or empty texts have the end id alone; very long ones span blocks.  A vocabulary file of another kind than the
+one that texts are cut for is refused.  Order: document id with nulls first, then a hash of the text, so
 equal ids are in a fixed order and a crowd of them is still split between tasks; equal rows are interchangeable.  An
 empty table makes no files.  Files of a failed task are never named in the result, so retries do no harm.
 """
@@ -15,7 +16,6 @@ from __future__ import annotations
 import io
 import os
 import struct
-import unicodedata
 import uuid
 import zlib
 from array import array
@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import ChunkEncoder, byte_symbols
-from .common import shared_dir
+from .bpe import ChunkEncoder, byte_symbols, checked
+from .common import shared_dir, worker_cache
 
 MAGIC = b"S8BIDS01"
 BLOCK_IDS = 1 << 16
@@ -153,39 +153,33 @@ def read_file(source) -> Iterator[tuple[int | None, np.ndarray]]:
 
 
 class LibraryEncoder(ChunkEncoder):
-    """The tokenizers library's model, asked once for each piece that the cache lacks; chunks with special tokens go
-    through the whole library."""
+    """The tokenizers library, asked once for each chunk that the cache lacks: its whole pipeline, or for pieces that are
+    their own normal form its model alone."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        checked(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        super().__init__([t.content for t in self.tokenizer.get_added_tokens_decoder().values()])
+        super().__init__(self.tokenizer)
         self.model, self.symbols = self.tokenizer.model, byte_symbols()
 
     def piece_ids(self, raw: bytes) -> bytes:
-        shown = raw.decode() if raw.isalpha() else "".join(map(self.symbols.__getitem__, raw))
+        shown = raw.decode() if raw.isascii() else "".join(map(self.symbols.__getitem__, raw))
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
-    def normal(self, text: str) -> str:
-        if max(text) < "\u0250":
-            return unicodedata.normalize("NFC", text).lower()
-        return self.tokenizer.normalizer.normalize_str(text)
-
-    def special_chunk(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-
-_encoders: dict[str, LibraryEncoder] = {}
+    def chunk_ids(self, raw: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids).tobytes()
 
 
 def encoder(path: str) -> LibraryEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _encoders:
-        _encoders[path] = LibraryEncoder(path)
-    return _encoders[path]
+    held = worker_cache("tokens")
+    if path not in held:
+        held[path] = LibraryEncoder(path)
+    return held[path]
 
 
 def _open(uri: str, how: str):

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -36,6 +37,24 @@ def test_bpe_equals_the_library(library):
         assert np.frombuffer(token_output.encoder(tokenizer_path()).encode(t), "<u4").tolist() == ids
 
 
+def test_encoders_equal_the_library_on_every_code_point(library):
+    """Alone, between letters, and in strings of letters and combining marks."""
+    r = random.Random(9)
+    points = [c for c in range(0x30000) if not 0xD800 <= c < 0xE000] + list(range(0xE0000, 0xE0200))
+    texts = [" ".join(form.format(chr(c)) for c in points[i : i + 2000]) for i in range(0, len(points), 2000) for form in ("{}", "X{}b")]
+    texts += ["".join(chr(r.choice(points)) if r.random() < 0.5 else chr(r.randrange(0x300, 0x370)) if r.random() < 0.5 else r.choice(" aB'") for _ in range(r.randrange(12))) for _ in range(5000)]
+    encoders = (bpe.WordBPE(tokenizer_path()), token_output.LibraryEncoder(tokenizer_path()))
+    for t in texts:
+        ids = np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert all(e.encode(t) == ids for e in encoders), t[:200]
+
+
+def test_other_vocabularies_are_refused():
+    for encoder in (bpe.WordBPE, token_output.LibraryEncoder):
+        with pytest.raises(ValueError, match="another"):
+            encoder(tokenizer_path("byte_bpe_50k.json"))
+
+
 def test_op5(spark, sf, library):
     got = by_id(queries.op5_bpe(spark, sf(documents=(documents(), DOCS))))
     for doc_id, text, *_ in documents():
@@ -72,7 +91,7 @@ def test_op10_ties_and_empty(spark, sf):
 
 def test_empty_tables(spark, sf):
     at = sf(documents=([], DOCS), conversations=([], "conv_id bigint, turn bigint, role string, text string"))
-    for q in (queries.op4_pii, queries.op5_bpe, queries.op8_quality, queries.op9_sharding, queries.op10_token_output):
+    for q in (queries.op4_pii, queries.op5_bpe, queries.op7_secrets, queries.op8_quality, queries.op9_sharding, queries.op10_token_output):
         assert q(spark, at).count() == 0
     assert [r["conv_id"] for r in queries.op6_chat(spark, at).collect()] == [-1]
 
@@ -110,8 +129,23 @@ def test_pii_added_and_redacted():
     assert "6789" not in pii.redacted(t) and pii.redacted(None) is None and pii.redacted("clean") == "clean"
 
 
+def test_pii_long_runs_are_linear():
+    """Runs of a million signs, and parts of an address with any number of zeros."""
+    n = 1_000_000
+    assert [s[:3] for s in pii.spans("0" * 400 + "1.2.3.4")] == [("ip", 0, 407)]
+    assert [s[0] for s in pii.spans("1." * 3 + "0" * n + "255 1.2.3." + "0" * n + "256")] == ["ip"]
+    n, began = 200_000, time.time()
+    for run in ("7", "7 ", "1.", "1.2.3 ", "+1(", "+1 ", "a@", "a.", "a@b", "@", "A1", "DE89 ", "(555) ", "7-"):
+        text = run * (n // len(run))
+        pii.redacted(text)
+    assert time.time() - began < 30
+
+
 def test_op4(spark, sf):
-    got = by_id(queries.op4_pii(spark, sf(documents=(documents(), DOCS))))
+    more = [(901, "write to a@b.example", "", "", 1, ""), (902, "x a@b.example", "", "", 1, "")]
+    got = by_id(queries.op4_pii(spark, sf(documents=([*documents(), *more], DOCS))))
+    assert {len(g["scores"].split(",")) - len(g["spans"].split(",")) for g in got.values()} == {0}
+    assert (got[901]["scores"], got[902]["scores"]) == ("1.00", "0.90")
     for doc_id, text, *_ in documents():
         base = brute_pii(text or "")
         said = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
