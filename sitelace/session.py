@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -24,8 +27,13 @@ def session(name: str = "sitelace", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """This application's folder below `spark.checkpoint.dir`, which driver and executors share; a default where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """This application's folder below `spark.checkpoint.dir`, which driver and executors share.  Where that is unset, a
+    local session takes a folder of this machine; a cluster has none that all could read."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = "/tmp/checkpoints"
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
@@ -68,7 +76,9 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_sitelace_shipped", False):
         return
     home = Path(__file__).resolve().parent
-    target = Path(os.path.realpath(tempfile.mkdtemp())) / "sitelace.zip"
+    folder = os.path.realpath(tempfile.mkdtemp())
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors fetch it from here whenever they start
+    target = Path(folder) / "sitelace.zip"
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(home.rglob("*.py")):
             z.write(p, p.relative_to(home.parent))
