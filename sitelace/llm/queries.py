@@ -82,7 +82,7 @@ FROM e GROUP BY conv_id
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "documents").select("doc_id", secrets.secret_spans(F.col("text")).alias("found"))
+    found = table(spark, sf_dir, "documents").select("doc_id", secrets.secret_spans("text").alias("found"))
     said = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
 
     def count(kind: str) -> Column:
@@ -96,6 +96,33 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", F.transform("found", said)).alias("spans"),
     )
 
+def _spans_sql(kind: str, rank: int, pattern: str, kept: str = "true", skip: str = "0") -> str:
+    """Spans of a pattern: what lies between matches, and the matches, have all lengths.  skip: characters before the span in a match."""
+    said = pattern.replace("'", "''")
+    return f"""SELECT r, '{kind}' AS kind, {rank} AS rank, z + {skip} AS a, z + length(m) AS b FROM (
+      SELECT r, m, g, list_sum(list_transform(bs[1:i], lambda x: length(x)))::BIGINT + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0)::BIGINT AS z
+      FROM (SELECT r, ms, bs, unnest(ms) AS m, unnest(gs) AS g, generate_subscripts(ms, 1) AS i
+        FROM (SELECT r, regexp_extract_all(t, '{said}') AS ms, regexp_extract_all(t, '{said}', {2 if kind == "assign" else 0}) AS gs, string_split_regex(t, '{said}') AS bs FROM d WHERE regexp_matches(t, '{said}')))
+    ) WHERE {kept}"""
+
+
+OP7_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), s AS (
+  {_spans_sql("assign", 0, r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "length(g) >= 6")}
+  UNION ALL {_spans_sql("access", 1, "AKIA[A-Z0-9]+", "length(m) >= 20")}
+  UNION ALL {_spans_sql("hex", 2, "[0-9a-f]+", "length(m) >= 24")}
+  UNION ALL {_spans_sql("private_key", 3, "-----BEGIN ([A-Z0-9 ]* )?PRIVATE KEY-----")}
+  UNION ALL {_spans_sql("source_host", 4, "gh[oprsu]_[A-Za-z0-9]+", "length(m) >= 40")}
+  UNION ALL {_spans_sql("chat_host", 5, "xox[abprs]-[A-Za-z0-9-]{10,}")}
+  UNION ALL {_spans_sql("web_token", 6, r"(^|[^A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}", skip="(NOT starts_with(m, 'eyJ'))::INT")}
+), n AS (
+  SELECT r, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FILTER (rank < 3) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) AS spans FROM s GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN n USING (r)
+"""
+
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -176,4 +203,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat": OP6_SQL, "op8_quality": OP8_SQL}
+    return {"op6_chat": OP6_SQL, "op7_secrets": OP7_SQL, "op8_quality": OP8_SQL}

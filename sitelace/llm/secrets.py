@@ -2,32 +2,39 @@
 
 A Boolean trigram query is derived from each rule's regular expression: the strings that every match must hold, as a
 conjunction of alternatives, each alternative a set of trigrams.  A text's lines are the indexed units (no rule matches
-across a line end): each trigram has its posting list of line numbers, alternatives intersect their lists, clauses unite
-and then intersect, and only lines that remain are verified by the regular expression.  A rule without mandatory
-trigrams scans all lines.  Postings never leave their row, so the index costs no shuffle and no text moves.
+across a line end).  One pass over a lowered line takes out its own trigrams, as far as any rule asks for them; turned
+about they are the postings, a map from trigram to line numbers (`postings`), which is made once for all rules.  By it
+alternatives intersect their lists, clauses unite and then intersect, and only lines that remain are verified by the regular
+expression.  A rule without mandatory trigrams scans all lines.  Postings never leave their row, so the index costs no
+shuffle and no text moves.
+
+The expressions are written as SQL text, which Spark parses once; called function by function they took seconds to build.
+No pattern repeats a group, so that Java's matcher does not recurse, and none can begin anew within a run that it has
+failed on, so that time is linear in a line's length.
 
 A span is (kind, start, end) in code points of the text, end exclusive, sorted by start, then kind as in RULES.
 
-Cases: a null or empty text has no spans; matches of one rule do not overlap, those of several may; equal rows have equal
-spans; an empty table gives an empty result.  The operator is a column expression: other columns are not touched.
+Cases: a null or empty text has no spans; matches of one rule do not overlap, those of several may; very long texts and
+lines are scanned whole; equal rows have equal spans; an empty table gives an empty result.  The operator is a column
+expression: other columns are not touched.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
-from itertools import product
+from itertools import count, product
 from re import _constants as sre
 from re import _parser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .quality import let
-
 
 @dataclass(frozen=True)
 class Rule:
-    """group: what of a match must have `least` characters (0 the match); folded: letters in the pattern's (?i:) parts."""
+    """group: what of a match must have `least` characters (0 the match)."""
 
     kind: str
     pattern: str
@@ -40,10 +47,10 @@ RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("private_key", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z0-9 ]*+(?<= PRIVATE KEY)-----"),
     Rule("source_host", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("chat_host", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}"),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{4,}"),
 )
 BASE = 3
 MOST_STRINGS = 64
@@ -70,7 +77,7 @@ def _strings(node) -> list[str] | None:
     if op is sre.BRANCH:
         parts = [_sequence(list(x)) for x in arg[1]]
         return None if None in parts else [s for p in parts for s in p]
-    if op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
+    if op in (sre.MAX_REPEAT, sre.MIN_REPEAT, sre.POSSESSIVE_REPEAT):
         low, high, body = arg
         inner = _sequence(list(body))
         if inner is None or high > 4:
@@ -118,119 +125,145 @@ def trigram_query(pattern: str) -> list[Clause]:
             elif node[0] is sre.SUBPATTERN:
                 walk(list(node[1][3]))
                 close()
-            elif node[0] is sre.MAX_REPEAT and node[1][0] > 0:
+            elif node[0] in (sre.MAX_REPEAT, sre.POSSESSIVE_REPEAT) and node[1][0] > 0:
                 walk(list(node[1][2]))
                 close()
+            elif node[0] is sre.ASSERT:
+                walk(list(node[1][1]))
+                close()
 
     walk(list(_parser.parse(pattern)))
     close()
     return clauses
 
 
-def prefix_sums(numbers: Column, block: int = 32) -> Column:
-    """Sums up to and with each element, in blocks so that long arrays do not cost their square."""
-    add = lambda a, x: a + x
-    total = lambda x: F.aggregate(x, F.lit(0), add)
+def _text(said: str) -> str:
+    """A pattern or string as an SQL literal without escapes."""
+    return "r'" + said.replace("'", r"\x27") + "'"
+
+
+_names = count()
+
+
+def let(value: str, body: Callable[[str], str]) -> str:
+    """SQL for `body` of a name for the value, which is computed once."""
+    name = f"v{next(_names)}"
+    return f"get(transform(array({value}), {name} -> {body(name)}), 0)"
+
+
+def prefix_sums(numbers: str) -> str:
+    """SQL for the sums up to and with each element, in blocks as long as the cube root, so that long arrays cost little more than their length."""
+    total = lambda x: f"aggregate({x}, 0, (a, x) -> a + x)"
+
+    def of(n: str) -> str:
+        def by_block(size: str) -> str:
+            sums = f"transform(sequence(0, cast((size({n}) - 1) div {size} as int)), b -> {total(f'slice({n}, b * {size} + 1, {size})')})"
 
-    def of(n: Column) -> Column:
-        blocks = F.sequence(F.lit(0), F.floor((F.size(n) - 1) / block).cast("int"))
-        sums = F.transform(blocks, lambda b: total(F.slice(n, b * block + 1, F.lit(block))))
+            def spread(s: str) -> str:
+                block = lambda before: let(f"slice({n}, b * {size} + 1, {size})", lambda q: f"transform({q}, (x, j) -> {before} + {total(f'slice({q}, 1, j + 1)')})")
+                return f"flatten(transform({s}, (x, b) -> {let(total(f'slice({s}, 1, b)'), block)}))"
 
-        def within(b: Column, before: Column) -> Column:
-            return let(F.slice(n, b * block + 1, F.lit(block)), lambda s: F.transform(F.sequence(F.lit(1), F.size(s)), lambda j: before + total(F.slice(s, F.lit(1), j))))
+            return let(sums, spread)
 
-        spread = let(sums, lambda s: F.flatten(F.transform(blocks, lambda b: let(F.when(b == 0, F.lit(0)).otherwise(total(F.slice(s, F.lit(1), b))), lambda before: within(b, before)))))
-        return F.when(F.size(n) == 0, F.array().cast("array<int>")).otherwise(spread)
+        return f"if(size({n}) = 0, cast(array() as array<int>), {let(f'greatest(8, cast(ceil(cbrt(size({n}))) as int))', by_block)})"
 
     return let(numbers, of)
 
 
 SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
+NONE, NO_SPANS = "cast(array() as array<int>)", f"cast(array() as {SPANS})"
+
+
+def vocabulary(rules: tuple[Rule, ...]) -> list[str]:
+    """The trigrams that any rule asks for."""
+    return sorted({g for r in rules for clause in trigram_query(r.pattern) for grams in clause for g in grams})
+
+
+def overlapping(grams: list[str]) -> str:
+    """A pattern that finds them all, those within others too; alternatives with one first letter stand together."""
+    by_first: dict[str, list[str]] = {}
+    for g in grams:
+        by_first.setdefault(g[0], []).append(re.escape(g[1:]))
+    return "(?=(" + "|".join(f"{re.escape(c)}(?:{'|'.join(more)})" for c, more in by_first.items()) + "))"
+
+
+def postings_sql(lines: str, rules: tuple[Rule, ...]) -> str:
+    """SQL for the inverted index of an array of lines: map from trigram to the numbers of the lines that hold it."""
+    own = f"array_distinct(regexp_extract_all(lower(x), {_text(overlapping(vocabulary(rules)))}, 1))"
+    pairs = f"flatten(transform({lines}, (x, i) -> transform({own}, g -> named_struct('g', g, 'i', i))))"
+
+    def inverted(e: str) -> str:
+        return let(f"array_distinct(transform({e}, x -> x.g))", lambda d: f"map_from_arrays({d}, transform({d}, g -> transform(filter({e}, x -> x.g = g), x -> x.i)))")
+
+    return let(pairs, inverted)
+
+
+def postings(text: str, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Of a column of texts, by name: the index of each, to be kept or looked at."""
+    return F.expr(let(f"split(coalesce(`{text}`, ''), '\n')", lambda lines: postings_sql(lines, rules)))
+
+
+def _candidates(lines: str, index: str, rule: Rule) -> str:
+    """SQL for the numbers of the lines that a rule's pattern must look at."""
+    clauses = trigram_query(rule.pattern)
+    if not clauses:
+        return f"filter(sequence(0, size({lines}) - 1), i -> rlike(get({lines}, i), {_text(rule.pattern)}))"
+
+    def intersected(lists: list[str]) -> str:
+        out = lists[0]
+        for more in lists[1:]:
+            out = f"array_intersect({out}, {more})"
+        return out
+
+    def alternative(grams: frozenset[str]) -> str:
+        return intersected([f"coalesce(try_element_at({index}, {_text(g)}), {NONE})" for g in sorted(grams)])
+
+    def clause(alternatives: Clause) -> str:
+        out = alternative(alternatives[0])
+        for grams in alternatives[1:]:
+            out = f"array_union({out}, {alternative(grams)})"
+        return out
+
+    return f"sort_array({intersected([clause(c) for c in clauses])})"
+
+
+def _matches(line: str, at: str, rule: Rule, rank: int) -> str:
+    """SQL for the spans of a rule in a line that starts at a place of the text: what lies between matches, and the matches, have all lengths."""
+    pattern = _text(rule.pattern)
+
+    def placed(f: str) -> str:
+        def of(b: str) -> str:
+            steps = f"transform({f}, (x, i) -> length(get({b}, i)) + if(i = 0, 0, length(get({f}, i - 1))))"
+
+            def kept(s: str) -> str:
+                start = f"{at} + get({s}, i)"
+                spans = f"transform({f}, (x, i) -> named_struct('start', {start}, 'rank', {rank}, 'end', {start} + length(x), 'kind', '{rule.kind}'))"
+                held = f"regexp_extract_all({line}, {pattern}, {rule.group})" if rule.group else f
+                return spans if rule.least < 2 else let(held, lambda g: f"filter({spans}, (x, i) -> length(get({g}, i)) >= {rule.least})")
+
+            return let(prefix_sums(steps), kept)
+
+        return f"if(size({f}) = 0, {NO_SPANS}, {let(f'split({line}, {pattern}, -1)', of)})"
+
+    return let(f"regexp_extract_all({line}, {pattern}, 0)", placed)
+
+
+def secret_spans(text: str, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Of a column of texts, by name: array of struct(start, rank, end, kind), by start, then rank."""
+
+    def of(lines: str) -> str:
+        def looked_at(index: str) -> str:
+            return "named_struct(" + ", ".join(f"'r{n}', {_candidates(lines, index, r)}" for n, r in enumerate(rules)) + ")"
+
+        def found(c: str) -> str:
+            def spans(ends: str) -> str:
+                begin = f"if(i = 0, 0, get({ends}, i - 1))"
+                by_rule = (f"flatten(transform({c}.r{n}, i -> {let(f'get({lines}, i)', lambda x, n=n, r=r: let(begin, lambda at: _matches(x, at, r, n)))}))" for n, r in enumerate(rules))
+                return f"sort_array(flatten(array({', '.join(by_rule)})))"
+
+            some = " or ".join(f"size({c}.r{n}) > 0" for n in range(len(rules)))
+            return f"if({some}, {let(prefix_sums(f'transform({lines}, x -> length(x) + 1)'), spans)}, {NO_SPANS})"
 
+        return let(let(postings_sql(lines, rules), looked_at), found)
 
-def _matches(line: Column, at: Column, rule: Rule, rank: int) -> Column:
-    """Spans of a rule in a line that starts at a place of the text: what lies between matches, and the matches, have all lengths."""
-    found = F.regexp_extract_all(line, F.lit(rule.pattern), F.lit(0))
-    between = F.split(line, rule.pattern, -1)
-
-    def place(f: Column) -> Column:
-        steps = let(between, lambda b: F.transform(f, lambda x, i: F.length(F.get(b, i)) + F.when(i == 0, F.lit(0)).otherwise(F.length(F.get(f, i - 1)))))
-        long = F.transform(f, lambda x: F.length(x) >= rule.least)
-        if rule.group:
-            long = F.transform(F.regexp_extract_all(line, F.lit(rule.pattern), F.lit(rule.group)), lambda x: F.length(x) >= rule.least)
-        spans = let(
-            prefix_sums(steps),
-            lambda s: let(
-                long,
-                lambda ok: F.transform(
-                    f,
-                    lambda x, i: F.struct((at + F.get(s, i)).alias("start"), F.lit(rank).alias("rank"), (at + F.get(s, i) + F.length(x)).alias("end"), F.lit(rule.kind).alias("kind"), F.get(ok, i).alias("ok")),
-                ),
-            ),
-        )
-        kept = F.filter(spans, lambda s: s["ok"])
-        return F.when(F.size(f) == 0, F.array().cast(SPANS)).otherwise(F.transform(kept, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"])))
-
-    return let(found, place)
-
-
-def secret_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """text -> array of struct(start, rank, end, kind), by start, then rank."""
-    none = F.array().cast("array<int>")
-
-    def candidates(t: Column, lines: Column) -> Column:
-        """A struct with each rule's candidate lines."""
-        every = F.sequence(F.lit(0), F.size(lines) - 1)
-
-        def by_index(low: Column, low_lines: Column) -> list[Column]:
-            def postings(gram: str) -> Column:
-                return F.when(F.contains(low, F.lit(gram)), F.filter(every, lambda i: F.contains(F.get(low_lines, i), F.lit(gram)))).otherwise(none)
-
-            def alternative(grams: frozenset[str]) -> Column:
-                """Intersects the lists, unless a trigram is nowhere."""
-                first, *rest = sorted(grams)
-                lists = postings(first)
-                for g in rest:
-                    lists = F.array_intersect(lists, postings(g))
-                held = F.contains(low, F.lit(first))
-                for g in rest:
-                    held = held & F.contains(low, F.lit(g))
-                return F.when(held, lists).otherwise(none)
-
-            out = []
-            for n, rule in enumerate(rules):
-                clauses = trigram_query(rule.pattern)
-                if clauses:
-                    cut = None
-                    for clause in clauses:
-                        united = alternative(clause[0])
-                        for grams in clause[1:]:
-                            united = F.array_union(united, alternative(grams))
-                        cut = united if cut is None else F.array_intersect(cut, united)
-                else:
-                    cut = F.when(t.rlike(rule.pattern), _scanned(every, lines, rule)).otherwise(none)
-                out.append(F.sort_array(cut).alias(f"r{n}"))
-            return out
-
-        return let(F.lower(t), lambda low: let(F.split(low, "\n"), lambda low_lines: F.struct(*by_index(low, low_lines))))
-
-    def spans(lines: Column, found: Column) -> Column:
-        starts = prefix_sums(F.transform(lines, lambda x: F.length(x) + 1))
-
-        def of(ends: Column) -> Column:
-            def by_rule(n: int, rule: Rule) -> Column:
-                begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1))
-                return F.flatten(F.transform(found[f"r{n}"], lambda i: let(F.get(lines, i), lambda x: let(begin(i), lambda at: _matches(x, at, rule, n)))))
-
-            return F.sort_array(F.flatten(F.array(*(by_rule(n, r) for n, r in enumerate(rules)))))
-
-        some = F.lit(False)
-        for n in range(len(rules)):
-            some = some | (F.size(found[f"r{n}"]) > 0)
-        return F.when(some, let(starts, of)).otherwise(F.array().cast(SPANS))
-
-    return let(F.coalesce(text, F.lit("")), lambda t: let(F.split(t, "\n"), lambda lines: let(candidates(t, lines), lambda found: spans(lines, found))))
-
-
-def _scanned(every: Column, lines: Column, rule: Rule) -> Column:
-    return F.filter(every, lambda i: F.get(lines, i).rlike(rule.pattern))
+    return F.expr(let(f"split(coalesce(`{text}`, ''), '\n')", of))

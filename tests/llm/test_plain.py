@@ -261,7 +261,7 @@ def secret_texts():
     bits = ["password", "PassWd", "secret", "token", "api_key", "ApiKey", '"', "'", " ", ":", "=", "abcdef", "x", "\n", "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "deadbeef", "é", "😀", "hunter2", "."]
     texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 40))) for _ in range(300)]
     gh = "ghp_" + "a1B2" * 9
-    return [*odd_texts(), *texts, "secret=token: abcdefgh", "token = 'abc'\n" * 40 + "password: longenough1\n" * 100, f"{gh} xoxb-1234567890ab -----BEGIN RSA PRIVATE KEY-----", "a" * 30 + "\n" + "eyJhbGciOiJI.eyJzdWIiOiIx.abcd"]
+    return [*odd_texts(), *texts, "secret=token: abcdefgh", "token = 'abc'\n" * 40 + "password: longenough1\n" * 100, f"{gh} xoxb-1234567890ab -----BEGIN RSA PRIVATE KEY-----", "a" * 30 + "\n" + "eyJhbGciOiJI.eyJzdWIiOiIx.abcd", "x.eyJhbGciOiJI.eyJzdWIiOiIx.abcd-----BEGIN PRIVATE KEY----- éeyJhbGciOiJI.eyJzdWIiOiIx.abcd zeyJhbGciOiJI.eyJzdWIiOiIx.abcd -----BEGIN  A1 PRIVATE KEY-----"]
 
 
 def test_op7(spark, sf):
@@ -277,18 +277,50 @@ def test_op7(spark, sf):
     assert all(f"{k}:" in extra for k in ("private_key", "source_host", "chat_host", "web_token"))
 
 
+def test_op7_equals_sql(spark, sf):
+    """Base and added kinds, by DuckDB's regular expressions."""
+    rows = [(i, t, None, None, None, "x") for i, t in enumerate(secret_texts())]
+    at = sf(documents=(rows, DOCS))
+    got = queries.op7_secrets(spark, at)
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from '{at}/documents.parquet/*.parquet'")
+    assert sorted(map(tuple, got.collect())) == sorted(db.execute(f"select {', '.join(got.columns)} from ({queries.OP7_SQL})").fetchall())
+
+
+def test_op7_long_lines(spark):
+    """Lines of a million characters, for each rule some that its pattern nearly matches again and again."""
+    n, key = 1_000_000, "-----BEGIN " + "AB " * 20_000 + "PRIVATE KEY-----"
+    runs = ("password" + " " * 20, "password=", "eyJ", "eyJaaaaaaaaaa.", "AKIA", "AKIAX ", "0123456789abcdef", "a1 ", "-----BEGIN ", "-----BEGIN A B ", "ghp_", "xoxb-", "secret=abcdefg\n", "\n")
+    texts = [*(x * (n // len(x)) for x in runs), key, key[:-5]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", secrets.secret_spans("text").alias("s")).selectExpr("i", "size(s) as n").collect()
+    n_found = dict(map(tuple, rows))
+    assert n_found[len(runs)] == 1 and n_found[len(runs) + 1] == 0 and n_found[runs.index("secret=abcdefg\n")] == n // 15 and n_found[runs.index("eyJ")] == 0
+
+
+def test_postings_are_those_of_the_lines(spark):
+    grams = secrets.vocabulary(secrets.RULES)
+    texts = secret_texts()
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select("i", secrets.postings("text").alias("p")).collect()
+    for r in rows:
+        lines = (texts[r["i"]] or "").split("\n")
+        want = {g: [k for k, x in enumerate(lines) if g in x.lower()] for g in grams}
+        if "İ" not in (texts[r["i"]] or ""):
+            assert r["p"] == {g: k for g, k in want.items() if k}
+
+
 def test_trigram_queries():
     assert secrets.trigram_query(secrets.RULES[1].pattern) == [[frozenset({"aki", "kia"})]]
     assert secrets.trigram_query(secrets.RULES[2].pattern) == []
     (clause,) = secrets.trigram_query(secrets.RULES[0].pattern)
     assert frozenset({"tok", "oke", "ken"}) in clause and len(clause) == 6
+    assert frozenset({"pri", "riv", "iva", "vat", "ate", "te ", "e k", " ke", "key", " pr"}) in [a for c in secrets.trigram_query(secrets.RULES[3].pattern) for a in c]
 
 
 def test_prefix_sums(spark):
     from pyspark.sql import functions as F
 
-    rows = [(list(range(n)),) for n in (0, 1, 31, 32, 33, 2000)]
-    for r in spark.createDataFrame(rows, "a array<int>").select("a", secrets.prefix_sums(F.col("a")).alias("s")).collect():
+    rows = [(list(range(n)),) for n in (0, 1, 7, 8, 9, 31, 32, 33, 2000, 30_000)]
+    for r in spark.createDataFrame(rows, "a array<int>").select("a", F.expr(secrets.prefix_sums("a")).alias("s")).collect():
         assert r["s"] == np.cumsum(r["a"]).tolist()
 
 
