@@ -2,15 +2,21 @@
 
 Documents are sets of hashed word 5-grams; texts with the same set are one node from the start, so copies cost nothing
 later.  Band and row counts are chosen for the target recall at the threshold.  Nodes that share a band hash are joined
-to the least node of that bucket (a star, never all pairs), and the stars' components bound who can be similar to whom.
-Within a component every pair is then verified on the full sets, by bit rows over the shingles that occur twice or more;
-a component of more than BLOCK_SHINGLES is cut into blocks, and each pair of blocks is a task of bounded size that emits
-one row for each node: its links and the root it hangs together with.  Links are counted, never listed.
+to the least node of that bucket (a star, never all pairs), and the stars' components say whose full sets have to meet.
+Sets travel to where they are verified:
+
+- a component of up to BLOCK_NODES sets is one group;
+- a larger one, whose buckets hold most of its pairs, is cut into blocks, and each pair of blocks is a group;
+- a larger one that only hangs together by chains is cut into its buckets, and those into blocks, so that nodes which share
+  no band never meet; a pair is verified in the first band that it shares, and nowhere else.
+
+In a group all pairs are verified on the full sets, by bit rows over the shingles that occur twice or more; it emits one row
+for each node: its links and the root it hangs together with.  Links are counted, never listed.
 
 Cases: null texts and texts without words have no n-grams and link to nothing, not even to each other; texts of one to
 four words are one shingle.  A class is named after its least document id, a document with a null id and no links after
-null.  Repeated rows are documents like others, equal to each other.  An empty table gives an empty result.  Only the
-id and text columns are read.
+null.  Repeated rows are documents like others, equal to each other.  Very long texts are taken whole; a group of them has
+fewer.  An empty table gives an empty result.  Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -29,7 +35,9 @@ from .common import fresh, worker_cache, written
 
 WORDS, THRESHOLD, RECALL, MAX_PERMUTATIONS = 5, 0.8, 0.999, 140
 #: Hashes of the sets in one block of a large component (8 MB), and its sets.
-BLOCK_SHINGLES, BLOCK_NODES = 1_000_000, 2048
+BLOCK_SHINGLES, BLOCK_NODES = 1_000_000, 256
+#: A component is cut into its buckets if these have so many times fewer pairs.
+SPARSE = 4
 #: Shingles compared at a time.
 CHUNK_BITS = 1 << 16
 #: A list of that many ids is broadcast (under 10 MB), a longer one joined by a shuffle.
@@ -159,8 +167,9 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "root")
 
 
-def verified(nodes: list[tuple[bytes, int, int, np.ndarray]], crossing: bool, threshold: float) -> list[tuple[bytes, int, int, bytes]]:
-    """nodes: (node, block, copies, members).  For each: linked documents, linked nodes, and its root; crossing: links between blocks only."""
+def verified(nodes: list[tuple[bytes, int, int, np.ndarray, list | None]], crossing: bool, threshold: float) -> list[tuple[bytes, int, int, bytes]]:
+    """nodes: (node, block, copies, members, the bands before that of their bucket).  For each: linked documents, linked
+    nodes, and its root; crossing: links between blocks only."""
     nodes.sort(key=lambda x: x[0])
     n = len(nodes)
     sizes = np.array([len(x[3]) for x in nodes])
@@ -185,6 +194,8 @@ def verified(nodes: list[tuple[bytes, int, int, np.ndarray]], crossing: bool, th
     np.fill_diagonal(linked, False)
     if crossing:
         linked &= block[:, None] != block[None, :]
+    for band in np.array([x[4] for x in nodes], np.int64).T if nodes[0][4] else ():
+        linked &= band[:, None] != band[None, :]  # pairs that an earlier bucket has verified
     root = np.full(n, -1)
     for i in range(n):
         if root[i] < 0:
@@ -198,11 +209,11 @@ def verified(nodes: list[tuple[bytes, int, int, np.ndarray]], crossing: bool, th
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     def rows():
         for b in batches:
-            yield from zip(*(b.column(i).to_pylist() for i in range(7)), strict=True)
+            yield from zip(*(b.column(i).to_pylist() for i in range(8)), strict=True)
 
     out = []
     for (_, i, j), group in groupby(rows(), key=lambda r: r[:3]):
-        nodes = list({node: (node, block, copies, np.frombuffer(members, np.uint64)) for _, _, _, node, block, copies, members in group}.values())
+        nodes = list({node: (node, block, copies, np.frombuffer(members, np.uint64), before) for _, _, _, node, block, copies, members, before in group}.values())
         out += verified(nodes, i != j, threshold) if len(nodes) > 1 else [(nodes[0][0], 0, 0, nodes[0][0])]
         if len(out) >= 4096:
             yield _links(out)
@@ -223,30 +234,41 @@ def signatures(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     return written(both.select("doc_id", "s.node", "s.n", "s.bands"), "signatures")
 
 
-def classes(df: DataFrame, signed_rows: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def classes(df: DataFrame, signed_rows: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, block_shingles: int = BLOCK_SHINGLES, block_nodes: int = BLOCK_NODES) -> DataFrame:
     """(node, root, class_id, links of each of its documents, linked nodes) for nodes with copies or links."""
     nodes = written(
         signed_rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n"), F.any_value("bands").alias("bands")),
         "nodes",
     )
     posted = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = written(posted.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("k")).where("k > 1").select("band", "hub"), "hubs")
-    stars = posted.join(hubs, "band").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    near = components(stars).withColumnRenamed("root", "comp")
-    placed = near.join(nodes.select("node", "rep", "copies", "n"), "node")
+    buckets = written(posted.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("k")).where("k > 1"), "hubs")
+    stars = posted.join(buckets.select("band", "hub"), "band").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    near = written(components(stars).withColumnRenamed("root", "comp"), "components")
+    placed = near.join(nodes.select("node", "rep", "copies", "n", "bands"), "node")
     whole = placed.groupBy("comp").agg(F.sum("n").alias("total"), F.count("*").alias("k"))
-    whole = whole.select("comp", F.greatest(F.ceil(F.col("total") / block_shingles), F.ceil(F.col("k") / BLOCK_NODES)).cast("int").alias("blocks"))
-    placed = written(placed.join(whole, "comp").select("node", "rep", "copies", "comp", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "placed")
+    # How many pairs the buckets of a component have, and it itself.
+    held = buckets.join(near, F.col("hub") == F.col("node")).groupBy("comp").agg(F.sum(F.col("k").cast("double") * F.col("k")).alias("squares"))
+    blocks = lambda total, k: F.greatest(F.ceil(total / block_shingles), F.ceil(k / block_nodes)).cast("int")
+    whole = whole.join(held, "comp").select("comp", blocks(F.col("total"), F.col("k")).alias("blocks"), (F.col("k").cast("double") * F.col("k") > SPARSE * F.col("squares")).alias("sparse"))
+    sparse = F.col("sparse") & (F.col("blocks") > 1)
+    placed = placed.join(whole, "comp").select("node", "rep", "copies", "n", "comp", F.when(sparse, F.col("bands")).alias("bands"), "blocks")
+    placed = written(placed, "placed")
+    one = placed.where("bands is null").select("node", "copies", F.col("comp").alias("unit"), "blocks", F.lit(None).cast("array<bigint>").alias("before"))
+    apart = placed.where("bands is not null").select("node", "copies", "n", "bands", F.posexplode("bands").alias("place", "band")).join(buckets.select("band", "k"), "band")
+    # A block of a bucket has fewer sets, too, where they are large: by the mean of the bucket.
+    sizes = apart.groupBy("band").agg(F.sum("n").alias("total"))
+    apart = apart.join(sizes, "band").select("node", "copies", F.to_binary(F.hex("band"), F.lit("hex")).alias("unit"), blocks(F.col("total"), F.col("k")).alias("blocks"), F.slice("bands", F.lit(1), F.col("place")).alias("before"))
+    units = one.unionByName(apart).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     reps = placed.select(F.col("rep").alias("doc_id")).distinct()
     if placed.count() <= BROADCAST_IDS:
         reps = F.broadcast(reps)
     few = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).alias("d").join(reps.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")), "left_semi")
     sets = few.select(membered(F.col("d.text")).alias("m")).select("m.node", "m.members")
     # A document id can stand for several texts or rows: the node decides, and a group takes each node once.
-    held = sets.join(placed, "node")
+    held = sets.join(units, "node")
     several = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
-    pairs = held.select("*", F.explode(several).alias("p")).select("comp", "p.i", "p.j", "node", "block", "copies", "members")
-    dealt = pairs.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+    pairs = held.select("*", F.explode(several).alias("p")).select("unit", "p.i", "p.j", "node", "block", "copies", "members", "before")
+    dealt = pairs.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
     found = written(dealt.mapInArrow(lambda b: _verify(b, threshold), "a binary, links bigint, node_links bigint, b binary"), "links")
     links = found.groupBy("a").agg(F.sum("links").alias("links"), F.sum("node_links").alias("node_links"))
     roots = components(found.select("a", "b"))
@@ -257,10 +279,10 @@ def classes(df: DataFrame, signed_rows: DataFrame, doc_id: str = "doc_id", text:
     return whole.join(names, "root").select("node", "root", "class_id", "links", "node_links")
 
 
-def jaccard_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def jaccard_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, block_shingles: int = BLOCK_SHINGLES, block_nodes: int = BLOCK_NODES) -> DataFrame:
     """A row for each document: doc_id, class_id, n_links (documents at the threshold or above), n_set_links (of other sets)."""
     rows = signatures(df, doc_id, text, threshold, recall)
-    linked = classes(df, rows, doc_id, text, threshold, block_shingles).withColumnRenamed("node", "k")
+    linked = classes(df, rows, doc_id, text, threshold, block_shingles, block_nodes).withColumnRenamed("node", "k")
     joined = rows.select("doc_id", "node").join(linked, F.col("node") == F.col("k"), "left")
     zero = F.lit(0).cast("bigint")
     return joined.select("doc_id", F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("links", zero).alias("n_links"), F.coalesce("node_links", zero).alias("n_set_links"))

@@ -27,6 +27,40 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d
+), k AS (
+  SELECT r, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS key FROM s GROUP BY r
+), nodes AS (
+  SELECT key, min(r) AS x, any_value(n) AS n, count(*) AS copies FROM k GROUP BY key
+), m AS (
+  SELECT x, g FROM s JOIN nodes ON s.r = nodes.x
+), shared AS (
+  SELECT a.x AS x, b.x AS y, count(*) AS c FROM m a JOIN m b ON a.g = b.g AND a.x < b.x GROUP BY ALL
+), near AS (
+  SELECT s.x, s.y FROM shared s JOIN nodes a ON a.x = s.x JOIN nodes b ON b.x = s.y WHERE c >= 0.8 * (a.n + b.n - c) - 1e-9
+), e AS (
+  SELECT x, y FROM near UNION ALL SELECT y, x FROM near
+), reach AS (
+  SELECT x, x AS y FROM nodes UNION SELECT reach.x, e.y FROM reach JOIN e ON e.x = reach.y
+), roots AS (
+  SELECT x, min(y) AS root FROM reach GROUP BY x
+), links AS (
+  SELECT e.x, sum(copies) AS docs, count(*) AS others FROM e JOIN nodes ON nodes.x = e.y GROUP BY e.x
+), named AS (
+  SELECT d.r, d.doc_id, root, copies - 1 + coalesce(docs, 0) AS n_links, coalesce(others, 0) AS n_set_links
+  FROM d LEFT JOIN k USING (r) LEFT JOIN nodes USING (key) LEFT JOIN roots USING (x) LEFT JOIN links USING (x)
+), classes AS (
+  SELECT root, min(doc_id) AS class_id FROM named GROUP BY root
+)
+SELECT doc_id, CASE WHEN coalesce(n_links, 0) = 0 THEN doc_id ELSE class_id END AS class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, CAST(n_set_links AS BIGINT) AS n_set_links
+FROM named LEFT JOIN classes USING (root)
+"""
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     found = table(spark, sf_dir, "documents").select("doc_id", pii.pii_spans(text_or_empty()).alias("found"))
@@ -203,4 +237,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat": OP6_SQL, "op7_secrets": OP7_SQL, "op8_quality": OP8_SQL}
+    return {"op3_jaccard": OP3_SQL, "op6_chat": OP6_SQL, "op7_secrets": OP7_SQL, "op8_quality": OP8_SQL}

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import duckdb
 import numpy as np
 import pytest
 from cases import DOCS, documents, odd_texts
@@ -170,8 +171,10 @@ def brute_classes(ids, texts):
     return [name[root[i]] for i in range(n)], [len(links[i]) for i in range(n)], [len({frozenset(sets[j]) for j in links[i]} - {frozenset(sets[i] or ())}) for i in range(n)]
 
 
-@pytest.mark.parametrize("block", [jaccard.BLOCK_SHINGLES, 120])
-def test_op3(spark, block):
+@pytest.mark.parametrize(("block", "sparse"), [(jaccard.BLOCK_SHINGLES, 4), (120, 10**9), (300, 0)])
+def test_op3(spark, block, sparse, monkeypatch):
+    """Whole components, those cut into blocks, and those cut into buckets."""
+    monkeypatch.setattr(jaccard, "SPARSE", sparse)
     texts = near_texts()
     ids = list(range(len(texts)))
     df = spark.createDataFrame([(i, t, "clash") for i, t in zip(ids, texts, strict=True)], "doc_id bigint, text string, node string")
@@ -192,6 +195,34 @@ def test_op3_components_of_a_chain(spark):
     assert [got[i] for i in range(30)] == brute_classes(list(range(30)), texts)[0] == [0] * 30
 
 
+@pytest.mark.parametrize("nodes", [jaccard.BLOCK_NODES, 16])
+def test_op3_recall_near_the_threshold(spark, nodes):
+    """Thousands of pairs at 0.8 to 0.85 and below it: nearly all of the former are linked, none of the latter."""
+    r, rows, want = random.Random(16), [], {}
+    for g in range(1500):
+        base = [f"g{g}w{i}" for i in range(r.randint(80, 160))]
+        near = list(base)
+        for p in sorted(r.sample(range(0, len(base) - 5, 5), r.choice([2, 3]))):
+            near[p] = "x"
+        a, b = (sets_of([" ".join(w)])[0] for w in (base, near))
+        want[2 * g] = len(a & b) / len(a | b)
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(near))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {x["doc_id"]: x["n_links"] for x in jaccard.jaccard_join(df, block_nodes=nodes).collect()}
+    close = [i for i, j in want.items() if 0.8 <= j < 0.85]
+    assert len(close) > 300 and sum(got[i] for i in close) >= 0.99 * len(close)
+    assert not any(got[i] for i, j in want.items() if j < 0.8 - 1e-9)
+
+
+def test_op3_equals_sql(spark, sf):
+    rows = [(i, t, None, None, None, "x") for i, t in enumerate(near_texts())]
+    at = sf(documents=(rows, DOCS))
+    got = queries.op3_jaccard(spark, at)
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from '{at}/documents.parquet/*.parquet'")
+    assert sorted(map(tuple, got.collect())) == sorted(db.execute(f"select {', '.join(got.columns)} from ({queries.OP3_SQL})").fetchall())
+
+
 def test_op3_empty_and_banding(spark):
     assert jaccard.jaccard_join(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     bands, rows = jaccard.banding()
