@@ -244,14 +244,15 @@ def classes(df: DataFrame, signed_rows: DataFrame, doc_id: str = "doc_id", text:
     buckets = written(posted.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("k")).where("k > 1"), "hubs")
     stars = posted.join(buckets.select("band", "hub"), "band").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     near = written(components(stars).withColumnRenamed("root", "comp"), "components")
-    placed = near.join(nodes.select("node", "rep", "copies", "n", "bands"), "node")
-    whole = placed.groupBy("comp").agg(F.sum("n").alias("total"), F.count("*").alias("k"))
-    # How many pairs the buckets of a component have, and it itself.
-    held = buckets.join(near, F.col("hub") == F.col("node")).groupBy("comp").agg(F.sum(F.col("k").cast("double") * F.col("k")).alias("squares"))
+    sized = written(near.join(nodes.select("node", "rep", "copies", "n", "bands"), "node"), "sized")
     blocks = lambda total, k: F.greatest(F.ceil(total / block_shingles), F.ceil(k / block_nodes)).cast("int")
-    whole = whole.join(held, "comp").select("comp", blocks(F.col("total"), F.col("k")).alias("blocks"), (F.col("k").cast("double") * F.col("k") > SPARSE * F.col("squares")).alias("sparse"))
-    sparse = F.col("sparse") & (F.col("blocks") > 1)
-    placed = placed.join(whole, "comp").select("node", "rep", "copies", "n", "comp", F.when(sparse, F.col("bands")).alias("bands"), "blocks")
+    whole = sized.groupBy("comp").agg(F.sum("n").alias("total"), F.count("*").alias("k"))
+    # Only large components are joined back, so that none of them has to lie in one task.  How many pairs their buckets have, and they themselves:
+    held = buckets.join(near, F.col("hub") == F.col("node")).groupBy("comp").agg(F.sum(F.col("k").cast("double") * F.col("k")).alias("squares"))
+    large = whole.select("comp", "k", blocks(F.col("total"), F.col("k")).alias("blocks")).where("blocks > 1")
+    large = written(large.join(held, "comp").select(F.col("comp").alias("c"), "blocks", (F.col("k").cast("double") * F.col("k") > SPARSE * F.col("squares")).alias("sparse")), "large")
+    large = F.broadcast(large) if large.count() <= BROADCAST_IDS else large
+    placed = sized.join(large, F.col("comp") == F.col("c"), "left").select("node", "rep", "copies", "n", "comp", F.when(F.col("sparse"), F.col("bands")).alias("bands"), F.coalesce("blocks", F.lit(1)).alias("blocks"))
     placed = written(placed, "placed")
     one = placed.where("bands is null").select("node", "copies", F.col("comp").alias("unit"), "blocks", F.lit(None).cast("array<bigint>").alias("before"))
     apart = placed.where("bands is not null").select("node", "copies", "n", "bands", F.posexplode("bands").alias("place", "band")).join(buckets.select("band", "k"), "band")

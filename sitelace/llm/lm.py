@@ -10,8 +10,8 @@ group's other words share theirs.  It is trained with noise from the group, norm
 are averaged by how often each task met them.  A word that is not hot has the probability of its group's others times its
 add-one share in them, where one share is for all words of the group never seen.
 
-Word counts cover the whole training part.  At most HOT_WORDS of the most frequent go to the workers; texts' other words
-are joined to the count table by a shuffle, so every count is exact.
+Word counts cover the whole training part.  At most HOT_WORDS of the most frequent, of HOT_BYTES each, go to the workers;
+texts' other words are joined to the count table by a shuffle, so every count is exact.
 
 Cases: null or empty texts have one token, their end.  A null id counts as the empty string for the held-out rule.  Equal
 rows get a row each.  An empty table gives an empty result; a table whose every row is held out has N = V = 0 and the
@@ -36,8 +36,12 @@ GROUPS, GROUP_WORDS, GROUP_NOISE, GROUP_BATCH, GROUP_RATE = 384, 64, 5, 4096, 0.
 #: Words whose parameters travel in one row.
 SLICE = 4096
 HOT_WORDS = 100_000
+#: Longer words are never hot: their counts are joined, so the hot ones have this many bytes each at most.
+HOT_BYTES = 64
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 400_000
+#: Bytes in words longer than HOT_BYTES, after which it does, too.
+HELD_BYTES = 32 << 20
 #: Tasks that add up the parameters of a round; each sends its sum to the driver.
 ADDERS = 16
 END = b""
@@ -60,16 +64,20 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        size = 0
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
 
         for b in batches:
             for t in b.column(0):
-                seen.update(tokens(t.as_py()))
-                if len(seen) > HELD_WORDS:
+                words = tokens(t.as_py())
+                seen.update(words)
+                size += sum(len(w) for w in words if len(w) > HOT_BYTES)
+                if len(seen) > HELD_WORDS or size > HELD_BYTES:
                     yield batch()
                     seen.clear()
+                    size = 0
         if seen:
             yield batch()
 
@@ -416,6 +424,7 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> list[tuple[bytes, int
     """The words from a count on above which there are at most `most`, by count, then bytes.
 
     The bound comes from a histogram of at most 1,024 bins, so no task sends more than its share of the words."""
+    counts = counts.where(F.octet_length("word") <= HOT_BYTES)
     level = F.floor(F.log2(F.col("c")) * 16)
     edge, held = None, 0
     for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
@@ -435,7 +444,7 @@ def known_words(counts: DataFrame, most: int | None = None) -> list[tuple[bytes,
     end = [(END, r["c"]) for r in counts.where(F.col("word") == F.lit(END)).collect()] if END not in dict(ranked) else []
     lacks = CLASSES - 2 - len([w for w, _ in ranked if w != END])
     if lacks > 0:
-        below = counts.where(F.col("word") != F.lit(END))
+        below = counts.where((F.col("word") != F.lit(END)) & (F.octet_length("word") <= HOT_BYTES))
         if ranked:
             below = below.where(F.col("c") < ranked[-1][1])
         ranked = ranked + [(bytes(r["word"]), r["c"]) for r in below.orderBy(F.desc("c"), "word").limit(lacks).collect()]
