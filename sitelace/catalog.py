@@ -55,7 +55,7 @@ def distance_sql(left: str = "a", right: str = "b") -> str:
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, p = table(spark, sf_dir, "embeddings"), table(spark, sf_dir, "part").where("p_partkey < 200").select("p_partkey", "p_name")
+    e, p = table(spark, sf_dir, "embeddings"), table(spark, sf_dir, "part").select("p_partkey", "p_name")
     rows = e.join(p, F.col("p_partkey") == F.col("vec_id") % 200)
     v = F.col("vec_id")
     at = lambda i: F.get(F.col("embedding"), F.lit(i)).cast("double")
@@ -340,12 +340,19 @@ def append_unmatched(spark, sf_dir):
     return out.select("rid", "name", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"), "voltage", "match_method", "matched_name")
 
 
-@query()
+@query(
+    f"""WITH {KEYED_SQL}, f AS (SELECT key, arg_min(rid, (lat IS NULL)::INT * 1000000000 + rid) AS r_rid FROM b WHERE key <> '' GROUP BY key),
+    w AS (SELECT a.rid, a.lon, a.lat, b.lon AS w_lon, b.lat AS w_lat, b.lon IS NOT NULL AND b.lat IS NOT NULL AS filled FROM a LEFT JOIN f USING (key) LEFT JOIN b ON b.rid = f.r_rid)
+    SELECT rid, CASE WHEN filled THEN replace(printf('%.6f', w_lon), '.', ',') END AS lon_text, CASE WHEN filled THEN replace(printf('%.6f', w_lat), '.', ',') END AS lat_text,
+    CASE WHEN NOT filled THEN round(lon, 6) END AS lon_kept, CASE WHEN NOT filled THEN round(lat, 6) END AS lat_kept, filled FROM w"""
+)
 def formatted_fill(spark, sf_dir):
-    """UPD-03, STR-19."""
+    """UPD-03, STR-19: texts that were filled in, and as numbers those that were left."""
     a, b = _by_name(spark, sf_dir)
-    m = cascade.cascade(a, b, NAMES_OFF, location=False)
-    return cascade.write_formatted(a, b, m, ";").select("rid", "lon", "lat", "filled")
+    out = cascade.write_formatted(a, b, cascade.cascade(a, b, NAMES_OFF, location=False), ";")
+    texts = (F.when(F.col("filled"), F.col(c)).alias(f"{c}_text") for c in ("lon", "lat"))
+    kept = (F.when(~F.col("filled"), F.round(F.col(c).try_cast("double"), 6)).alias(f"{c}_kept") for c in ("lon", "lat"))
+    return out.select("rid", *texts, *kept, "filled")
 
 
 LEADER_SQL = f"""WITH RECURSIVE {SITES_SQL}, o AS (SELECT *, row_number() OVER (ORDER BY rid) AS n FROM sites WHERE lat IS NOT NULL),

@@ -133,9 +133,40 @@ def fuzzy_score(a: Column, b: Column, backend: str = "difflib") -> Column:
     return F.arrow_udf(score, "double").asNondeterministic()(a, b)
 
 
-def upper_bound(a: Column, b: Column) -> Column:
-    """No backend scores above this: a ratio is at most twice the shorter length over the total."""
-    bound = lambda x, y: F.when(F.length(x) + F.length(y) > 0, 2.0 * F.least(F.length(x), F.length(y)) / (F.length(x) + F.length(y))).otherwise(1.0)
-    plain_a, plain_b = F.replace(a, F.lit(" "), F.lit("")), F.replace(b, F.lit(" "), F.lit(""))
-    # Sorting keeps lengths; dropping repeated tokens does not, so the token ratios are only bounded by 1.
-    return 100 * (W_SET + W_SORT + W_PARTIAL + W_JARO) + W_JACCARD * token_jaccard(a, b) + 100 * W_PLAIN * bound(plain_a, plain_b)
+#: What is counted letter by letter; all other characters of a key count as one more.
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def _counts(s: Column) -> Column:
+    """How often each letter stands in a text, and the spaces, and at the end all others."""
+    each = [F.length(s) - F.length(F.replace(s, F.lit(c), F.lit(""))) for c in (*ALPHABET, " ")]
+    return F.transform(F.array(F.array(*each)), lambda a: F.concat(a, F.array(F.length(s) - F.aggregate(a, F.lit(0), lambda n, x: n + x))))[0]
+
+
+def features(key: Column) -> Column:
+    """Of one key, once for each name: letters and lengths of the key and of its sorted distinct tokens, and its tokens."""
+    tokens = F.filter(F.array_distinct(F.split(key, " ")), lambda t: t != "")
+    plain = F.array_join(F.array_sort(tokens), " ")
+    return F.struct(tokens.alias("tokens"), _counts(key).alias("all"), F.length(key).alias("n"), _counts(plain).alias("distinct"), F.length(plain).alias("d"))
+
+
+def upper_bound(x: Column, y: Column, backend: str = "difflib") -> Column:
+    """Of two `features`: the backend scores no higher.  No common subsequence is longer than the letters in common."""
+    add = lambda n, k: n + k
+    common = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: F.least(p, q)), F.lit(0), add)
+    bound = lambda shared, total: F.when(total > 0, 2.0 * shared / total).otherwise(1.0)
+    spaces = len(ALPHABET)
+    letters = common(x["all"], y["all"])
+    plain = letters - F.least(x["all"][spaces], y["all"][spaces])
+    by_plain = bound(plain, x["n"] + y["n"] - x["all"][spaces] - y["all"][spaces])
+    by_distinct = bound(common(x["distinct"], y["distinct"]), x["d"] + y["d"])
+    shared, either = F.size(F.array_intersect(x["tokens"], y["tokens"])), F.size(F.array_union(x["tokens"], y["tokens"]))
+    jaccard = F.when(either > 0, shared / either).otherwise(0.0)
+    if backend == "difflib":
+        return 100 * ((W_SET + W_SORT + W_PARTIAL) * by_distinct + W_JACCARD * jaccard + W_PLAIN * by_plain)
+    by_set = F.when(shared > 0, 1.0).otherwise(by_distinct)
+    short = F.least(x["n"], y["n"])
+    by_part = F.when(short > 0, 2.0 * letters / (short + letters)).otherwise(1.0)  # a window may be as short as what it shares
+    match = F.when(short > 0, F.least(F.lit(1.0), (letters / x["n"] + letters / y["n"] + 1) / 3)).otherwise(1.0)
+    by_jaro = F.when(letters == 0, 0.0).otherwise(match + 0.4 * (1 - match))
+    return 100 * (W_SET * by_set + W_SORT * bound(letters, x["n"] + y["n"]) + W_PARTIAL * by_part + W_JACCARD * jaccard + W_JARO * by_jaro + W_PLAIN * by_plain)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -25,16 +26,21 @@ NO_NAMES = ("", "nan", "none", "null", "(sin nombre)", "sin nombre")
 NO_VALUES = ("", "nan", "none")
 
 
+def folded(s: str) -> str:
+    """A string's letters without their marks; compatibility forms become what they stand for."""
+    return "".join(filterfalse(unicodedata.combining, unicodedata.normalize("NFKD", s)))
+
+
 def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """From the Unicode decomposition: letters that fold to one, their folds (marks go), and those that fold to several."""
     one, several = {}, {}
     for cp in [*range(0xA0, 0x2200), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)]:
         c = chr(cp)
-        folded = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
-        if len(folded) == 1 and folded != c:
-            one[c] = folded
-        elif len(folded) > 1 and folded != c and (cp < 0x250 or cp >= 0xFB00 or c in "…№™℡"):
-            several[c] = folded
+        plain = folded(c)
+        if len(plain) == 1 and plain != c:
+            one[c] = plain
+        elif len(plain) > 1 and plain != c and (cp < 0x250 or cp >= 0xFB00 or c in "…№™℡"):
+            several[c] = plain
     marks = "".join(chr(c) for c in range(0x300, 0x370) if unicodedata.combining(chr(c)))
     return "".join(one) + marks, "".join(one.values()), several
 
@@ -52,10 +58,12 @@ def collapse_ws(s: Column) -> Column:
 
 def strip_accents(s: Column) -> Column:
     """Folds by table: all canonical letters up to U+2200 and the Latin compatibility forms; null gives the empty string."""
-    out = F.coalesce(s, F.lit(""))
-    for c, folded in _SEVERAL.items():
-        out = F.replace(out, F.lit(c), F.lit(folded))
-    return F.translate(out, _FROM, _TO)
+    text = F.coalesce(s, F.lit(""))
+    out = text
+    for c, plain in _SEVERAL.items():
+        out = F.replace(out, F.lit(c), F.lit(plain))
+    rare = text.rlike("[" + "".join(_SEVERAL) + "]")  # hardly any text has one, so the replacements are mostly left out
+    return F.translate(F.when(rare, out).otherwise(text), _FROM, _TO)
 
 
 def strip_accents_exact(s: Column) -> Column:
@@ -63,7 +71,7 @@ def strip_accents_exact(s: Column) -> Column:
 
     def fold(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array(["".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in (x.as_py() or "" for x in texts)], pa.string())
+            yield pa.array([folded(x.as_py() or "") for x in texts], pa.string())
 
     return F.arrow_udf(fold, "string")(s)
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import fuzzy_score, upper_bound
+from ..functions.fuzzy import features, fuzzy_score, upper_bound
 from ..functions.geo import EARTH_M, Grid, haversine_m, valid
 from ..functions.text import key_relaxed
 from ..session import written
@@ -112,16 +112,17 @@ def fuzzy_best(left: DataFrame, right: DataFrame, name: str = "name", threshold:
     """(l_rid, r_rid, score): the right row of the most similar name, of equally similar ones the first (JOIN-06).
 
     Distinct names are scored, not rows.  Every left name meets every right name, as the definition asks; with a threshold,
-    pairs whose bound is below it are dropped before Python sees them.  The right names are dealt out in blocks, so no
-    side needs to fit anywhere.  Names without a key match nothing.
+    pairs whose bound (from the letters and tokens that they share) is below it are dropped before Python sees them.  Both
+    sides are dealt out in blocks, so neither needs to fit anywhere.  Names without a key match nothing.
     """
     keyed = lambda df: df.select("rid", key_relaxed(F.col(name)).alias("k")).where("k <> ''")
     a, b = keyed(left), keyed(right)
     names_a = a.select(F.col("k").alias("x")).distinct()
     names_b = b.groupBy(F.col("k").alias("y")).agg(F.min("rid").alias("r_rid"))
-    pairs = _all_pairs(names_a, names_b)
-    if threshold is not None:
-        pairs = pairs.where(upper_bound(F.col("x"), F.col("y")) >= threshold - 1e-9)
+    if threshold is None:
+        pairs = _all_pairs(names_a, names_b)
+    else:
+        pairs = likely_pairs(names_a, names_b, threshold, backend)
     scored = pairs.select("x", "r_rid", fuzzy_score(F.col("x"), F.col("y"), backend).alias("score"))
     if threshold is not None:
         scored = scored.where(F.col("score") >= threshold)
@@ -129,6 +130,12 @@ def fuzzy_best(left: DataFrame, right: DataFrame, name: str = "name", threshold:
     return a.join(best, F.col("k") == F.col("x")).select(F.col("rid").alias("l_rid"), (-F.col("b.minus")).alias("r_rid"), F.col("b.score").alias("score"))
 
 
+def likely_pairs(a: DataFrame, b: DataFrame, threshold: float, backend: str) -> DataFrame:
+    """The pairs (x, y) whose bound reaches the threshold; letters are counted once for each name."""
+    a, b = a.withColumn("fx", features(F.col("x"))), b.withColumn("fy", features(F.col("y")))
+    return _all_pairs(a, b).where(upper_bound(F.col("fx"), F.col("fy"), backend) >= threshold - 1e-9).drop("fx", "fy")
+
+
 BLOCKS = 16
 
 

@@ -20,13 +20,13 @@ ELEMENT = (
 
 def payload_items(payload: Column) -> Column:
     """JSON text -> array of variants: the features of a collection, else the first listed key that holds a list, else
-    the value itself."""
-    v = F.parse_json(payload)
+    the value itself.  Text that is no JSON, and null, have no items."""
+    v = F.try_parse_json(payload)
     lists = [F.try_variant_get(v, f"$.{k}", "array<variant>") for k in LIST_KEYS]
     itself = F.try_variant_get(v, "$", "array<variant>")
     collection = F.when(F.try_variant_get(v, "$.type", "string") == "FeatureCollection", F.coalesce(lists[0], F.array().cast("array<variant>")))
     is_list = F.schema_of_variant(v).startswith("ARRAY")
-    return F.when(is_list, itself).otherwise(F.coalesce(collection, *(F.when(F.schema_of_variant(F.try_variant_get(v, f"$.{k}", "variant")).startswith("ARRAY"), x) for k, x in zip(LIST_KEYS, lists, strict=True)), F.array(v)))
+    return F.when(v.isNull(), F.array().cast("array<variant>")).when(is_list, itself).otherwise(F.coalesce(collection, *(F.when(F.schema_of_variant(F.try_variant_get(v, f"$.{k}", "variant")).startswith("ARRAY"), x) for k, x in zip(LIST_KEYS, lists, strict=True)), F.array(v)))
 
 
 def _object(v: Column, path: str) -> Column:
@@ -114,8 +114,9 @@ def wide(features: DataFrame, keys: list[str], more: tuple[str, ...] = ("geom_fr
 
 
 def service_rows(df: DataFrame, feature_json: str, attributes: dict[str, str]) -> DataFrame:
-    """GeoJSON features -> flat rows: attribute name -> column, lon, lat; missing ones null (SEM-08)."""
-    v = F.parse_json(F.col(feature_json))
+    """GeoJSON features -> flat rows: attribute name -> column, lon, lat; missing ones null, and all of text that is no
+    JSON (SEM-08)."""
+    v = F.try_parse_json(F.col(feature_json))
     at = lambda i: F.try_variant_get(v, f"$.geometry.coordinates[{i}]", "double")
     return df.select(*(F.try_variant_get(v, f"$.properties.{k}", "string").alias(c) for k, c in attributes.items()), at(0).alias("lon"), at(1).alias("lat"))
 

@@ -7,14 +7,17 @@ import html
 import json
 import math
 from collections.abc import Iterator
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.semistructured import header_keys, wide
 from ..sources.files import Dialect
 
 BOM = "﻿"
-CRS = {"type": "name", "properties": {"name": "urn:ogc:def:crs:OGC:1.3:CRS84"}}
+#: Fixed value: how the files name their reference system.
+CRS = {"type": "name", "properties": {"name": "EPSG:4326"}}
 
 
 def _blank(v) -> object:
@@ -53,19 +56,29 @@ def features(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
 
 
 def write_geojson(feature_rows: DataFrame, path: str, sort_keys: bool = False, pretty: bool = False, crs: bool = False, newline: bool = False) -> int:
-    """One FeatureCollection; feature_rows: (feature), GeoJSON text."""
-    n, indent = 0, 2 if pretty else None
-    with open(path, "w", encoding="utf-8") as f:
-        head = {"crs": CRS} if crs else {}
-        f.write("{" + "".join(f"{json.dumps(k)}: {json.dumps(v, sort_keys=sort_keys)}, " for k, v in head.items()) + '"features": [')
+    """One FeatureCollection; feature_rows: (feature), GeoJSON text.  Members are sorted, or `type`, `features`, `crs`; pretty:
+    the whole file is indented by two."""
+    said = partial(json.dumps, ensure_ascii=False, sort_keys=sort_keys, indent=2 if pretty else None)
+    # The collection without its features tells what stands before and after them.
+    around = {"type": "FeatureCollection", "features": []} | ({"crs": CRS} if crs else {})
+    head, tail = said(around).split('"features": []')
+    inner, outer = ("\n    ", "\n  ") if pretty else ("", "")
+    n = 0
+    with open(path, "w", encoding="utf-8", newline="\n") as f:
+        f.write(f'{head}"features": [')
         for row in feature_rows.toLocalIterator(prefetchPartitions=True):
-            text = json.dumps(json.loads(row["feature"]), ensure_ascii=False, sort_keys=sort_keys, indent=indent)
-            f.write((", " if n else "") + text)
+            text = said(json.loads(row["feature"]))
+            f.write((("," if pretty else ", ") if n else "") + inner + text.replace("\n", inner))
             n += 1
-        f.write('], "type": "FeatureCollection"}' + ("\n" if newline else ""))
+        f.write((outer if n else "") + f"]{tail}" + ("\n" if newline else ""))
     return n
 
 
+def write_union_csv(features: DataFrame, path: str, order: tuple[str, ...] = ("place",)) -> int:
+    """Flattened features with a column for each property that any of them has, in order of first appearance (SNK-04)."""
+    return write_csv(wide(features.orderBy(*order), header_keys(features, order)), path)
+
+
 def _markers(rows: Iterator) -> Iterator[str]:
     for r in rows:
         yield f"L.circleMarker([{r['lat']},{r['lon']}],{{radius:5,color:{json.dumps(r['colour'])},fillOpacity:0.9}}).bindTooltip({json.dumps(html.escape(r['tooltip'] or ''))}).bindPopup({json.dumps(r['popup'] or '')}).addTo(m);"

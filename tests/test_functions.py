@@ -8,6 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 from sitelace.functions import fuzzy, geo, parse, text
+from sitelace.operators import join
 
 
 def values(spark, f, xs, kind="string"):
@@ -116,12 +117,26 @@ def test_jaro_winkler_equals_sql():
         assert fuzzy.jaro_winkler(a, b) == pytest.approx(db.execute("select jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0], abs=1e-9)
 
 
+@pytest.mark.parametrize(("backend", "threshold"), [("difflib", 65), ("difflib", 70), ("indel", 70), ("indel", 85)])
+def test_few_pairs_reach_python(spark, backend, threshold):
+    """Of 300 x 300 invented names; none that scores enough is lost."""
+    r = random.Random(5)
+    syllables = ["to", "rca", "me", "llo", "ba", "rran", "gui", "lla", "san", "car", "los", "chi", "vor", "gua", "vio", "po", "pa", "yan"]
+    name = lambda: " ".join("".join(r.choice(syllables) for _ in range(r.randint(2, 4))) for _ in range(r.randint(1, 3)))
+    xs, ys = [name() for _ in range(300)], [name() for _ in range(297)]
+    ys += [x[:-1] + "z" for x in xs[:3]]
+    pairs = join.likely_pairs(spark.createDataFrame([(x,) for x in xs], "x string"), spark.createDataFrame([(y,) for y in ys], "y string"), threshold, backend)
+    kept = {tuple(p) for p in pairs.select("x", "y").collect()}
+    assert all((x, y) in kept for x in xs[:60] for y in ys if fuzzy.score_keys(x, y, backend) >= threshold)
+    assert len(kept) < {"difflib": 0.1, "indel": 0.4}[backend] * len(xs) * len(ys)
+
+
 @pytest.mark.parametrize("backend", ["difflib", "indel"])
 def test_bound_holds(spark, backend):
     r = random.Random(4)
     rows = [(words(r), words(r)) for _ in range(500)]
     df = spark.createDataFrame(rows, "a string, b string")
-    for row in df.select("a", "b", fuzzy.upper_bound(F.col("a"), F.col("b")).alias("u"), fuzzy.fuzzy_score(F.col("a"), F.col("b"), backend).alias("s")).collect():
+    for row in df.select("a", "b", fuzzy.upper_bound(fuzzy.features(F.col("a")), fuzzy.features(F.col("b")), backend).alias("u"), fuzzy.fuzzy_score(F.col("a"), F.col("b"), backend).alias("s")).collect():
         assert -1e-9 <= row.s <= min(100, row.u) + 1e-9
     if backend == "difflib":
         a, b = rows[0]

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from sitelace import cli
 from sitelace.config import MatchConfig
+from sitelace.operators import semistructured
 from sitelace.operators.semistructured import ELEMENT
 from sitelace.plans import schema, stages
 from sitelace.sinks import export
@@ -114,6 +115,22 @@ def test_exports(spark, tmp_path):
     got = json.loads((tmp_path / "a.geojson").read_text())
     assert got["type"] == "FeatureCollection" and got["features"][0]["geometry"]["coordinates"] == [1.5, 2.5]
     assert got["features"][1]["properties"] == {"b": "ñ", "a": None} and got["features"][1]["geometry"] is None
+    for rows in (df, df.limit(0)):
+        for pretty in (True, False):
+            for sort_keys in (True, False):
+                export.write_geojson(export.features(rows), str(tmp_path / "b.geojson"), sort_keys, pretty, crs=sort_keys)
+                said = (tmp_path / "b.geojson").read_text(encoding="utf-8")
+                assert said == json.dumps(json.loads(said), ensure_ascii=False, indent=2 if pretty else None)
+                assert list(json.loads(said)) == (["crs", "features", "type"] if sort_keys else ["type", "features"])
+
+
+def test_union_of_keys(spark, tmp_path):
+    payload = '[{"b": 1, "lat": "1,5", "lon": 2}, {"a": "x;y", "b": 2}]'
+    rows = semistructured.flatten_features(spark.createDataFrame([(payload,), ("no JSON {",), (None,)], "payload string"), "payload")
+    assert rows.count() == 2
+    export.write_union_csv(rows, str(tmp_path / "u.csv"))
+    lines = (tmp_path / "u.csv").read_text(encoding="utf-8-sig").splitlines()
+    assert lines[0].startswith("b,a,geom_from") and lines[1].startswith("1,,") and lines[2].startswith("2,x;y,")
 
 
 def elements(spark):
