@@ -140,6 +140,39 @@ def _spans_sql(kind: str, rank: int, pattern: str, kept: str = "true", skip: str
     ) WHERE {kept}"""
 
 
+#: What must hold of a match, by kind, of the four kinds that every scan of personal data has.
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN {_DIGITS}[length({_DIGITS}) - i + 1]::INT ELSE (2 * {_DIGITS}[length({_DIGITS}) - i + 1]::INT) // 10 + (2 * {_DIGITS}[length({_DIGITS}) - i + 1]::INT) % 10 END)) % 10 = 0"
+PII_BASE_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), s AS (
+  {_spans_sql("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")}
+  UNION ALL {_spans_sql("ip", 1, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 OR ('0' || right(ltrim(p, '0'), 3))::INT > 255)) = 0")}
+  UNION ALL {_spans_sql("card", 2, r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}")}
+  UNION ALL {_spans_sql("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15")}
+), n AS (
+  SELECT r, count(*) FILTER (rank = 0) AS e, count(*) FILTER (rank = 1) AS i, count(*) FILTER (rank = 2) AS c, count(*) FILTER (rank = 3) AS p, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY rank, a) AS spans FROM s GROUP BY r
+)
+SELECT doc_id, coalesce(e, 0) AS n_email, coalesce(i, 0) AS n_ip, coalesce(c, 0) AS n_card, coalesce(p, 0) AS n_phone, sha256(coalesce(spans, '')) AS base_sha256 FROM d LEFT JOIN n USING (r)
+"""
+
+
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op4_pii's result SQL can say: the spans of the base kinds."""
+    return op4_pii(spark, sf_dir).drop("spans", "scores")
+
+
+SHARDING_LAW_SQL = """
+WITH n AS (SELECT count(*) AS c FROM documents), s AS (SELECT CAST(unnest(range(40)) AS INT) AS shard)
+SELECT shard, c // 40 + (shard < c % 40)::INT AS rows, 0::BIGINT AS first_slot, c // 40 + (shard < c % 40)::INT - 1 AS last_slot, c // 40 + (shard < c % 40)::INT AS slots FROM s, n WHERE c // 40 + (shard < c % 40)::INT > 0
+"""
+
+
+def sharding_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op9_sharding's result SQL can say: the size of each shard, and that its slots have no gaps."""
+    by_shard = op9_sharding(spark, sf_dir).groupBy("shard")
+    return by_shard.agg(F.count("*").alias("rows"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.count_distinct("slot").alias("slots"))
+
+
 OP7_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), s AS (
   {_spans_sql("assign", 0, r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "length(g) >= 6")}
@@ -233,8 +266,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_sharding": op9_sharding,
         "op10_token_output": op10_token_output,
+        "pii_base": pii_base,
+        "sharding_law": sharding_law,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_jaccard": OP3_SQL, "op6_chat": OP6_SQL, "op7_secrets": OP7_SQL, "op8_quality": OP8_SQL}
+    return {"op3_jaccard": OP3_SQL, "op6_chat": OP6_SQL, "op7_secrets": OP7_SQL, "op8_quality": OP8_SQL, "pii_base": PII_BASE_SQL, "sharding_law": SHARDING_LAW_SQL}

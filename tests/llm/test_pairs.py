@@ -45,7 +45,7 @@ def leaky():
     r = random.Random(11)
     items = [(i, prose(r, r.randint(12, 60)), "x") for i in range(30)] + [(30, None, "x"), (31, "", "x"), (32, "tiny one", "x"), (33, "ÉTÉ " * 20, "x")]
     texts = list(odd_texts())
-    for i in range(60):
+    for i in range(30):
         own = items[i % 30][1]
         part = own if i % 3 else own[: len(own) // 2]
         texts.append(prose(r, 30) + " " + edited(r, part, int(len(part) * r.choice([0, 0.02, 0.04, 0.2]))).upper() + ". " + prose(r, r.randint(0, 400)))
@@ -72,11 +72,11 @@ def found_by_brute(items, texts):
 
 def test_op1(spark, sf):
     items, texts = leaky()
-    texts = [t for t in texts if len(t or "") < 25_000]
+    texts = [t for t in texts if len(t or "") < 4_000]
     rows = [(i, t, None, None, None, "x") for i, t in enumerate(texts)]
     got = {(r["doc_id"], r["item_id"]): r["edits"] for r in queries.op1_decontamination(spark, sf(documents=(rows, DOCS), benchmark=(items, BENCH))).collect()}
     want = found_by_brute(items, texts)
-    assert got == want and len(want) > 20
+    assert got == want and len(want) > 12
 
 
 def test_op1_long_texts_and_slices(monkeypatch):
@@ -87,7 +87,7 @@ def test_op1_long_texts_and_slices(monkeypatch):
     shared = prose(r, 9)
     items = [(i, prose(r, 6) + " " + shared + " " + prose(r, 6)) for i in range(12)]
     texts = []
-    for _ in range(30):
+    for _ in range(10):
         parts = [edited(r, items[r.randrange(12)][1], r.choice([0, 1, 3, 9])) if r.random() < 0.3 else prose(r, r.randint(1, 60), 10**6) for _ in range(8)]
         texts.append(" ".join([*parts, shared]))
     got = decontam.Benchmark(items).leaks(texts)
