@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import worker_cache, written
 
 CLASSES, DIM, NOISE, BATCH, ROUNDS, RATE = 1024, 16, 16, 512, 2, 0.2
-GROUPS, GROUP_WORDS, GROUP_NOISE, GROUP_BATCH, GROUP_RATE = 384, 64, 5, 4096, 0.1
+GROUPS, GROUP_WORDS, GROUP_NOISE, GROUP_BATCH, GROUP_RATE = 384, 64, 16, 8192, 0.1
 #: Words whose parameters travel in one row.
 SLICE = 4096
 HOT_WORDS = 100_000
@@ -42,8 +42,8 @@ HOT_BYTES = 64
 HELD_WORDS = 400_000
 #: Bytes in words longer than HOT_BYTES, after which it does, too.
 HELD_BYTES = 32 << 20
-#: Tasks that add up the parameters of a round; each sends its sum to the driver.
-ADDERS = 16
+#: Tasks whose parameters are added up first, and tasks that add up those sums; each of the latter sends its own to the driver.
+TASKS, ADDERS = 32, 16
 END = b""
 BUFFER = 1 << 16
 
@@ -166,6 +166,11 @@ class Model:
         return one, two, (np.log(z) + top1 + top2.T).astype(np.float32)
 
 
+def run_starts(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, in sorted values."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+
+
 class Trainer:
     """Steps of Adagrad on the NCE objective; noise classes are shared by a batch."""
 
@@ -182,7 +187,8 @@ class Trainer:
 
     def apply(self, name: str, grad: np.ndarray) -> None:
         self.seen[name] += grad * grad
-        setattr(self.m, name, getattr(self.m, name) + RATE * grad / np.sqrt(self.seen[name]))
+        parameters = getattr(self.m, name)
+        parameters += RATE * grad / np.sqrt(self.seen[name])
 
     def step(self, w: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
         m, n = self.m, len(w)
@@ -234,7 +240,7 @@ class Inner:
 
 
 class InnerTrainer:
-    """Steps of Adagrad on the rows that a batch meets; noise comes from the target's group."""
+    """Steps of Adagrad on the rows that a batch meets; a batch's targets in one group share noise drawn from it."""
 
     def __init__(self, inner: Inner, words: Words, seed: int):
         self.m, self.words, self.g = inner, words, np.random.default_rng(seed)
@@ -245,32 +251,46 @@ class InnerTrainer:
         self.seen_c = np.full(inner.c.shape, 1e-1, np.float32)
         self.times = np.zeros(len(inner.rows), np.float32)
 
-    def apply(self, ids: np.ndarray, grads: np.ndarray, columns: slice) -> None:
-        own, at, times = np.unique(ids, return_inverse=True, return_counts=True)
-        d = grads.shape[1]
-        grad = np.bincount((at[:, None] * d + np.arange(d)).ravel(), weights=grads.ravel(), minlength=len(own) * d).reshape(-1, d).astype(np.float32)
+    def apply(self, ids: np.ndarray, grads: np.ndarray, times: np.ndarray, columns: slice) -> None:
+        by = np.argsort(ids, kind="stable")
+        at = run_starts(ids[by])
+        own, grad = ids[by[at]], np.add.reduceat(grads[by], at, axis=0)
         seen = self.seen[own, columns] + grad * grad
         self.seen[own, columns] = seen
         self.m.rows[own, columns] += GROUP_RATE * grad / np.sqrt(seen)
-        self.times[own] += times
+        self.times[own] += np.add.reduceat(times[by], at)
 
     def step(self, group: np.ndarray, w: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
         m, first = self.m, self.words.first
-        low, high = first[group][:, None], first[group + 1][:, None]
-        u = self.cumulative[low] + self.g.random((len(w), GROUP_NOISE)) * (self.cumulative[high] - self.cumulative[low])
+        by = np.argsort(group, kind="stable")
+        group, w, p1, p2 = group[by], w[by], p1[by], p2[by]
+        at = run_starts(group)
+        own, sizes = group[at], np.diff(np.append(at, len(w)))
+        low, high = first[own][:, None], first[own + 1][:, None]
+        u = self.cumulative[low] + self.g.random((len(own), GROUP_NOISE)) * (self.cumulative[high] - self.cumulative[low])
         noise = self.words.members[np.clip(np.searchsorted(self.cumulative, u, side="right") - 1, low, high - 1)]
-        ids = np.concatenate([w[:, None], noise], axis=1)
-        r1, r2, rows = m.rows[p1, :DIM], m.rows[p2, :DIM], m.rows[ids, DIM:]
-        h = r1 @ m.c[0] + r2 @ m.c[1]
-        scores = np.einsum("ij,ikj->ik", h, rows[:, :, :DIM]) + rows[:, :, DIM] - self.log_noise[ids]
-        e = -1 / (1 + np.exp(np.clip(-scores, -30, 30)))
-        e[:, 0] += 1
-        dh = np.einsum("ik,ikj->ij", e, rows[:, :, :DIM])
-        both = np.concatenate([e[:, :, None] * h[:, None, :], e[:, :, None]], axis=2)
+        r1, r2, qw, qn = m.rows[p1, :DIM], m.rows[p2, :DIM], m.rows[w, DIM:], m.rows[noise, DIM:]
+        # The last column multiplies the biases.
+        h = np.ones((len(w), DIM + 1), np.float32)
+        h[:, :-1] = r1 @ m.c[0] + r2 @ m.c[1]
+        false = np.empty((len(w), GROUP_NOISE), np.float32)
+        spans = [slice(a, a + n) for a, n in zip(at.tolist(), sizes.tolist(), strict=True)]
+        for k, span in enumerate(spans):
+            false[span] = h[span] @ qn[k].T - self.log_noise[noise[k]]
+        true = np.einsum("ij,ij->i", h, qw) - self.log_noise[w]
+        gt = 1 / (1 + np.exp(np.clip(true, -30, 30)))
+        gf = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
+        dh, dn = gt[:, None] * qw, np.empty_like(qn)
+        for k, span in enumerate(spans):
+            dn[k] = gf[span].T @ h[span]
+            dh[span] += gf[span] @ qn[k]
+        dh = dh[:, :-1]
         dc = np.stack([r1.T @ dh, r2.T @ dh]) / len(w)
         dr = np.concatenate([dh @ m.c[0].T, dh @ m.c[1].T])
-        self.apply(ids.ravel(), both.reshape(-1, DIM + 1), slice(DIM, None))
-        self.apply(np.concatenate([p1, p2]), dr, slice(0, DIM))
+        once = np.ones(2 * len(w), np.float32)
+        met = np.concatenate([once[: len(w)], np.repeat(sizes, GROUP_NOISE).astype(np.float32)])
+        self.apply(np.concatenate([w, noise.ravel()]), np.concatenate([gt[:, None] * h, dn.reshape(-1, DIM + 1)]), met, slice(DIM, None))
+        self.apply(np.concatenate([p1, p2]), dr, once, slice(0, DIM))
         self.seen_c += dc * dc
         m.c = m.c + GROUP_RATE * dc / np.sqrt(self.seen_c)
 
@@ -286,6 +306,17 @@ def contexts(classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return p1, p2
 
 
+def moved(part: int, turn: int, ids: np.ndarray, times: np.ndarray, delta: np.ndarray) -> pa.RecordBatch:
+    """How far a slice's parameters have moved, in 16 bits each, and how often each row was met."""
+    row = {"part": part, "turn": turn, "n": 0.0, "ids": ids.astype(np.int32).tobytes(), "times": times.astype(np.float32).tobytes(), "p": delta.astype(np.float16).tobytes()}
+    return pa.RecordBatch.from_pylist([row])
+
+
+def arrived(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, times, delta = (np.frombuffer(bytes(row[k]), t) for k, t in (("ids", np.int32), ("times", np.float32), ("p", np.float16)))
+    return ids, times[:, None].astype(np.float64), delta.reshape(-1, 2 * DIM + 1).astype(np.float32)
+
+
 def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, round_no: int) -> None:
     """One round: every task trains on its texts from the same start; the means by tokens are the result."""
     start = texts.sparkSession.sparkContext.broadcast((model.flat(), inner.rows, inner.c))
@@ -328,13 +359,12 @@ def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, roun
             n += size
         if n:
             flat = np.concatenate([own.flat(), within.c.ravel()]) * n
-            yield pa.RecordBatch.from_pylist([{"part": -1 - task % ADDERS, "n": float(n), "ids": b"", "p": flat.tobytes()}])
+            turn = task // TASKS
+            yield pa.RecordBatch.from_pylist([{"part": -1 - turn % ADDERS, "turn": turn, "n": float(n), "ids": b"", "times": b"", "p": flat.tobytes()}])
             met = np.flatnonzero(second.times)
             for part in np.unique(met // SLICE).tolist():
                 ids = met[met // SLICE == part]
-                times = second.times[ids, None]
-                rows = np.concatenate([within.rows[ids] * times, times], axis=1)
-                yield pa.RecordBatch.from_pylist([{"part": part, "n": 0.0, "ids": ids.astype(np.int32).tobytes(), "p": rows.tobytes()}])
+                yield moved(part, turn, ids, second.times[ids], within.rows[ids] - start.value[1][ids])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flats: dict[int, tuple] = {}
@@ -347,16 +377,18 @@ def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, roun
                     flats[part] = n + r["n"], p + np.frombuffer(r["p"])
                 else:
                     held = slices.setdefault(part, np.zeros((SLICE, 2 * DIM + 2)))
-                    held[np.frombuffer(r["ids"], np.int32) - part * SLICE] += np.frombuffer(r["p"], np.float32).reshape(-1, 2 * DIM + 2)
+                    ids, times, delta = arrived(r)
+                    held[ids - part * SLICE] += np.concatenate([delta * times, times], axis=1)
         for part, (n, p) in flats.items():
-            yield pa.RecordBatch.from_pylist([{"part": part, "n": n, "ids": b"", "p": p.tobytes()}])
+            yield pa.RecordBatch.from_pylist([{"part": part, "turn": 0, "n": n, "ids": b"", "times": b"", "p": p.tobytes()}])
         for part, held in slices.items():
             ids = np.flatnonzero(held[:, -1])
-            mean = (held[ids, :-1] / held[ids, -1:]).astype(np.float32)
-            yield pa.RecordBatch.from_pylist([{"part": part, "n": 0.0, "ids": (ids + part * SLICE).astype(np.int32).tobytes(), "p": mean.tobytes()}])
+            yield moved(part, 0, ids + part * SLICE, held[ids, -1], held[ids, :-1] / held[ids, -1:])
 
-    shape = "part bigint, n double, ids binary, p binary"
-    sums = texts.mapInArrow(fit, shape).repartition(ADDERS, "part").mapInArrow(total, shape).collect()  # ADDERS rows at most, and one for each slice
+    shape = "part bigint, turn bigint, n double, ids binary, times binary, p binary"
+    # First the sums of TASKS tasks each, then those of all: no task reads a slice from every task.
+    some = texts.mapInArrow(fit, shape).repartition("part", "turn").mapInArrow(total, shape)
+    sums = some.repartition(ADDERS, "part").mapInArrow(total, shape).collect()  # ADDERS rows at most, and one for each slice
     flats = [r for r in sums if r["part"] < 0]
     if n := sum(r["n"] for r in flats):
         flat = sum(np.frombuffer(bytes(r["p"])) for r in flats) / n
@@ -365,7 +397,8 @@ def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, roun
         inner.rows = inner.rows.copy()
         for r in sums:
             if r["part"] >= 0:
-                inner.rows[np.frombuffer(bytes(r["ids"]), np.int32)] = np.frombuffer(bytes(r["p"]), np.float32).reshape(-1, 2 * DIM + 1)
+                ids, _, delta = arrived(r)
+                inner.rows[ids] += delta
     start.unpersist()
 
 
