@@ -46,6 +46,8 @@ HELD_BYTES = 32 << 20
 TASKS, ADDERS = 32, 16
 END = b""
 BUFFER = 1 << 16
+#: Targets of a group that meet their noise in one block; scores held at once within a group; bound below which exp and sums of it stay finite.
+LANES, CELLS, SAFE = 16, 1 << 17, 60.0
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -171,6 +173,11 @@ def run_starts(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
 
 
+def by_group(group: np.ndarray) -> np.ndarray:
+    """The stable order by group; numbers of 16 bits are sorted by radix."""
+    return np.argsort(group.astype(np.uint16) if GROUPS < 1 << 16 else group, kind="stable")
+
+
 class Trainer:
     """Steps of Adagrad on the NCE objective; noise classes are shared by a batch."""
 
@@ -192,7 +199,7 @@ class Trainer:
 
     def step(self, w: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
         m, n = self.m, len(w)
-        r1, r2, qw = m.r[p1], m.r[p2], m.q[w]
+        r1, r2, qw = m.r.take(p1, axis=0), m.r.take(p2, axis=0), m.q.take(w, axis=0)
         h = r1 @ m.c[0] + r2 @ m.c[1]
         noise = np.minimum(np.searchsorted(self.cumulative, self.g.random(NOISE)), len(self.noise) - 1)
         qn = m.q[noise]
@@ -212,30 +219,49 @@ class Trainer:
 
 
 class Inner:
-    """Within groups: for each id a vector as context, one as target and a bias, and matrices of the two places."""
+    """Within groups: for each id a vector as context (r), one as target with a bias behind it (q), and matrices of the two
+    places (c)."""
 
     def __init__(self, words: Words, seed: int = 4):
         g, n = np.random.default_rng(seed), len(words.share)
-        self.rows = np.empty((n, 2 * DIM + 1), np.float32)
-        self.rows[:, : 2 * DIM] = 0.1 * g.standard_normal((n, 2 * DIM))
-        self.rows[:, 2 * DIM] = np.log(words.share)
-        self.c = np.stack([np.eye(DIM), 0.5 * np.eye(DIM)]).astype(np.float32)
+        rows = np.concatenate([0.1 * g.standard_normal((n, 2 * DIM)), np.log(words.share)[:, None]], axis=1)
+        self.load(rows.astype(np.float32), np.stack([np.eye(DIM), 0.5 * np.eye(DIM)]).astype(np.float32))
+
+    def load(self, rows: np.ndarray, c: np.ndarray) -> Inner:
+        self.r, self.q, self.c = rows[:, :DIM].copy(), rows[:, DIM:].copy(), c.copy()
+        return self
+
+    def rows(self, ids: np.ndarray | slice = slice(None)) -> np.ndarray:
+        return np.concatenate([self.r[ids], self.q[ids]], axis=1)
+
+    def hidden(self, r1: np.ndarray, r2: np.ndarray) -> np.ndarray:
+        """Contexts sent through their places; the last column multiplies the biases."""
+        h = np.ones((len(r1), DIM + 1), np.float32)
+        h[:, :-1] = r1 @ self.c[0]
+        h[:, :-1] += r2 @ self.c[1]
+        return h
 
     def logs(self, words: Words, group: np.ndarray, w: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
         """Log probabilities of ids in their groups."""
-        r, q, b = self.rows[:, :DIM], self.rows[:, DIM : 2 * DIM], self.rows[:, -1]
-        h = r[p1] @ self.c[0] + r[p2] @ self.c[1]
-        out = np.einsum("ij,ij->i", h, q[w]) + b[w]
-        by = np.argsort(group, kind="stable")
+        by = by_group(group)
         ends = np.searchsorted(group[by], np.arange(words.groups + 1))
+        h = self.hidden(self.r.take(p1[by], axis=0), self.r.take(p2[by], axis=0))
+        true = np.einsum("ij,ij->i", h, self.q.take(w[by], axis=0))
+        length = np.sqrt(np.einsum("ij,ij->i", h, h))
         for g in np.flatnonzero(np.diff(ends)).tolist():
-            members = words.members[words.first[g] : words.first[g + 1]]
-            qg, bg = q[members].T, b[members]
-            for a in range(ends[g], ends[g + 1], BUFFER // 16):
-                i = by[a : min(a + BUFFER // 16, ends[g + 1])]
-                scores = h[i] @ qg + bg
-                top = scores.max(axis=1)
-                out[i] -= np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
+            q = self.q.take(words.members[words.first[g] : words.first[g + 1]], axis=0)
+            longest, n, turned = np.sqrt(np.einsum("ij,ij->i", q, q).max()), max(1, CELLS // len(q)), np.ascontiguousarray(q.T)
+            for a in range(ends[g], ends[g + 1], n):
+                span = slice(a, min(a + n, ends[g + 1]))
+                scores = h[span] @ turned
+                # No score is farther from 0 than the product of the lengths; only where exp might overflow is the top taken off.
+                if not length[span].max() * longest < SAFE:
+                    top = scores.max(axis=1)
+                    scores -= top[:, None]
+                    true[span] -= top
+                true[span] -= np.log(np.exp(scores, out=scores).sum(axis=1))
+        out = np.empty_like(true)
+        out[by] = true
         return out
 
 
@@ -247,52 +273,55 @@ class InnerTrainer:
         share = words.share[words.members]
         self.cumulative = np.concatenate([[0], np.cumsum(share)])
         self.log_noise = np.log(GROUP_NOISE * words.share).astype(np.float32)
-        self.seen = np.full(inner.rows.shape, 1e-1, np.float32)
-        self.seen_c = np.full(inner.c.shape, 1e-1, np.float32)
-        self.times = np.zeros(len(inner.rows), np.float32)
-
-    def apply(self, ids: np.ndarray, grads: np.ndarray, times: np.ndarray, columns: slice) -> None:
-        by = np.argsort(ids, kind="stable")
-        at = run_starts(ids[by])
-        own, grad = ids[by[at]], np.add.reduceat(grads[by], at, axis=0)
-        seen = self.seen[own, columns] + grad * grad
-        self.seen[own, columns] = seen
-        self.m.rows[own, columns] += GROUP_RATE * grad / np.sqrt(seen)
+        self.seen = {"r": np.full_like(inner.r, 1e-1), "q": np.full_like(inner.q, 1e-1), "c": np.full_like(inner.c, 1e-1)}
+        self.times = np.zeros(len(inner.r), np.float32)
+
+    def apply(self, name: str, ids: np.ndarray, grads: np.ndarray, times: np.ndarray) -> None:
+        # Ids with their places sort faster than an argsort of ids, to the same order.
+        bits = len(ids).bit_length()
+        keys = np.sort((ids << bits) + np.arange(len(ids)))
+        ids, by = keys >> bits, keys & ((1 << bits) - 1)
+        at = run_starts(ids)
+        own, grad = ids[at], np.add.reduceat(grads.take(by, axis=0), at, axis=0)
+        seen = self.seen[name].take(own, axis=0) + grad * grad
+        self.seen[name][own] = seen
+        getattr(self.m, name)[own] += GROUP_RATE * grad / np.sqrt(seen)
         self.times[own] += np.add.reduceat(times[by], at)
 
     def step(self, group: np.ndarray, w: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
         m, first = self.m, self.words.first
-        by = np.argsort(group, kind="stable")
+        by = by_group(group)
         group, w, p1, p2 = group[by], w[by], p1[by], p2[by]
         at = run_starts(group)
         own, sizes = group[at], np.diff(np.append(at, len(w)))
         low, high = first[own][:, None], first[own + 1][:, None]
         u = self.cumulative[low] + self.g.random((len(own), GROUP_NOISE)) * (self.cumulative[high] - self.cumulative[low])
         noise = self.words.members[np.clip(np.searchsorted(self.cumulative, u, side="right") - 1, low, high - 1)]
-        r1, r2, qw, qn = m.rows[p1, :DIM], m.rows[p2, :DIM], m.rows[w, DIM:], m.rows[noise, DIM:]
-        # The last column multiplies the biases.
-        h = np.ones((len(w), DIM + 1), np.float32)
-        h[:, :-1] = r1 @ m.c[0] + r2 @ m.c[1]
-        false = np.empty((len(w), GROUP_NOISE), np.float32)
-        spans = [slice(a, a + n) for a, n in zip(at.tolist(), sizes.tolist(), strict=True)]
-        for k, span in enumerate(spans):
-            false[span] = h[span] @ qn[k].T - self.log_noise[noise[k]]
+        r1, r2, qw, qn = m.r.take(p1, axis=0), m.r.take(p2, axis=0), m.q.take(w, axis=0), m.q.take(noise, axis=0)
+        h = m.hidden(r1, r2)
+        # Each group's targets in blocks of LANES, the last filled up with zeros: all blocks meet their noise in one product.
+        blocks = -(-sizes // LANES)
+        before = np.cumsum(blocks) - blocks
+        of = np.repeat(np.arange(len(own)), blocks)
+        slot = np.arange(len(w)) + np.repeat(before * LANES - at, sizes)
+        laid, against = np.zeros((len(of) * LANES, DIM + 1), np.float32), qn.take(of, axis=0)
+        laid[slot] = h
+        laid = laid.reshape(-1, LANES, DIM + 1)
+        false = laid @ against.transpose(0, 2, 1)
+        false -= self.log_noise[noise][of][:, None, :]
         true = np.einsum("ij,ij->i", h, qw) - self.log_noise[w]
         gt = 1 / (1 + np.exp(np.clip(true, -30, 30)))
         gf = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
-        dh, dn = gt[:, None] * qw, np.empty_like(qn)
-        for k, span in enumerate(spans):
-            dn[k] = gf[span].T @ h[span]
-            dh[span] += gf[span] @ qn[k]
-        dh = dh[:, :-1]
+        dn = np.add.reduceat(gf.transpose(0, 2, 1) @ laid, before, axis=0)
+        dh = (gt[:, None] * qw + (gf @ against).reshape(-1, DIM + 1).take(slot, axis=0))[:, :-1]
         dc = np.stack([r1.T @ dh, r2.T @ dh]) / len(w)
         dr = np.concatenate([dh @ m.c[0].T, dh @ m.c[1].T])
         once = np.ones(2 * len(w), np.float32)
         met = np.concatenate([once[: len(w)], np.repeat(sizes, GROUP_NOISE).astype(np.float32)])
-        self.apply(np.concatenate([w, noise.ravel()]), np.concatenate([gt[:, None] * h, dn.reshape(-1, DIM + 1)]), met, slice(DIM, None))
-        self.apply(np.concatenate([p1, p2]), dr, once, slice(0, DIM))
-        self.seen_c += dc * dc
-        m.c = m.c + GROUP_RATE * dc / np.sqrt(self.seen_c)
+        self.apply("q", np.concatenate([w, noise.ravel()]), np.concatenate([gt[:, None] * h, dn.reshape(-1, DIM + 1)]), met)
+        self.apply("r", np.concatenate([p1, p2]), dr, once)
+        self.seen["c"] += dc * dc
+        m.c = m.c + GROUP_RATE * dc / np.sqrt(self.seen["c"])
 
 
 def contexts(classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,14 +348,13 @@ def arrived(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, round_no: int) -> None:
     """One round: every task trains on its texts from the same start; the means by tokens are the result."""
-    start = texts.sparkSession.sparkContext.broadcast((model.flat(), inner.rows, inner.c))
+    start = texts.sparkSession.sparkContext.broadcast((model.flat(), inner.rows(), inner.c))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         known, n, task = _words(sent), 0, TaskContext.get().partitionId()
-        own, within = Model(known.unigram).load(start.value[0]), Inner.__new__(Inner)
-        within.rows, within.c = start.value[1].copy(), start.value[2].copy()
+        own, within = Model(known.unigram).load(start.value[0]), Inner.__new__(Inner).load(*start.value[1:])
         trainer = Trainer(own, known.unigram, seed=1000 * round_no + task % 1000)
         second = InnerTrainer(within, known, seed=1000 * round_no + task % 1000)
         waiting: list[list[int]] = []
@@ -364,7 +392,7 @@ def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, roun
             met = np.flatnonzero(second.times)
             for part in np.unique(met // SLICE).tolist():
                 ids = met[met // SLICE == part]
-                yield moved(part, turn, ids, second.times[ids], within.rows[ids] - start.value[1][ids])
+                yield moved(part, turn, ids, second.times[ids], within.rows(ids) - start.value[1][ids])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flats: dict[int, tuple] = {}
@@ -393,12 +421,12 @@ def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, roun
     if n := sum(r["n"] for r in flats):
         flat = sum(np.frombuffer(bytes(r["p"])) for r in flats) / n
         model.load(flat[: -inner.c.size])
-        inner.c = flat[-inner.c.size :].reshape(inner.c.shape).astype(np.float32)
-        inner.rows = inner.rows.copy()
+        rows = inner.rows()
         for r in sums:
             if r["part"] >= 0:
                 ids, _, delta = arrived(r)
-                inner.rows[ids] += delta
+                rows[ids] += delta
+        inner.load(rows, flat[-inner.c.size :].reshape(inner.c.shape).astype(np.float32))
     start.unpersist()
 
 
@@ -406,10 +434,19 @@ def _words(sent) -> Words:
     """The broadcast words, made ready once for each worker."""
     value, held = sent.value, worker_cache("lm")
     if held.get("of") is not value:
+        held.clear()
         held |= {"of": value, "words": Words(*value)}
     return held["words"]
 
 
+def _learnt(learnt, known: Words) -> tuple[Inner, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The inner model and the first one's tables, which are made once for each worker, not for each task."""
+    value, held = learnt.value, worker_cache("lm")
+    if held.get("learnt") is not value:
+        held |= {"learnt": value, "tables": Model(known.unigram).load(value[0]).tables()}
+    return value[1], held["tables"]
+
+
 SCORED = pa.schema([
     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("key", pa.int64()), ("n_tokens", pa.int64()), ("n_hot", pa.int64()), ("hot_log", pa.float64()), ("model_log", pa.float64()),
     ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())),
@@ -420,8 +457,7 @@ SCORED_DDL = "doc_id bigint, held_out boolean, key bigint, n_tokens bigint, n_ho
 def _score(batches: Iterator[pa.RecordBatch], sent, learnt) -> Iterator[pa.RecordBatch]:
     """(doc_id, held_out, key, text) -> sums over the hot words and both models, and the other words with their times."""
     known = _words(sent)
-    flat, inner = learnt.value
-    one, two, z = Model(known.unigram).load(flat).tables()
+    inner, (one, two, z) = _learnt(learnt, known)
     logs = np.log10(np.append(known.counts, 0) + 1.0)  # the last is for words that are not hot
     seen, share = np.append(known.counts > 0, False), np.log10(known.others_size)
     for b in batches:

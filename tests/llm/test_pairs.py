@@ -5,10 +5,12 @@ import random
 import time
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import corpus_pipeline
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import DOCS, documents, odd_texts
 from pyspark.sql import functions as F
@@ -359,6 +361,81 @@ def test_lm_where_no_word_is_hot(spark, monkeypatch):
     assert abs(got[ids[0]]["base_score"] - 41 * base) < 1e-9 and abs(got[ids[1]]["base_score"] - 3 * base - math.log10(1 / 83)) < 1e-9
 
 
+def lm_groups():
+    """Three groups of 20, 19 and 18 words and their others, 3 words with classes of their own."""
+    ranked = [(lm.END, 99), *((w.encode(), 90) for w in ("the", "of", "and")), *((f"{i}{x}".encode(), 3 + i) for x in "aku" for i in range(20 - "aku".index(x)))]
+    ranked.sort(key=lambda x: (-x[1], x[0]))
+    return ranked, 5000, 400, 5, [b"d", b"p"], np.array([[40, 30], [9, 5], [0, 0]])
+
+
+def test_lm_step_in_blocks_adds_up_over_targets():
+    """A group of many blocks, one of a single target, and one that lacks: as target by target in 64 bits."""
+    words = lm.Words(*lm_groups())
+    inner, old = lm.Inner(words), lm.Inner(words)
+    r = np.random.default_rng(8)
+    group = np.where(np.arange(3 * lm.LANES + 5) == 7, 2, 0)
+    w = np.array([r.choice(words.members[words.first[g] : words.first[g + 1]]) for g in group])
+    p1, p2 = r.integers(0, len(words.share), (2, len(w)))
+    lm.InnerTrainer(inner, words, 5).step(group, w, p1, p2)
+    draws = np.random.default_rng(5).random((2, lm.GROUP_NOISE))
+    dr, dq, dc = np.zeros(old.r.shape), np.zeros(old.q.shape), np.zeros(old.c.shape)
+    noise = {}
+    for g, u in zip((0, 2), draws, strict=True):
+        cumulative = np.concatenate([[0], np.cumsum(words.share[words.members])])
+        low, high = words.first[g], words.first[g + 1]
+        u = cumulative[low] + u * (cumulative[high] - cumulative[low])
+        noise[g] = words.members[np.clip(np.searchsorted(cumulative, u, side="right") - 1, low, high - 1)]
+    for g, x, a, b in zip(group, w, p1, p2, strict=True):
+        h = np.append(old.r[a].astype(float) @ old.c[0] + old.r[b].astype(float) @ old.c[1], 1)
+        dh = np.zeros(lm.DIM + 1)
+        for k, sign in [(x, 1), *((k, -1) for k in noise[g])]:
+            s = h @ old.q[k] - np.log(lm.GROUP_NOISE * words.share[k])
+            weight = sign / (1 + np.exp(sign * s))
+            dq[k] += weight * h
+            dh += weight * old.q[k]
+        for i, place in enumerate((a, b)):
+            dr[place] += dh[:-1] @ old.c[i].T
+            dc[i] += np.outer(old.r[place], dh[:-1]) / len(w)
+    for name, grad in (("r", dr), ("q", dq), ("c", dc)):
+        want = getattr(old, name) + lm.GROUP_RATE * grad / np.sqrt(0.1 + grad * grad)
+        assert np.allclose(getattr(inner, name), want, atol=1e-5) and np.abs(grad).max() > 0
+
+
+def test_lm_logs_within_groups_with_small_and_large_scores(monkeypatch):
+    """Normalised in 64 bits as well, in one piece or many, whether or not exp would overflow."""
+    words = lm.Words(*lm_groups())
+    r = np.random.default_rng(9)
+    group = r.integers(0, 3, 200)
+    w = np.array([r.choice(words.members[words.first[g] : words.first[g + 1]]) for g in group])
+    p1, p2 = r.integers(0, len(words.share), (2, len(w)))
+    for scale in (1, 300, 3000):
+        inner = lm.Inner(words)
+        inner.q *= scale
+        want, largest = [], 0
+        for g, x, a, b in zip(group, w, p1, p2, strict=True):
+            h = np.append(inner.r[a].astype(float) @ inner.c[0] + inner.r[b].astype(float) @ inner.c[1], 1)
+            scores = inner.q[words.members[words.first[g] : words.first[g + 1]]].astype(float) @ h
+            want.append(h @ inner.q[x] - scores.max() - np.log(np.exp(scores - scores.max()).sum()))
+            largest = max(largest, np.abs(scores).max())
+        assert (largest > 700) == (scale > 1)
+        for cells in (1, 1 << 17):
+            monkeypatch.setattr(lm, "CELLS", cells)
+            assert np.allclose(inner.logs(words, group, w, p1, p2), want, rtol=1e-5, atol=1e-5 * scale)
+
+
+def test_lm_tables_are_made_once_for_a_worker(monkeypatch):
+    made, tables = [], lm.Model.tables
+    monkeypatch.setattr(lm.Model, "tables", lambda self: made.append(1) or tables(self))
+    words = lm.Words(*lm_groups())
+    sent = SimpleNamespace(value=lm_groups())
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "held_out": False, "key": i, "text": t} for i, t in enumerate(["the 3a of 4k", "", "new and 7u"])])
+    learnt = SimpleNamespace(value=(lm.Model(words.unigram).flat(), lm.Inner(words)))
+    tasks = [next(lm._score(iter([batch]), sent, learnt)) for _ in range(3)]
+    assert len(made) == 1 and tasks[0].equals(tasks[1]) and tasks[0].equals(tasks[2])
+    other = SimpleNamespace(value=(lm.Model(words.unigram, seed=5).flat(), lm.Inner(words)))
+    assert not next(lm._score(iter([batch]), sent, other)).equals(tasks[0]) and len(made) == 2
+
+
 def test_op1_parts_of_items():
     """Any 79 bytes of an item are found, and a short item without its last words."""
     r = random.Random(21)
