@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, jaccard, lm, pii, quality, secrets, sharding, token_output
+from . import bpe, chat, decontam, fim, jaccard, line_crf, lm, pii, quality, secrets, sharding, token_output, whitening
 from .common import bounded_batches, table, text_or_empty, tokenizer_path
 
 
@@ -254,6 +254,81 @@ def op10_token_output(spark: SparkSession, sf_dir: str, path: str | None = None)
     return token_output.read_tokens(spark, files)
 
 
+OP11_TYPE = "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each usable vector and component."""
+    bounded_batches(spark)
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows, "embedding", 32)
+    if model is None:
+        return spark.createDataFrame([], OP11_TYPE)
+    told = whitening.whiten(rows, "embedding", model).select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    explained = F.get(F.array(*map(F.lit, model.explained())), F.col("place"))
+    return told.select(
+        "vec_id",
+        (F.col("place") + 1).cast("int").alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        explained.alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    cut = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return cut.select(
+        "doc_id",
+        F.col("fim_n").alias("n"),
+        F.col("fim_form").alias("form"),
+        F.col("fim_prefix_units").alias("prefix_chars"),
+        F.col("fim_middle_units").alias("middle_chars"),
+        digest(F.col("fim_output")).alias("output_sha256"),
+        digest(fim.restored(F.col("fim_form"), F.col("fim_output"))).alias("restored_sha256"),
+    )
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS u1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS u2,
+    CAST('0x' || h[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS BIGINT) % 100 AS h4 FROM d
+), f AS (
+  SELECT doc_id, t, n, least(u1, u2) AS a, greatest(u1, u2) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+  SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM f
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from labelled rows of four folds of five and scores all rows."""
+    bounded_batches(spark)
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = line_crf.fit(docs, labels.where(fold != 0))
+    scored = line_crf.score_documents(docs, model)
+    score = F.col("quality_score")
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold == 0, F.lit(False)).alias("held_out"),
+        score.alias("score"),
+        F.when(score >= 0.3, 1).otherwise(0).alias("predicted"),
+        F.col("quality_bad_share").alias("bad_share"),
+        F.col("quality_lines").alias("n_lines"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -266,10 +341,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_sharding": op9_sharding,
         "op10_token_output": op10_token_output,
+        "op11_whitening": op11_whitening,
+        "op12_fim": op12_fim,
+        "op13_quality_classifier": op13_quality_classifier,
         "pii_base": pii_base,
         "sharding_law": sharding_law,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_jaccard": OP3_SQL, "op6_chat": OP6_SQL, "op7_secrets": OP7_SQL, "op8_quality": OP8_SQL, "pii_base": PII_BASE_SQL, "sharding_law": SHARDING_LAW_SQL}
+    return {"op3_jaccard": OP3_SQL, "op6_chat": OP6_SQL, "op7_secrets": OP7_SQL, "op8_quality": OP8_SQL, "op12_fim": OP12_SQL, "pii_base": PII_BASE_SQL, "sharding_law": SHARDING_LAW_SQL}
