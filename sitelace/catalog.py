@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .config import LINK_SITES
 from .functions import fuzzy, geo, parse, text
-from .operators import cascade, cluster, fill, join, palette, reports, semistructured
+from .operators import alike, cascade, cluster, fill, join, palette, reports, semistructured
 from .plans import schema
 from .session import written
 
@@ -208,7 +208,43 @@ def fuzzy_best_match(spark, sf_dir):
     """JOIN-06, FUZ-05: names that lost a letter, against all names."""
     a, b = halves(spark, sf_dir)
     a = a.withColumn("name", F.concat(F.substring("name", 1, 3), F.substring("name", 5, 100)))
-    return join.fuzzy_best(a, b, threshold=65.0).select("l_rid", "r_rid", F.round("score", 6).alias("score"))
+    return alike.fuzzy_best(a, b, threshold=65.0).select("l_rid", "r_rid", F.round("score", 6).alias("score"))
+
+
+OPENING_SQL = f"""k AS (SELECT doc_id AS rid, string_split({core_sql("coalesce(text, '')")}, ' ') AS w FROM documents),
+b AS (SELECT rid, trim(array_to_string(w[1:4], ' ')) AS y FROM k),
+a AS (SELECT rid, trim({core_sql("substring(y, 1, 2) || substring(y, 4)")}) AS x FROM b),
+p AS (SELECT a.rid AS l_rid, b.rid AS r_rid, 100.0 * (greatest(length(x), length(y)) - levenshtein(x, y)) / greatest(length(x), length(y)) AS score
+  FROM (SELECT DISTINCT ON (x) x, rid FROM a WHERE x <> '' ORDER BY x, rid) a, (SELECT y, min(rid) AS rid FROM b WHERE y <> '' GROUP BY y) b),
+best AS (SELECT a.x, p.r_rid, p.score, row_number() OVER (PARTITION BY a.x ORDER BY p.score DESC, p.r_rid) AS n FROM p JOIN a ON a.rid = p.l_rid)"""
+OPENING_OUT_SQL = "SELECT a.rid AS l_rid, best.r_rid, round(best.score, 6) AS score FROM a JOIN best USING (x) WHERE n = 1"
+
+
+def _openings(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The first four words of every document, and the same without their third letter."""
+    words = F.split(text.key_relaxed(F.coalesce("text", F.lit(""))), " ")
+    whole = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rid"), F.trim(F.array_join(F.slice(words, 1, 4), " ")).alias("name"))
+    return whole.withColumn("name", F.concat(F.substring("name", 1, 2), F.substring("name", 4, 1_000_000))), whole
+
+
+@query(f"WITH {OPENING_SQL} {OPENING_OUT_SQL} AND best.score >= 70")
+def fuzzy_names(spark, sf_dir):
+    """JOIN-06, FUZ-05, EXT-01: every document's opening with a letter lost, against all openings, by single edits."""
+    best = alike.fuzzy_best(*_openings(spark, sf_dir), threshold=70.0, backend="edits")
+    return best.select("l_rid", "r_rid", F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {OPENING_SQL} {OPENING_OUT_SQL}")
+def fuzzy_names_any(spark, sf_dir):
+    """JOIN-06 without a threshold, as reports ask for it."""
+    best = alike.fuzzy_best(*_openings(spark, sf_dir), backend="edits")
+    return best.select("l_rid", "r_rid", F.round("score", 6).alias("score"))
+
+
+@query()
+def fuzzy_names_composite(spark, sf_dir):
+    """JOIN-06, FUZ-01, 04: the same by the composite score."""
+    return alike.fuzzy_best(*_openings(spark, sf_dir), threshold=65.0).select("l_rid", "r_rid", F.round("score", 6).alias("score"))
 
 
 @query(f"""WITH {SITES_SQL} SELECT a.rid AS l_rid, b.rid AS r_rid, round({distance_sql()}, 3) AS d FROM a JOIN b ON {distance_sql()} <= 9000""")
@@ -607,6 +643,45 @@ def unmatched_reason(spark, sf_dir):
     return out.select("left_index", "left_name", "nearest_right_index", F.round("nearest_distance_m", 3).alias("nearest_distance_m"), "key_in_right", "reason")
 
 
+ALL_REASONS = NAMES_OFF.override(scorer="edits", use_fuzzy=True, fuzzy_threshold=80.0)
+
+
+def _with_gaps(spark, sf_dir):
+    """Sites of which some have a key or a name that no target has, with their matches by place and key, and voltages."""
+    a, b = _by_name(spark, sf_dir)
+    rid = F.col("rid")
+    a = a.withColumn("key", F.when(rid % 3 == 0, F.concat("key", F.lit("~"))).otherwise(F.col("key")))
+    a = a.withColumn("name", F.when(rid % 7 == 0, F.concat(F.substring("name", 1, 3), F.lit(" zz"))).otherwise(F.col("name")))
+    a = a.withColumn("lat", F.when(rid % 5 == 0, F.col("lat") + 40).otherwise(F.col("lat")))
+    levels = reports.voltages_by_key(a.withColumn("v", F.concat((rid % 4).cast("string"), F.lit("00"))), "v")
+    return a, b, written(cascade.cascade(a, b, NAMES_OFF), "matches"), levels
+
+
+GAPS_SQL = MATCHES_SQL.replace(
+    "a AS (SELECT * FROM sites WHERE rid % 2 = 0)",
+    """a AS (SELECT rid, CASE WHEN rid % 5 = 0 THEN lat + 40 ELSE lat END AS lat, lon, CASE WHEN rid % 7 = 0 THEN substring(name, 1, 3) || ' zz' ELSE name END AS name, CASE WHEN rid % 3 = 0 THEN key || '~' ELSE key END AS key FROM sites WHERE rid % 2 = 0)""",
+) + f""", u AS (SELECT a.*, {core_sql("name")} AS x FROM a WHERE rid NOT IN (SELECT l_rid FROM m)),
+near AS (SELECT rid, r_rid, d FROM (SELECT u.rid, b.rid AS r_rid, {distance_sql("u", "b")} AS d, row_number() OVER (PARTITION BY u.rid ORDER BY {distance_sql("u", "b")}, b.rid) AS n FROM u, b WHERE b.lat IS NOT NULL AND u.lat IS NOT NULL) WHERE n = 1),
+names AS (SELECT {core_sql("name")} AS y, min(rid) AS r_rid FROM b WHERE {core_sql("name")} <> '' GROUP BY ALL),
+alike AS (SELECT rid, r_rid, score FROM (SELECT u.rid, names.r_rid, 100.0 * (greatest(length(x), length(y)) - levenshtein(x, y)) / greatest(length(x), length(y)) AS score,
+  row_number() OVER (PARTITION BY u.rid ORDER BY 100.0 * (greatest(length(x), length(y)) - levenshtein(x, y)) / greatest(length(x), length(y)) DESC, names.r_rid) AS n FROM u, names WHERE x <> '') WHERE n = 1),
+levels AS (SELECT key, string_agg(DISTINCT (rid % 4) || '00', ';' ORDER BY (rid % 4) || '00') AS voltages FROM a WHERE key IS NOT NULL GROUP BY key),
+r AS (SELECT u.rid AS left_index, u.name AS left_name, u.lat, u.lon, near.r_rid AS nearest_right_index, near.d, coalesce(u.key IN (SELECT key FROM b WHERE key IS NOT NULL), false) AS key_in_right,
+  alike.r_rid AS best_fuzzy_right_index, alike.score, coalesce(voltages, '') AS left_voltages FROM u LEFT JOIN near USING (rid) LEFT JOIN alike USING (rid) LEFT JOIN levels ON levels.key = u.key)
+SELECT left_index, left_name, nearest_right_index, round(d, 3) AS nearest_distance_m, key_in_right, best_fuzzy_right_index, round(score, 6) AS best_fuzzy_score, left_voltages,
+  CASE WHEN lat IS NULL OR lon IS NULL THEN 'left_missing_coords' WHEN key_in_right AND (d IS NULL OR d > 9000) THEN 'same_name_in_right_but_outside_radius'
+    WHEN coalesce(score, -1) >= 80 AND (d IS NULL OR d > 9000) THEN 'fuzzy_name_match_but_outside_radius' WHEN d <= 10000 THEN 'nearby_right_but_name_mismatch' ELSE 'no_close_match' END AS reason
+FROM r"""
+
+
+@query(GAPS_SQL)
+def unmatched_all_reasons(spark, sf_dir):
+    """DIA-01, DIA-04, JOIN-11, FUZ-05: with fuzzy names, voltages and missing coordinates."""
+    a, b, m, levels = _with_gaps(spark, sf_dir)
+    out = reports.unmatched_sites(a, b, m, ALL_REASONS, levels)
+    return out.select("left_index", "left_name", "nearest_right_index", F.round("nearest_distance_m", 3).alias("nearest_distance_m"), "key_in_right", "best_fuzzy_right_index", F.round("best_fuzzy_score", 6).alias("best_fuzzy_score"), "left_voltages", "reason")
+
+
 @query(
     MATCHES_SQL
     + """SELECT m.l_rid AS left_index, a.name AS left_name, a.key AS left_key, m.r_rid AS right_index, b.name AS right_name, b.key AS right_key, m.method, round(CASE WHEN stage = 0 THEN aux END, 3) AS distance_m, NULL::DOUBLE AS score

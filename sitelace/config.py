@@ -7,13 +7,16 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 
+from .functions.fuzzy import Scorer
+
 
 @dataclass(frozen=True)
 class MatchConfig:
     """radius_m: location matches; nearby_m: what reports call near; dedup_m: one site; high_kv: high voltage from above.
 
     conflict: who writes when several sites hit one row: "last" in the order of stages, then of rows, or "best", the
-    first stage.  key_mode: "normalized", or "raw" for targets whose names are their keys.  scorer: "indel" or "difflib".
+    first stage.  key_mode: "normalized", or "raw" for targets whose names are their keys.  scorer: "difflib", "indel" or
+    "edits", or a `functions.fuzzy.Scorer` of one's own.
     key_fn: name -> key, STR-15 unless given.  fuzzy_threshold: least score at which names count as alike.
     """
 
@@ -25,7 +28,7 @@ class MatchConfig:
     high_kv: float = 57.0
     conflict: str = "last"
     key_mode: str = "normalized"
-    scorer: str = "difflib"
+    scorer: str | Scorer = "difflib"
     key_fn: Callable[[Column], Column] | None = None
 
     def override(self, **given) -> MatchConfig:

@@ -1,4 +1,4 @@
-"""Composite name similarity, 0 to 100 (FUZ-01 to 05).
+"""Name similarity, 0 to 100 (FUZ-01 to 05), and what a search needs to know of a scorer (EXT-01).
 
 The score is a weighted mean of token-set, token-sort and partial ratios, the Jaccard index of the tokens, Jaro-Winkler
 similarity and a ratio without spaces, on relaxed keys.  Backend "difflib" has one ratio (on sorted distinct tokens) for
@@ -8,9 +8,11 @@ length, partial = best ratio of the shorter text in windows of the longer.  Orde
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from difflib import SequenceMatcher
 from functools import lru_cache
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -105,15 +107,19 @@ def jaro_winkler(a: str, b: str) -> float:
     return score
 
 
-def score_keys(a: str, b: str, backend: str = "difflib") -> float:
-    """The composite of two relaxed keys."""
+def score_keys(a: str, b: str, backend: str = "difflib", floor: float = 0.0) -> float:
+    """The composite of two relaxed keys; one below the floor may come out as any lower number."""
     if not a or not b:
         return 0.0
     x, y = set(a.split()), set(b.split())
     jaccard = 100.0 * len(x & y) / len(x | y)
     plain_a, plain_b = a.replace(" ", ""), b.replace(" ", "")
     if backend == "difflib":
-        one = 100.0 * SequenceMatcher(None, " ".join(sorted(x)), " ".join(sorted(y))).ratio()
+        # Matching blocks make up a common subsequence, so that bounds them at a tenth of the cost.
+        p, q = " ".join(sorted(x)), " ".join(sorted(y))
+        if floor > 0 and W_JACCARD * jaccard + 100 * W_PLAIN + (W_SET + W_SORT + W_PARTIAL) * ratio(p, q) < floor - 1e-9:
+            return 0.0
+        one = 100.0 * SequenceMatcher(None, p, q).ratio()
         parts = (one, one, one, jaccard, 0.0, 100.0 * SequenceMatcher(None, plain_a, plain_b).ratio())
     elif backend == "indel":
         parts = (token_set_ratio(a, b), token_sort_ratio(a, b), partial_ratio(a, b), jaccard, 100.0 * jaro_winkler(a, b), ratio(plain_a, plain_b))
@@ -122,51 +128,210 @@ def score_keys(a: str, b: str, backend: str = "difflib") -> float:
     return sum(w * p for w, p in zip((W_SET, W_SORT, W_PARTIAL, W_JACCARD, W_JARO, W_PLAIN), parts, strict=True))
 
 
-def fuzzy_score(a: Column, b: Column, backend: str = "difflib") -> Column:
-    """Of two columns of relaxed keys, in Arrow batches."""
+def fuzzy_score(a: Column, b: Column, backend: str = "difflib", floor: Column | None = None) -> Column:
+    """Of two columns of relaxed keys, in Arrow batches.  Scores below the floor may come out as any lower number."""
 
-    def score(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        known = lru_cache(maxsize=65_536)(lambda x, y: score_keys(x, y, backend))
-        for left, right in batches:
-            yield pa.array([known(x or "", y or "") for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True)], pa.float64())
+    def score(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        known = lru_cache(maxsize=65_536)(lambda x, y, f: score_keys(x, y, backend, f))
+        for left, right, floors in batches:
+            yield pa.array([known(x or "", y or "", f or 0.0) for x, y, f in zip(left.to_pylist(), right.to_pylist(), floors.to_pylist(), strict=True)], pa.float64())
 
-    return F.arrow_udf(score, "double").asNondeterministic()(a, b)
+    return F.arrow_udf(score, "double").asNondeterministic()(a, b, F.lit(0.0) if floor is None else floor.cast("double"))
 
 
-#: What is counted letter by letter; all other characters of a key count as one more.
+# --- what two names have in common -------------------------------------------------------------------------------------
+
+#: What is counted letter by letter; all other characters of a key but spaces count as one more.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
+LETTER = {c: i for i, c in enumerate(ALPHABET)}
+OTHER = len(ALPHABET)
+#: The first so many of each letter have a bit; those beyond are only counted.
+OCCURRENCES, WORDS = 5, 3
+
+
+def distinct_text(key: str) -> str:
+    """The distinct tokens of a key in order, which is what "difflib" compares."""
+    return " ".join(sorted(set(key.split())))
+
+
+def bag(text: str) -> list[tuple[int, int]]:
+    """The letters of a text with their occurrence, from 1; spaces count like letters, as class -1."""
+    held: dict[int, int] = {}
+    out = []
+    for c in text:
+        k = -1 if c == " " else LETTER.get(c, OTHER)
+        held[k] = held.get(k, 0) + 1
+        out.append((k, held[k]))
+    return out
+
+
+def letter_bits(text: str) -> list[int]:
+    """WORDS longs with a bit for each letter and early occurrence, then how many letters are beyond, and spaces."""
+    bits = beyond = spaces = 0
+    for k, n in bag(text):
+        if k < 0:
+            spaces += 1
+        elif n <= OCCURRENCES:
+            bits |= 1 << (k * OCCURRENCES + n - 1)
+        else:
+            beyond += 1
+    return [*_longs(bits), beyond, spaces]
+
+
+def _longs(bits: int) -> list[int]:
+    words = [(bits >> (64 * i)) & ((1 << 64) - 1) for i in range(WORDS)]
+    return [w - (1 << 64) if w >> 63 else w for w in words]
+
+
+def token_bits(tokens: set[str]) -> list[int]:
+    """WORDS longs with a bit for each token's hash."""
+    bits = 0
+    for t in tokens:
+        bits |= 1 << crc32(t.encode()) % (64 * WORDS)
+    return _longs(bits)
 
 
-def _counts(s: Column) -> Column:
-    """How often each letter stands in a text, and the spaces, and at the end all others."""
-    each = [F.length(s) - F.length(F.replace(s, F.lit(c), F.lit(""))) for c in (*ALPHABET, " ")]
-    return F.transform(F.array(F.array(*each)), lambda a: F.concat(a, F.array(F.length(s) - F.aggregate(a, F.lit(0), lambda n, x: n + x))))[0]
+_FIELDS = ["n_tokens", *(f"t{i}" for i in range(WORDS)), *(f"{p}{f}" for p in "ad" for f in (*range(WORDS), "_beyond", "_spaces", "_size"))]
+FEATURES = "struct<" + ",".join(f"{f}:bigint" for f in _FIELDS) + ">"
 
 
 def features(key: Column) -> Column:
-    """Of one key, once for each name: letters and lengths of the key and of its sorted distinct tokens, and its tokens."""
-    tokens = F.filter(F.array_distinct(F.split(key, " ")), lambda t: t != "")
-    plain = F.array_join(F.array_sort(tokens), " ")
-    return F.struct(tokens.alias("tokens"), _counts(key).alias("all"), F.length(key).alias("n"), _counts(plain).alias("distinct"), F.length(plain).alias("d"))
-
-
-def upper_bound(x: Column, y: Column, backend: str = "difflib") -> Column:
-    """Of two `features`: the backend scores no higher.  No common subsequence is longer than the letters in common."""
-    add = lambda n, k: n + k
-    common = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: F.least(p, q)), F.lit(0), add)
-    bound = lambda shared, total: F.when(total > 0, 2.0 * shared / total).otherwise(1.0)
-    spaces = len(ALPHABET)
-    letters = common(x["all"], y["all"])
-    plain = letters - F.least(x["all"][spaces], y["all"][spaces])
-    by_plain = bound(plain, x["n"] + y["n"] - x["all"][spaces] - y["all"][spaces])
-    by_distinct = bound(common(x["distinct"], y["distinct"]), x["d"] + y["d"])
-    shared, either = F.size(F.array_intersect(x["tokens"], y["tokens"])), F.size(F.array_union(x["tokens"], y["tokens"]))
-    jaccard = F.when(either > 0, shared / either).otherwise(0.0)
-    if backend == "difflib":
-        return 100 * ((W_SET + W_SORT + W_PARTIAL) * by_distinct + W_JACCARD * jaccard + W_PLAIN * by_plain)
-    by_set = F.when(shared > 0, 1.0).otherwise(by_distinct)
-    short = F.least(x["n"], y["n"])
-    by_part = F.when(short > 0, 2.0 * letters / (short + letters)).otherwise(1.0)  # a window may be as short as what it shares
-    match = F.when(short > 0, F.least(F.lit(1.0), (letters / x["n"] + letters / y["n"] + 1) / 3)).otherwise(1.0)
-    by_jaro = F.when(letters == 0, 0.0).otherwise(match + 0.4 * (1 - match))
-    return 100 * (W_SET * by_set + W_SORT * bound(letters, x["n"] + y["n"]) + W_PARTIAL * by_part + W_JACCARD * jaccard + W_JARO * by_jaro + W_PLAIN * by_plain)
+    """Of one key, once for each name: its letters and length, as they stand (a) and of its distinct tokens (d), and a bit
+    for each token (t).  All are numbers, so bounds of pairs are arithmetic."""
+    kind = pa.struct([(f, pa.int64()) for f in _FIELDS])
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for keys in batches:
+            rows = []
+            for k in keys.to_pylist():
+                k = k or ""
+                plain, tokens = distinct_text(k), set(k.split())
+                rows.append([len(tokens), *token_bits(tokens), *letter_bits(k), len(k), *letter_bits(plain), len(plain)])
+            columns = list(zip(*rows, strict=True)) or [()] * len(_FIELDS)
+            yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], fields=list(kind))
+
+    return F.arrow_udf(run, FEATURES)(key)
+
+
+@dataclass(frozen=True)
+class Common:
+    """What two `features` have in common, as columns: letters (at most so many) and lengths of the keys (`all`), of them
+    without spaces (`plain`), of their distinct tokens in order (`distinct`); tokens shared (at most so many) and in either."""
+
+    all: Column
+    all_x: Column
+    all_y: Column
+    plain: Column
+    plain_x: Column
+    plain_y: Column
+    distinct: Column
+    distinct_x: Column
+    distinct_y: Column
+    shared: Column
+    either: Column
+
+
+def common(x: Column, y: Column) -> Common:
+    def bits(p: str) -> Column:
+        out = F.bit_count(x[f"{p}0"].bitwiseAND(y[f"{p}0"]))
+        for i in range(1, WORDS):
+            out = out + F.bit_count(x[f"{p}{i}"].bitwiseAND(y[f"{p}{i}"]))
+        return out
+
+    letters = lambda p: bits(p) + F.least(x[f"{p}_beyond"], y[f"{p}_beyond"])
+    spaces = lambda p: F.least(x[f"{p}_spaces"], y[f"{p}_spaces"])
+    plain = letters("a")
+    # Of tokens that share a bit within a name, all but one are beyond what bits can tell.
+    held = lambda f: sum((F.bit_count(f[f"t{i}"]) for i in range(1, WORDS)), F.bit_count(f["t0"]))
+    hidden = F.least(x["n_tokens"] - held(x), y["n_tokens"] - held(y))
+    shared = F.least(bits("t") + hidden, x["n_tokens"], y["n_tokens"])
+    return Common(
+        plain + spaces("a"), x["a_size"], y["a_size"],
+        plain, x["a_size"] - x["a_spaces"], y["a_size"] - y["a_spaces"],
+        letters("d") + spaces("d"), x["d_size"], y["d_size"],
+        shared, x["n_tokens"] + y["n_tokens"] - shared,
+    )
+
+
+def dice(shared: Column, n: Column, m: Column) -> Column:
+    """Twice what is shared over both lengths: no ratio of matching letters is higher."""
+    return F.when(n + m > 0, 2.0 * shared / (n + m)).otherwise(1.0)
+
+
+# --- scorers -----------------------------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """A similarity of relaxed keys from 0 to 100, and what lets a search skip pairs.
+
+    score: of two columns of keys, and a column with the score below which any lower number will do.  bound: from what two names have in common; no pair scores higher.
+    least_dice: (threshold, Jaccard index of the tokens) -> of pairs that reach the threshold while their tokens' index is
+    at most the given one, no pair has fewer letters in common, as twice that number over both lengths; 0 if nothing is known.
+    It must not rise with the index.  on_distinct: those letters are of the distinct tokens in order, else of the keys.
+    top: the score of equal keys, if no two different keys reach it.
+    """
+
+    name: str
+    score: Callable[[Column, Column, Column], Column]
+    bound: Callable[[Common], Column]
+    least_dice: Callable[[float, float], float]
+    on_distinct: bool = True
+    top: float | None = None
+
+
+def _bound_difflib(c: Common) -> Column:
+    jaccard = F.when(c.either > 0, c.shared / c.either).otherwise(0.0)
+    return 100 * ((W_SET + W_SORT + W_PARTIAL) * dice(c.distinct, c.distinct_x, c.distinct_y) + W_JACCARD * jaccard + W_PLAIN * dice(c.plain, c.plain_x, c.plain_y))
+
+
+def _bound_indel(c: Common) -> Column:
+    jaccard = F.when(c.either > 0, c.shared / c.either).otherwise(0.0)
+    by_set = F.when(c.shared > 0, 1.0).otherwise(dice(c.distinct, c.distinct_x, c.distinct_y))
+    short = F.least(c.all_x, c.all_y)
+    by_part = F.when(short > 0, 2.0 * c.all / (short + c.all)).otherwise(1.0)  # a window may be as short as what it shares
+    match = F.when(short > 0, F.least(F.lit(1.0), (c.all / c.all_x + c.all / c.all_y + 1) / 3)).otherwise(1.0)
+    by_jaro = F.when(c.all == 0, 0.0).otherwise(match + 0.4 * (1 - match))
+    by_plain = dice(c.plain, c.plain_x, c.plain_y)
+    return 100 * (W_SET * by_set + W_SORT * dice(c.all, c.all_x, c.all_y) + W_PARTIAL * by_part + W_JACCARD * jaccard + W_JARO * by_jaro + W_PLAIN * by_plain)
+
+
+def _need_difflib(threshold: float, jaccard: float) -> float:
+    return (threshold / 100 - W_JACCARD * jaccard - W_PLAIN) / (W_SET + W_SORT + W_PARTIAL)
+
+
+def _need_indel(threshold: float, jaccard: float) -> float:
+    """Letters of keys: the sorted ratio rests on them alone; any shared token may give the set ratio all."""
+    if jaccard > 0:
+        return (threshold / 100 - W_SET - W_JACCARD * jaccard - W_PARTIAL - W_JARO - W_PLAIN) / W_SORT
+    return (threshold / 100 - W_SET - W_PARTIAL - W_JARO - W_PLAIN) / W_SORT
+
+
+def _bound_edits(c: Common) -> Column:
+    longest = F.greatest(c.all_x, c.all_y)
+    return F.when(longest > 0, 100.0 * c.all / longest).otherwise(100.0)
+
+
+def _edits(a: Column, b: Column, floor: Column) -> Column:
+    longest = F.greatest(F.length(a), F.length(b))
+    return F.when(longest > 0, 100.0 * (longest - F.levenshtein(a, b)) / longest).otherwise(100.0)
+
+
+DIFFLIB = Scorer("difflib", lambda a, b, floor: fuzzy_score(a, b, "difflib", floor), _bound_difflib, _need_difflib, top=100.0 * (W_SET + W_SORT + W_PARTIAL + W_JACCARD + W_PLAIN))
+INDEL = Scorer("indel", lambda a, b, floor: fuzzy_score(a, b, "indel", floor), _bound_indel, _need_indel, on_distinct=False, top=100.0)
+#: Share of the longer key that stays, by single edits; all of it runs in the JVM.
+EDITS = Scorer("edits", _edits, _bound_edits, lambda threshold, jaccard: threshold / 100, on_distinct=False, top=100.0)
+SCORERS = {s.name: s for s in (DIFFLIB, INDEL, EDITS)}
+
+
+def scorer(given: str | Scorer) -> Scorer:
+    if isinstance(given, Scorer):
+        return given
+    if given not in SCORERS:
+        raise ValueError(f"no scorer {given}; there are {sorted(SCORERS)}")
+    return SCORERS[given]
+
+
+def upper_bound(x: Column, y: Column, backend: str | Scorer = "difflib") -> Column:
+    """Of two `features`: the backend scores no higher."""
+    return scorer(backend).bound(common(x, y))

@@ -13,7 +13,7 @@ from ..config import MatchConfig
 from ..functions.geo import valid
 from ..functions.parse import robust_float
 from ..functions.text import format_coordinate, key_station_plus, strip_voltage
-from . import join
+from . import alike, join
 
 LOCATION, EXACT, FUZZY = "location", "name_exact", "name_fuzzy"
 METHODS = (LOCATION, EXACT, FUZZY)
@@ -51,7 +51,7 @@ def cascade(left: DataFrame, right: DataFrame, config: MatchConfig, location: bo
     else:
         add(join.exact_prefer_located(rest, right), EXACT, F.lit(None))
     if config.use_fuzzy:
-        add(join.fuzzy_best(rest, right, threshold=config.fuzzy_threshold, backend=config.scorer), FUZZY, F.col("score"))
+        add(alike.fuzzy_best(rest, right, threshold=config.fuzzy_threshold, backend=config.scorer), FUZZY, F.col("score"))
     out = stages[0]
     for s in stages[1:]:
         out = out.unionByName(s)

@@ -1,4 +1,4 @@
-"""Distance, key and fuzzy joins (JOIN-01 to 14).
+"""Distance and key joins (JOIN-01 to 14; the search by similar name is in `alike`).
 
 Sides are tables with a `rid` that orders them; ties go to the smaller one.  Distance joins look at distinct coordinates
 first, so a crowd of rows on one spot is one point, and meet on grid cells; none of them is a cross join.
@@ -11,9 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import features, fuzzy_score, upper_bound
 from ..functions.geo import EARTH_M, Grid, haversine_m, valid
-from ..functions.text import key_relaxed
 from ..session import written
 
 #: Half the way round the earth: no two points are farther apart.
@@ -108,45 +106,6 @@ def exact_prefer_located(left: DataFrame, right: DataFrame, key: str = "key") ->
     return own(left).select(F.col("rid").alias("l_rid"), key).join(first, key).select("l_rid", F.col("b.r_rid").alias("r_rid"))
 
 
-def fuzzy_best(left: DataFrame, right: DataFrame, name: str = "name", threshold: float | None = None, backend: str = "difflib") -> DataFrame:
-    """(l_rid, r_rid, score): the right row of the most similar name, of equally similar ones the first (JOIN-06).
-
-    Distinct names are scored, not rows.  Every left name meets every right name, as the definition asks; with a threshold,
-    pairs whose bound (from the letters and tokens that they share) is below it are dropped before Python sees them.  Both
-    sides are dealt out in blocks, so neither needs to fit anywhere.  Names without a key match nothing.
-    """
-    keyed = lambda df: df.select("rid", key_relaxed(F.col(name)).alias("k")).where("k <> ''")
-    a, b = keyed(left), keyed(right)
-    names_a = a.select(F.col("k").alias("x")).distinct()
-    names_b = b.groupBy(F.col("k").alias("y")).agg(F.min("rid").alias("r_rid"))
-    if threshold is None:
-        pairs = _all_pairs(names_a, names_b)
-    else:
-        pairs = likely_pairs(names_a, names_b, threshold, backend)
-    scored = pairs.select("x", "r_rid", fuzzy_score(F.col("x"), F.col("y"), backend).alias("score"))
-    if threshold is not None:
-        scored = scored.where(F.col("score") >= threshold)
-    best = scored.groupBy("x").agg(F.max(F.struct("score", (-F.col("r_rid")).alias("minus"))).alias("b"))
-    return a.join(best, F.col("k") == F.col("x")).select(F.col("rid").alias("l_rid"), (-F.col("b.minus")).alias("r_rid"), F.col("b.score").alias("score"))
-
-
-def likely_pairs(a: DataFrame, b: DataFrame, threshold: float, backend: str) -> DataFrame:
-    """The pairs (x, y) whose bound reaches the threshold; letters are counted once for each name."""
-    a, b = a.withColumn("fx", features(F.col("x"))), b.withColumn("fy", features(F.col("y")))
-    return _all_pairs(a, b).where(upper_bound(F.col("fx"), F.col("fy"), backend) >= threshold - 1e-9).drop("fx", "fy")
-
-
-BLOCKS = 16
-
-
-def _all_pairs(a: DataFrame, b: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """Each row of one side with each of the other, by an equi-join on a square of blocks."""
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = a.withColumn("row", F.pmod(F.xxhash64("x"), F.lit(blocks)).cast("int")).withColumn("col", every)
-    right = b.withColumn("col", F.pmod(F.xxhash64("y"), F.lit(blocks)).cast("int")).withColumn("row", every)
-    return left.join(right, ["row", "col"]).drop("row", "col")
-
-
 def lookup(df: DataFrame, other: DataFrame, on: str, columns: dict[str, str]) -> DataFrame:
     """Columns of `other` by its rid, renamed; rows without a partner stay (JOIN-09)."""
     picked = other.select(F.col("rid").alias("lookup_rid"), *(F.col(c).alias(n) for c, n in columns.items()))

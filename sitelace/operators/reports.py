@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import MatchConfig
 from ..functions.parse import max_kv
 from ..functions.text import distinct_joined
-from . import join
+from . import alike, join
 from .cascade import FUZZY, LOCATION
 
 
@@ -55,7 +55,7 @@ def unmatched_sites(left: DataFrame, right: DataFrame, matches: DataFrame, confi
     near = join.nearest(rest, right, config.nearby_m).select(F.col("l_rid").alias("rid"), F.col("r_rid").alias("nearest_right_index"), F.col("d").alias("nearest_distance_m"))
     out = join.lookup(out.join(near, "rid", "left"), right, "nearest_right_index", {"name": "nearest_right_name", "key": "nearest_right_key"})
     if config.use_fuzzy:
-        best = join.fuzzy_best(rest, right, backend=config.scorer).select(F.col("l_rid").alias("rid"), F.col("r_rid").alias("best_fuzzy_right_index"), F.col("score").alias("best_fuzzy_score"))
+        best = alike.fuzzy_best(rest, right, backend=config.scorer).select(F.col("l_rid").alias("rid"), F.col("r_rid").alias("best_fuzzy_right_index"), F.col("score").alias("best_fuzzy_score"))
         out = join.lookup(out.join(best, "rid", "left"), right, "best_fuzzy_right_index", {"name": "best_fuzzy_right_name"})
     else:
         out = out.withColumns({"best_fuzzy_right_index": F.lit(None).cast("bigint"), "best_fuzzy_right_name": F.lit(None).cast("string"), "best_fuzzy_score": F.lit(None).cast("double")})
@@ -122,7 +122,7 @@ def uncovered_sources(sources: DataFrame, targets: DataFrame, config: MatchConfi
 def _with_best(out: DataFrame, rows: DataFrame, others: DataFrame, config: MatchConfig) -> DataFrame:
     if not config.use_fuzzy:
         return out.withColumns({"best_fuzzy_right_index": F.lit(None).cast("bigint"), "best_fuzzy_right_score": F.lit(None).cast("double"), "best_fuzzy_right_name": F.lit(None).cast("string")})
-    best = join.fuzzy_best(rows, others, backend=config.scorer).select(F.col("l_rid").alias("rid"), F.col("r_rid").alias("best_fuzzy_right_index"), F.col("score").alias("best_fuzzy_right_score"))
+    best = alike.fuzzy_best(rows, others, backend=config.scorer).select(F.col("l_rid").alias("rid"), F.col("r_rid").alias("best_fuzzy_right_index"), F.col("score").alias("best_fuzzy_right_score"))
     return join.lookup(out.join(best, "rid", "left"), others, "best_fuzzy_right_index", {"name": "best_fuzzy_right_name"})
 
 

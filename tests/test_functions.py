@@ -1,6 +1,7 @@
 """Truth tables and plain models of column functions."""
 
 import math
+import functools
 import random
 from difflib import SequenceMatcher
 
@@ -8,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 from sitelace.functions import fuzzy, geo, parse, text
-from sitelace.operators import join
+from sitelace.operators import alike
 
 
 def values(spark, f, xs, kind="string"):
@@ -117,26 +118,75 @@ def test_jaro_winkler_equals_sql():
         assert fuzzy.jaro_winkler(a, b) == pytest.approx(db.execute("select jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0], abs=1e-9)
 
 
-@pytest.mark.parametrize(("backend", "threshold"), [("difflib", 65), ("difflib", 70), ("indel", 70), ("indel", 85)])
-def test_few_pairs_reach_python(spark, backend, threshold):
-    """Of 300 x 300 invented names; none that scores enough is lost."""
-    r = random.Random(5)
+def invented(r, n):
     syllables = ["to", "rca", "me", "llo", "ba", "rran", "gui", "lla", "san", "car", "los", "chi", "vor", "gua", "vio", "po", "pa", "yan"]
-    name = lambda: " ".join("".join(r.choice(syllables) for _ in range(r.randint(2, 4))) for _ in range(r.randint(1, 3)))
-    xs, ys = [name() for _ in range(300)], [name() for _ in range(297)]
-    ys += [x[:-1] + "z" for x in xs[:3]]
-    pairs = join.likely_pairs(spark.createDataFrame([(x,) for x in xs], "x string"), spark.createDataFrame([(y,) for y in ys], "y string"), threshold, backend)
-    kept = {tuple(p) for p in pairs.select("x", "y").collect()}
-    assert all((x, y) in kept for x in xs[:60] for y in ys if fuzzy.score_keys(x, y, backend) >= threshold)
-    assert len(kept) < {"difflib": 0.1, "indel": 0.4}[backend] * len(xs) * len(ys)
+    return [" ".join("".join(r.choice(syllables) for _ in range(r.randint(2, 4))) for _ in range(r.randint(1, 3))) for _ in range(n)]
+
+
+ODD_NAMES = ["a", "a a a", "aaaaaaaaaaaaaaaa", "san", "san san", "b c d e f g h", "9 9", "x" * 400, "san " * 60 + "jo", "san " * 59 + "joe"]
+THIRD = fuzzy.Scorer("first_letter", lambda a, b, floor: F.when(a[0:1] == b[0:1], 70.0).otherwise(20.0), lambda c: F.lit(70.0), lambda threshold, jaccard: 0.0)
 
 
-@pytest.mark.parametrize("backend", ["difflib", "indel"])
+def brute_score(x, y, of):
+    if of is fuzzy.EDITS:
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x):
+            row = functools.reduce(lambda out, j: [*out, min(row[j] + 1, out[-1] + 1, row[j - 1] + (c != y[j - 1]))], range(1, len(y) + 1), [i + 1])
+        return 100.0 * (max(len(x), len(y)) - row[-1]) / max(len(x), len(y))
+    if of is THIRD:
+        return 70.0 if x[0] == y[0] else 20.0
+    return fuzzy.score_keys(x, y, of.name)
+
+
+@pytest.mark.parametrize(("of", "threshold"), [(fuzzy.DIFFLIB, 65), (fuzzy.DIFFLIB, 80), (fuzzy.INDEL, 70), (fuzzy.INDEL, 85), (fuzzy.EDITS, 75), (fuzzy.EDITS, 50)], ids=lambda v: getattr(v, "name", v))
+def test_index_loses_no_pair(spark, of, threshold):
+    """Of 200 x 200 invented names; none that scores enough is lost, and pairs come once."""
+    r = random.Random(5)
+    xs, ys = sorted({*invented(r, 190), *ODD_NAMES}), sorted({*invented(r, 190), *ODD_NAMES})
+    ys += sorted({x[:-1] + "z" for x in xs[:9]} - set(ys))
+    pairs = alike.likely_pairs(spark.createDataFrame([(x.strip(),) for x in xs], "x string"), spark.createDataFrame([(y.strip(),) for y in ys], "y string"), threshold, of)
+    rows = [tuple(p) for p in pairs.select("x", "y").collect()]
+    kept = set(rows)
+    some = [*ODD_NAMES, *xs[::3]]
+    assert len(kept) == len(rows)
+    assert all((x.strip(), y.strip()) in kept for x in some for y in ys if brute_score(x.strip(), y.strip(), of) >= threshold)
+
+
+@pytest.mark.parametrize("of", [fuzzy.DIFFLIB, fuzzy.EDITS, THIRD], ids=lambda s: s.name)
+@pytest.mark.parametrize("threshold", [None, 65.0])
+def test_best_names_equal_brute_force(spark, of, threshold):
+    """Also for a scorer of one's own, of which nothing but the score is known."""
+    r = random.Random(6)
+    xs, ys = invented(r, 60) + ODD_NAMES[:7], invented(r, 60) + ODD_NAMES[2:9]
+    left = spark.createDataFrame([(i, x) for i, x in enumerate(xs)] + [(900, None), (901, " ")], "rid bigint, name string")
+    right = spark.createDataFrame([(i, y) for i, y in enumerate(ys)] + [(990, ys[0]), (991, None)], "rid bigint, name string")
+    got = {row["l_rid"]: (row["r_rid"], round(row["score"], 6)) for row in alike.fuzzy_best(left, right, threshold=threshold, backend=of).collect()}
+    want = {}
+    for i, x in enumerate(xs):
+        score, j = max((round(brute_score(x, y.strip(), of), 6), -j) for j, y in enumerate(ys))
+        if threshold is None or score >= threshold:
+            want[i] = (-j, score)
+    assert got == want
+
+
+def test_few_names_meet_and_fewer_are_scored(spark):
+    """Of 3,000 by 3,000 names at the threshold of the first linking stage, without a cross product."""
+    r = random.Random(7)
+    xs, ys = sorted(set(invented(r, 3000))), sorted(set(invented(r, 3000)))
+    a, b = spark.createDataFrame([(x,) for x in xs], "x string"), spark.createDataFrame([(y,) for y in ys], "y string")
+    pairs = alike.likely_pairs(a, b, 65.0, "difflib")
+    plan = pairs._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert pairs.count() < 0.01 * len(xs) * len(ys)
+    assert alike.met(a, b, 65.0, fuzzy.DIFFLIB).distinct().count() < 0.02 * len(xs) * len(ys)
+
+
+@pytest.mark.parametrize("backend", ["difflib", "indel", "edits"])
 def test_bound_holds(spark, backend):
     r = random.Random(4)
     rows = [(words(r), words(r)) for _ in range(500)]
     df = spark.createDataFrame(rows, "a string, b string")
-    for row in df.select("a", "b", fuzzy.upper_bound(fuzzy.features(F.col("a")), fuzzy.features(F.col("b")), backend).alias("u"), fuzzy.fuzzy_score(F.col("a"), F.col("b"), backend).alias("s")).collect():
+    for row in df.select("a", "b", fuzzy.upper_bound(fuzzy.features(F.col("a")), fuzzy.features(F.col("b")), backend).alias("u"), fuzzy.scorer(backend).score(F.col("a"), F.col("b"), F.lit(0.0)).alias("s")).collect():
         assert -1e-9 <= row.s <= min(100, row.u) + 1e-9
     if backend == "difflib":
         a, b = rows[0]

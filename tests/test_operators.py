@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from sitelace.config import MatchConfig
 from sitelace.functions.fuzzy import score_keys
-from sitelace.operators import cascade, cluster, fill, join, palette, reports, semistructured
+from sitelace.operators import alike, cascade, cluster, fill, join, palette, reports, semistructured
 from sitelace.session import with_row_id
 
 ROW = "rid bigint, lat double, lon double, name string, key string"
@@ -53,7 +53,7 @@ def test_grid_finds_all_pairs(spark, where, radius):
 
 def test_no_nested_loops(spark):
     a = spark.createDataFrame(places(1, 50), ROW)
-    for df in (join.nearest_within(a, a, 3000.0), join.fuzzy_best(a, a, threshold=65)):
+    for df in (join.nearest_within(a, a, 3000.0), alike.fuzzy_best(a, a, threshold=65)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
