@@ -290,6 +290,60 @@ def knn_3(spark, sf_dir):
     return join.knn(*halves(spark, sf_dir), 3, 30_000.0).select("l_rid", "r_rid", F.round("d", 3).alias("d"), "place")
 
 
+#: Places of all customers and parts: scattered over the globe, one customer in nine on a spot where a part lies, and a
+#: third of the parts within a few kilometres, far from all others.
+GROUND_SQL = """
+c AS (SELECT c_custkey AS rid, CASE WHEN c_custkey % 9 = 0 THEN p.lat ELSE -89.9 + CAST(c_custkey * 7919 % 1799 AS DOUBLE) / 10 END AS lat, CASE WHEN c_custkey % 9 = 0 THEN p.lon ELSE -179.95 + CAST(c_custkey * 104729 % 3599 AS DOUBLE) / 10 END AS lon
+  FROM customer LEFT JOIN q p ON p.rid = c_custkey // 9),
+"""
+PARTS_SQL = """
+q AS (SELECT p_partkey AS rid, CASE WHEN p_partkey % 3 = 0 THEN 71 + CAST(p_partkey * 31 % 997 AS DOUBLE) / 50000 ELSE -88.5 + CAST(p_partkey * 6101 % 1777 AS DOUBLE) / 10 END AS lat,
+  CASE WHEN p_partkey % 3 = 0 THEN 179.99 + CAST(p_partkey * 17 % 991 AS DOUBLE) / 50000 ELSE -180 + CAST(p_partkey * 5003 % 3593 AS DOUBLE) / 10 END AS lon FROM part),
+"""
+
+
+def _ground(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    k, n = F.col("p_partkey"), F.col("c_custkey")
+    part = table(spark, sf_dir, "part").select(
+        k.alias("rid"),
+        F.when(k % 3 == 0, 71 + (k * 31 % 997).cast("double") / 50000).otherwise(-88.5 + (k * 6101 % 1777).cast("double") / 10).alias("lat"),
+        F.when(k % 3 == 0, 179.99 + (k * 17 % 991).cast("double") / 50000).otherwise(-180 + (k * 5003 % 3593).cast("double") / 10).alias("lon"),
+    )
+    spots = part.select((F.col("rid") * 9).alias("c_custkey"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    c = table(spark, sf_dir, "customer").select("c_custkey").join(spots, "c_custkey", "left")
+    c = c.select(
+        n.alias("rid"),
+        F.when(n % 9 == 0, F.col("p_lat")).otherwise(-89.9 + (n * 7919 % 1799).cast("double") / 10).alias("lat"),
+        F.when(n % 9 == 0, F.col("p_lon")).otherwise(-179.95 + (n * 104729 % 3599).cast("double") / 10).alias("lon"),
+    )
+    return c, part
+
+
+@query(
+    f"""WITH {PARTS_SQL} {GROUND_SQL} p AS (SELECT c.rid AS l_rid, q.rid AS r_rid, {distance_sql("c", "q")} AS d FROM c, q WHERE c.lat IS NOT NULL AND q.lat IS NOT NULL)
+    SELECT l_rid, CAST(n AS INT) AS place, round(d, 2) AS d FROM (SELECT *, row_number() OVER (PARTITION BY l_rid ORDER BY d, r_rid) AS n FROM p) WHERE n <= 3"""
+)
+def knn_anywhere(spark, sf_dir):
+    """JOIN-03, GEO-03: three nearest parts of every customer, however far.  Distances alone: rounding may swap equal ones."""
+    return join.knn(*_ground(spark, sf_dir), 3).select("l_rid", "place", F.round("d", 2).alias("d"))
+
+
+@query(f"WITH {SITES_SQL} SELECT rid, name FROM sites WHERE lat IS NULL OR lon IS NULL ORDER BY rid LIMIT 10")
+def coordinate_gaps(spark, sf_dir):
+    """LIM-02, UPD-04: the rows that an error about missing coordinates shows."""
+    return cascade.gaps(sites(spark, sf_dir)).select("rid", "name")
+
+
+@query(
+    """SELECT event_id AS rid, event_type, last_value(u IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS u
+    FROM (SELECT *, CASE WHEN user_id % 5 = 0 THEN user_id END AS u FROM events)"""
+)
+def ffill_few_groups(spark, sf_dir):
+    """WIN-02: a handful of groups of all events."""
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("rid"), "event_type", F.when(F.col("user_id") % 5 == 0, F.col("user_id")).alias("u"))
+    return fill.fill_forward(rows, ["u"], within=["event_type"])
+
+
 KEYED_SQL = SITES_SQL.replace("lower(p_name) || ' ' || (vec_id % 5)", "lower(p_name)")
 
 

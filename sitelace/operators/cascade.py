@@ -6,13 +6,14 @@ most, a right row any number.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import MatchConfig
 from ..functions.geo import valid
 from ..functions.parse import robust_float
 from ..functions.text import format_coordinate, key_station_plus, strip_voltage
+from ..session import written
 from . import alike, join
 
 LOCATION, EXACT, FUZZY = "location", "name_exact", "name_fuzzy"
@@ -102,11 +103,21 @@ def without_coordinates(df: DataFrame) -> DataFrame:
     return df.where(~F.coalesce(valid(F.col("lat"), F.col("lon")), F.lit(False)))
 
 
+def gaps(df: DataFrame, most: int = 10) -> DataFrame:
+    """The first rows that lack a coordinate, `most` at most, as an error shows them (LIM-02)."""
+    return without_coordinates(df).orderBy("rid").limit(most)
+
+
 def require_coordinates(df: DataFrame) -> DataFrame:
-    """Raises, with a sample, if a row lacks a coordinate (UPD-04)."""
-    if sample := without_coordinates(df).limit(10).collect():
-        raise ValueError(f"rows without coordinates, such as {sample}")
-    return df
+    """The rows, written; raises, with a sample, if one lacks a coordinate (UPD-04).
+
+    They are counted while they are written, so the plan runs once, and the sample comes from what was written."""
+    seen = Observation("coordinates")
+    lacks = ~F.coalesce(valid(F.col("lat"), F.col("lon")), F.lit(False))
+    out = written(df.observe(seen, F.count("*").alias("rows"), F.coalesce(F.count_if(lacks), F.lit(0)).alias("gaps")), "checked")
+    if seen.get["gaps"]:
+        raise ValueError(f"{seen.get['gaps']} of {seen.get['rows']} rows without coordinates, such as {gaps(out).collect()}")
+    return out
 
 
 def append_unmatched(enriched: DataFrame, unmatched: DataFrame, name: str, voltage: str, method: str = "left_only_append") -> DataFrame:

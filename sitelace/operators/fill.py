@@ -13,23 +13,22 @@ from ..functions.parse import blanks_to_null
 def fill_forward(df: DataFrame, columns: Sequence[str], order: str = "rid", within: Sequence[str] = ()) -> DataFrame:
     """Nulls take the last value before them, within groups.
 
-    Without groups the fill crosses the whole table.  That is done in two steps: within blocks of rows, and from the last
-    value of the blocks before, so no task holds more than a block.  Rows whose group is null are dropped.
+    The order column numbers the rows.  A fill is done in two steps, within blocks of numbers and from the last value of the
+    blocks before in the same group, so no task holds more than a block, however large a group is or if there are none.
+    Rows whose group is null are dropped.
     """
-    if within:
-        for c in within:
-            df = df.where(F.col(c).isNotNull())
-        before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(*(F.last(c, ignorenulls=True).over(before).alias(c) if c in columns else F.col(c) for c in df.columns))
+    for c in within:
+        df = df.where(F.col(c).isNotNull())
     block = "fill_block"
     rows = df.withColumn(block, F.floor(F.col(order) / BLOCK_ROWS))
-    own = Window.partitionBy(block).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    last = rows.groupBy(block).agg(*(F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns))
-    # One row for each block of a million.
-    earlier = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(block, *(F.last(c, ignorenulls=True).over(earlier).alias(f"before_{c}") for c in columns))
-    filled = rows.select("*", *(F.last(c, ignorenulls=True).over(own).alias(f"own_{c}") for c in columns)).join(carried, block)
-    return filled.select(*(F.coalesce(f"own_{c}", f"before_{c}").alias(c) if c in columns else F.col(c) for c in df.columns))
+    own = Window.partitionBy(*within, block).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    held = lambda c: F.when(F.col(c).isNotNull(), F.col(order))
+    last = rows.groupBy(*within, block).agg(*(F.max_by(F.col(c), held(c)).alias(f"last_{c}") for c in columns))
+    # A row for each block of a group: of all rows, a millionth or the number of groups.
+    earlier = Window.partitionBy(*within).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*within, block, *(F.last(f"last_{c}", ignorenulls=True).over(earlier).alias(f"before_{c}") for c in columns))
+    filled = rows.select("*", *(F.last(c, ignorenulls=True).over(own).alias(f"own_{c}") for c in columns)).join(carried, [*within, block])
+    return filled.select(*(F.coalesce(f"own_{c}", f"before_{c}").alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns))
 
 
 BLOCK_ROWS = 1_000_000

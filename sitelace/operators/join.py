@@ -11,13 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import EARTH_M, Grid, haversine_m, valid
-from ..session import written
+from ..functions.geo import Grid, haversine_m, valid
+from .nearest import nearest, nearest_k
 
-#: Half the way round the earth: no two points are farther apart.
-FARTHEST_M = 3.1416 * EARTH_M
-#: Growth of the radius while looking for the nearest without a bound.
-WIDEN = 16
+__all__ = ["exact_first", "exact_prefer_located", "first_rows", "knn", "lookup", "lookup_default", "member", "missing_keys", "nearest", "nearest_k", "nearest_within", "points", "proximity_pairs", "radius_pairs"]
 
 
 def points(df: DataFrame, prefix: str) -> DataFrame:
@@ -49,26 +46,10 @@ def nearest_within(left: DataFrame, right: DataFrame, radius_m: float) -> DataFr
     return _spread(left, best.select("l_lat", "l_lon", F.lit(0).alias("l_rid"), F.col("b.r_rid").alias("r_rid"), F.col("b.d").alias("d")))
 
 
-def nearest(left: DataFrame, right: DataFrame, start_m: float = 10_000.0) -> DataFrame:
-    """(l_rid, r_rid, d) without a bound: the radius grows for those that have found nothing; left rows with valid
-    coordinates stay with nulls if the right side has no point (JOIN-02).
-
-    Each round is written, so that the next one looks only at what is left, and ends when nothing is."""
-    waiting, there, found, radius = points(left, "l"), written(points(right, "r"), "points"), None, start_m
-    while True:
-        pairs = radius_pairs(waiting, there, min(radius, FARTHEST_M))
-        best = written(pairs.groupBy("l_lat", "l_lon").agg(F.min(F.struct("d", "r_rid")).alias("b")), "nearest")
-        found = best if found is None else found.unionByName(best)
-        waiting = written(waiting.join(best, ["l_lat", "l_lon"], "left_anti"), "waiting")
-        if radius >= FARTHEST_M or not waiting.limit(1).count():
-            break
-        radius *= WIDEN
-    rows = left.where(valid(F.col("lat"), F.col("lon"))).select(F.col("rid").alias("l_rid"), F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"))
-    return rows.join(found, ["l_lat", "l_lon"], "left").select("l_rid", F.col("b.r_rid").alias("r_rid"), F.col("b.d").alias("d"))
-
-
-def knn(left: DataFrame, right: DataFrame, k: int, radius_m: float) -> DataFrame:
-    """(l_rid, r_rid, d, place): the k nearest right rows within the radius, by distance, then rid (JOIN-03)."""
+def knn(left: DataFrame, right: DataFrame, k: int, radius_m: float | None = None) -> DataFrame:
+    """(l_rid, r_rid, d, place): the k nearest right rows, within a radius if one is given, by distance, then rid (JOIN-03)."""
+    if radius_m is None:
+        return nearest_k(left, right, k)
     grid = Grid(radius_m)
     a = left.where(valid(F.col("lat"), F.col("lon"))).select(F.col("rid").alias("l_rid"), F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"))
     b = right.where(valid(F.col("lat"), F.col("lon"))).select(F.col("rid").alias("r_rid"), F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))

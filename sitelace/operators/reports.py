@@ -52,7 +52,7 @@ def unmatched_sites(left: DataFrame, right: DataFrame, matches: DataFrame, confi
     """Why sites found no partner (DIA-01, DIA-04): nearest row, best fuzzy name, whether the key exists, a reason."""
     rest = left.join(matches.select(F.col("l_rid").alias("rid")), "rid", "left_anti")
     out = join.member(rest, right, "key", "key_in_right")
-    near = join.nearest(rest, right, config.nearby_m).select(F.col("l_rid").alias("rid"), F.col("r_rid").alias("nearest_right_index"), F.col("d").alias("nearest_distance_m"))
+    near = join.nearest(rest, right).select(F.col("l_rid").alias("rid"), F.col("r_rid").alias("nearest_right_index"), F.col("d").alias("nearest_distance_m"))
     out = join.lookup(out.join(near, "rid", "left"), right, "nearest_right_index", {"name": "nearest_right_name", "key": "nearest_right_key"})
     if config.use_fuzzy:
         best = alike.fuzzy_best(rest, right, backend=config.scorer).select(F.col("l_rid").alias("rid"), F.col("r_rid").alias("best_fuzzy_right_index"), F.col("score").alias("best_fuzzy_score"))

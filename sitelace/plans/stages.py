@@ -70,8 +70,7 @@ def link_sites(targets: DataFrame, source: DataFrame, config: MatchConfig = LINK
     left = written(cascade.sites(all_left), "left_sites")
     right = written(right, "targets")
     matches = written(cascade.cascade(left, right, config), "matches")
-    enriched = cascade.replace_coordinates(right, left, matches, config)
-    cascade.require_coordinates(enriched)
+    enriched = cascade.require_coordinates(cascade.replace_coordinates(right, left, matches, config))
     voltage = schema.voltage_column(source.columns)
     levels = reports.voltages_by_key(all_left, voltage) if voltage else None
     unmatched = written(reports.unmatched_sites(left, right, matches, config, levels), "unmatched")
@@ -127,5 +126,5 @@ def map_rows(stations: DataFrame, ways: DataFrame, nodes: DataFrame, name: str,
     return points, drawn, colours
 
 
-def nearest_k(left: DataFrame, right: DataFrame, k: int, config: MatchConfig = LINK_SITES) -> DataFrame:
-    return join.knn(left, right, k, config.nearby_m)
+def nearest_k(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+    return join.knn(left, right, k)

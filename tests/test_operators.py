@@ -71,6 +71,43 @@ def test_nearest_unbounded(spark):
     assert nothing and all(r["r_rid"] is None for r in nothing)
 
 
+@pytest.mark.parametrize("k", [1, 4, 50])
+def test_k_nearest_without_a_radius(spark, k):
+    """At the poles, over the date line, on one spot, far away, and with more asked for than there is."""
+    odd = [(89.9, 10.0), (-90.0, 0.0), (90.0, 77.0), (0.0, 180.0), (0.0, -180.0), (0.0, 179.9999), (71.0, 179.99), (95.0, 20.0), (5.0, 365.0)]
+    r = random.Random(11)
+    cluster_ = [(50 + r.random() / 1e4, 100 + r.random() / 1e4) for _ in range(25)] + [(50.0, 100.0)] * 6
+    left = [(i, *p, None, None) for i, p in enumerate([*odd, (50.0, 100.0), (-33.0, -70.0), (None, 1.0), (math.nan, 2.0), (-33.0, -70.0)])]
+    right = [(i, *p, None, None) for i, p in enumerate([*odd[::2], *cluster_, (1.0, None)])]
+    got = {}
+    for row in join.knn(spark.createDataFrame(left, ROW), spark.createDataFrame(right, ROW), k).collect():
+        got.setdefault(row["l_rid"], []).append((row["place"], row["r_rid"], row["d"]))
+    held = [x for x in right if x[2] is not None]
+    assert set(got) == {x[0] for x in left if x[1] is not None and not math.isnan(x[1])}
+    for i, found in got.items():
+        every = sorted((round(meters(left[i][1:3], x[1:3]), 4), x[0]) for x in held)[:k]
+        assert len(found) == min(k, len(held)) and [p for p, *_ in sorted(found)] == list(range(1, len(found) + 1))
+        assert [d for _, _, d in sorted(found)] == pytest.approx([d for d, _ in every], abs=0.05)
+
+
+def test_leaders_of_a_long_line_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    write = cluster.written
+    monkeypatch.setattr(cluster, "written", lambda df, name: rounds.append(name) or write(df, name))
+    line = spark.range(2000).selectExpr("id AS rid", "0.0D AS lat", "id * 200 / 111194.9 AS lon")
+    assert {r["leader"] - r["rid"] for r in cluster.leaders(line, 300.0).collect()} == {0, -1}
+    assert rounds.count("decided") < 10
+    monkeypatch.setattr(cluster, "TILE_SPOTS", 7)  # and in many tiles the same
+    rows = places(12, 120)
+    assert {r["rid"]: r["leader"] for r in cluster.leaders(spark.createDataFrame(rows, ROW), 4000.0).collect()} == model_leaders(rows, 4000.0)
+
+
+def test_leaders_on_dense_ground(spark):
+    r = random.Random(13)
+    rows = [(i, 4 + r.random() / 500, -74 + r.random() / 500, None, None) for i in range(600)]
+    assert {x["rid"]: x["leader"] for x in cluster.leaders(spark.createDataFrame(rows, ROW), 60.0).collect()} == model_leaders(rows, 60.0)
+
+
 def model_cascade(left, right, config):
     out = {}
     for i, lat, lon, name, key in left:
@@ -165,6 +202,18 @@ def test_fills(spark, monkeypatch):
         assert (got[i]["v"], got[i]["w"]) == (last, w)
 
 
+def test_fills_within_groups_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(fill, "BLOCK_ROWS", 5)
+    r = random.Random(10)
+    rows = [(i, r.choice("aab") if r.random() < 0.9 else None, r.choice([None, None, f"v{i}"])) for i in range(90)]
+    got = {x["rid"]: x["v"] for x in fill.fill_forward(spark.createDataFrame(rows, "rid bigint, g string, v string").repartition(4), ["v"], within=["g"]).collect()}
+    last, want = {}, {}
+    for i, g, v in rows:
+        if g is not None:
+            want[i] = last[g] = v or last.get(g)
+    assert got == want
+
+
 def test_workbook(spark):
     rows = [(0, "A", "1", " "), (1, "", None, "x"), (2, None, "-", ""), (3, "B", "", None)]
     got = fill.clean_workbook(spark.createDataFrame(rows, "rid bigint, Nombre string, kv string, note string"), "Nombre").orderBy("rid").collect()
@@ -212,7 +261,8 @@ def test_variants_and_first_values(spark):
 
 
 def test_missing_coordinates_raise(spark):
-    with pytest.raises(ValueError, match="without coordinates"):
+    assert cascade.require_coordinates(spark.createDataFrame([(1, 2.0, 1.0)], "rid int, lat double, lon double")).count() == 1
+    with pytest.raises(ValueError, match="1 of 1 rows without coordinates"):
         cascade.require_coordinates(spark.createDataFrame([(1, None, 1.0)], "rid int, lat double, lon double"))
 
 
