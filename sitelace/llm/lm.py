@@ -10,12 +10,13 @@ group's other words share theirs.  It is trained with noise from the group, norm
 are averaged by how often each task met them.  A word that is not hot has the probability of its group's others times its
 add-one share in them, where one share is for all words of the group never seen.
 
-Word counts cover the whole training part.  At most HOT_WORDS of the most frequent, of HOT_BYTES each, go to the workers;
-texts' other words are joined to the count table by a shuffle, so every count is exact.
+Word counts cover the whole training part.  At most HOT_WORDS of the most frequent go to the workers, each of LONG bytes
+at most: a longer word counts as a digest of 16 bytes, in all that is done with it.  Texts' other words are joined to the count table by a shuffle, so every count is exact.
 
 Cases: null or empty texts have one token, their end.  A null id counts as the empty string for the held-out rule.  Equal
 rows get a row each.  An empty table gives an empty result; a table whose every row is held out has N = V = 0 and the
-uniform model.  Words equally frequent are ranked by their bytes.  Only the id and text columns are read.
+uniform model.  Words equally frequent are ranked by their bytes.  Long texts and long words are like others: a text is
+scored whole, in memory in proportion to it.  Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +38,16 @@ GROUPS, GROUP_WORDS, GROUP_NOISE, GROUP_BATCH, GROUP_RATE = 384, 64, 16, 8192, 0
 #: Words whose parameters travel in one row.
 SLICE = 4096
 HOT_WORDS = 100_000
-#: Longer words are never hot: their counts are joined, so the hot ones have this many bytes each at most.
-HOT_BYTES = 64
+#: Longer words stand as a digest behind a byte that no word has, so every word has this many bytes at most.
+LONG = 64
+#: Other words whose group a worker remembers.
+KNOWN_COLD = 200_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 400_000
-#: Bytes in words longer than HOT_BYTES, after which it does, too.
-HELD_BYTES = 32 << 20
-#: Tasks whose parameters are added up first, and tasks that add up those sums; each of the latter sends its own to the driver.
+#: Tasks whose parameters are added up at once, and tasks that make the last sums; each of these sends its own to the driver.
 TASKS, ADDERS = 32, 16
+#: Tokens that a training task has on average at least: fewer tasks train where there are fewer.
+PART_TOKENS = 1 << 20
 END = b""
 BUFFER = 1 << 16
 #: Targets of a group that meet their noise in one block; scores held at once within a group; bound below which exp and sums of it stay finite.
@@ -53,6 +57,8 @@ LANES, CELLS, SAFE = 16, 1 << 17, 60.0
 def tokens(text: str | None) -> list[bytes]:
     """Words with A-Z lowered, then the end: both methods of bytes know ASCII only."""
     words = (text or "").encode().lower().split()
+    if words and max(map(len, words)) > LONG:
+        words = [w if len(w) <= LONG else b"\t" + blake2b(w, digest_size=16).digest() for w in words]
     words.append(END)
     return words
 
@@ -66,26 +72,36 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        size = 0
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
 
         for b in batches:
             for t in b.column(0):
-                words = tokens(t.as_py())
-                seen.update(words)
-                size += sum(len(w) for w in words if len(w) > HOT_BYTES)
-                if len(seen) > HELD_WORDS or size > HELD_BYTES:
+                seen.update(tokens(t.as_py()))
+                if len(seen) > HELD_WORDS:
                     yield batch()
                     seen.clear()
-                    size = 0
         if seen:
             yield batch()
 
     return texts.mapInArrow(count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+class Ranks(dict):
+    """Ranks of hot words; others, looked up once and remembered up to a bound, have the negative of their group's class."""
+
+    def __init__(self, ranks: dict[bytes, int], edges: list[bytes]):
+        super().__init__(ranks)
+        self.edges, self.most = edges, len(ranks) + KNOWN_COLD
+
+    def __missing__(self, word: bytes) -> int:
+        rank = -1 - bisect_right(self.edges, word[::-1])
+        if len(self) < self.most:
+            self[word] = rank
+        return rank
+
+
 class Words:
     """Ranks and counts of the hot words, and their classes: 0 the end, 1 to `groups` the groups, then by rank.
 
@@ -98,6 +114,7 @@ class Words:
         self.counts = np.array([counts.get(END, 0), *(c for _, c in own)], np.int64)
         self.rank = {END: 0} | {w: i + 1 for i, (w, _) in enumerate(own)}
         self.edges, self.groups = list(edges), len(edges) + 1
+        self.found = Ranks(self.rank, self.edges)
         n, hot = min(classes - 2, len(own)), len(self.counts)
         self.classes = n + 1 + self.groups
         if others is None:
@@ -129,8 +146,7 @@ class Words:
 
     def ranks(self, words: list[bytes]) -> list[int]:
         """Ranks of hot words; of others, the negative of their group's class."""
-        get, edges = self.rank.get, self.edges
-        return [r if (r := get(w)) is not None else -1 - bisect_right(edges, w[::-1]) for w in words]
+        return list(map(self.found.__getitem__, words))
 
     def classes_of(self, ranks: np.ndarray) -> np.ndarray:
         return np.where(ranks < 0, -ranks, self.class_of[np.maximum(ranks, 0)])
@@ -140,21 +156,20 @@ class Words:
 
 
 class Model:
-    """Vectors of contexts (r) and targets (q), matrices of the two places (c), biases (b)."""
+    """Vectors of contexts (r) and of targets (q) with their biases behind, matrices of the two places (c)."""
 
     def __init__(self, unigram: np.ndarray, dim: int = DIM, seed: int = 3):
         g, m = np.random.default_rng(seed), len(unigram)
         self.r = (0.1 * g.standard_normal((m, dim))).astype(np.float32)
-        self.q = (0.1 * g.standard_normal((m, dim))).astype(np.float32)
+        self.q = np.concatenate([0.1 * g.standard_normal((m, dim)), np.log(unigram)[:, None]], axis=1).astype(np.float32)
         self.c = np.stack([np.eye(dim), 0.5 * np.eye(dim)]).astype(np.float32)
-        self.b = np.log(unigram).astype(np.float32)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.r, self.q, self.c, self.b)]).astype(np.float64)
+        return np.concatenate([x.ravel() for x in (self.r, self.q, self.c)]).astype(np.float64)
 
     def load(self, flat: np.ndarray) -> Model:
         at = 0
-        for name in ("r", "q", "c", "b"):
+        for name in ("r", "q", "c"):
             old = getattr(self, name)
             setattr(self, name, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
@@ -162,7 +177,8 @@ class Model:
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores by (previous, class), by (one before, class), and log normalisers by (previous, one before)."""
-        one, two = self.r @ self.c[0] @ self.q.T + self.b, self.r @ self.c[1] @ self.q.T
+        q, bias = self.q[:, :-1], self.q[:, -1]
+        one, two = self.r @ self.c[0] @ q.T + bias, self.r @ self.c[1] @ q.T
         top1, top2 = one.max(axis=1, keepdims=True), two.max(axis=1, keepdims=True)
         z = np.exp((one - top1).astype(np.float64)) @ np.exp((two - top2).astype(np.float64)).T
         return one, two, (np.log(z) + top1 + top2.T).astype(np.float32)
@@ -185,37 +201,36 @@ class Trainer:
         self.m, self.noise, self.log_noise = model, unigram, np.log(NOISE * unigram).astype(np.float32)
         self.cumulative = np.cumsum(unigram)
         self.g = np.random.default_rng(seed)
-        self.seen = {k: np.full_like(getattr(model, k), 1e-2) for k in ("r", "q", "c", "b")}
-
-    def add(self, rows: np.ndarray, grads: np.ndarray) -> np.ndarray:
-        m, d = self.m.q.shape
-        flat = (rows[:, None] * d + np.arange(d)).ravel()
-        return np.bincount(flat, weights=grads.ravel(), minlength=m * d).reshape(m, d).astype(np.float32)
-
-    def apply(self, name: str, grad: np.ndarray) -> None:
-        self.seen[name] += grad * grad
-        parameters = getattr(self.m, name)
-        parameters += RATE * grad / np.sqrt(self.seen[name])
+        self.seen = {k: np.full_like(getattr(model, k), 1e-2) for k in ("r", "q", "c")}
+
+    def apply(self, name: str, rows: np.ndarray, grads: np.ndarray) -> None:
+        """Adds each row's gradients up and moves the rows that have any."""
+        bits = len(rows).bit_length()
+        keys = np.sort((rows.astype(np.int64) << bits) + np.arange(len(rows)))  # rows with their places: faster than argsort
+        rows, by = keys >> bits, keys & ((1 << bits) - 1)
+        at = run_starts(rows)
+        own, grad = rows[at], np.add.reduceat(grads.take(by, axis=0), at, axis=0)
+        seen = self.seen[name].take(own, axis=0) + grad * grad
+        self.seen[name][own] = seen
+        getattr(self.m, name)[own] += RATE * grad / np.sqrt(seen)
 
     def step(self, w: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
         m, n = self.m, len(w)
         r1, r2, qw = m.r.take(p1, axis=0), m.r.take(p2, axis=0), m.q.take(w, axis=0)
-        h = r1 @ m.c[0] + r2 @ m.c[1]
+        h = np.ones((n, DIM + 1), np.float32)  # the last column is for biases
+        h[:, :-1] = r1 @ m.c[0] + r2 @ m.c[1]
         noise = np.minimum(np.searchsorted(self.cumulative, self.g.random(NOISE)), len(self.noise) - 1)
         qn = m.q[noise]
-        true = np.einsum("ij,ij->i", h, qw) + m.b[w] - self.log_noise[w]
-        false = h @ qn.T + (m.b[noise] - self.log_noise[noise])
+        true = np.einsum("ij,ij->i", h, qw) - self.log_noise[w]
+        false = h @ qn.T - self.log_noise[noise]
         gt = 1 / (1 + np.exp(np.clip(true, -30, 30))) / n
         gf = -1 / (1 + np.exp(np.clip(-false, -30, 30))) / n
-        dh = gt[:, None] * qw + gf @ qn
-        dq = self.add(w, gt[:, None] * h)
-        np.add.at(dq, noise, gf.T @ h)
-        db = np.bincount(w, weights=gt, minlength=len(m.b)).astype(np.float32)
-        np.add.at(db, noise, gf.sum(axis=0))
+        dh = (gt[:, None] * qw + gf @ qn)[:, :-1]
         dc = np.stack([r1.T @ dh, r2.T @ dh])
-        dr = self.add(np.concatenate([p1, p2]), np.concatenate([dh @ m.c[0].T, dh @ m.c[1].T]))
-        for name, grad in (("q", dq), ("b", db), ("c", dc), ("r", dr)):
-            self.apply(name, grad)
+        self.apply("q", np.concatenate([w, noise]), np.concatenate([gt[:, None] * h, gf.T @ h]))
+        self.apply("r", np.concatenate([p1, p2]), np.concatenate([dh @ m.c[0].T, dh @ m.c[1].T]))
+        self.seen["c"] += dc * dc
+        m.c = m.c + RATE * dc / np.sqrt(self.seen["c"])
 
 
 class Inner:
@@ -346,9 +361,13 @@ def arrived(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, times[:, None].astype(np.float64), delta.reshape(-1, 2 * DIM + 1).astype(np.float32)
 
 
-def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, round_no: int) -> None:
-    """One round: every task trains on its texts from the same start; the means by tokens are the result."""
-    start = texts.sparkSession.sparkContext.broadcast((model.flat(), inner.rows(), inner.c))
+def train(ranked: DataFrame, words: Words, sent, model: Model, inner: Inner, round_no: int) -> None:
+    """One round over one column of ranks: every task trains on its texts from the same start; the means by tokens are the
+    result."""
+    tasks = ranked.rdd.getNumPartitions()
+    if (most := max(1, words.total // PART_TOKENS)) < tasks:
+        ranked, tasks = ranked.coalesce(most), most
+    start = ranked.sparkSession.sparkContext.broadcast((model.flat(), inner.rows(), inner.c))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -357,11 +376,11 @@ def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, roun
         own, within = Model(known.unigram).load(start.value[0]), Inner.__new__(Inner).load(*start.value[1:])
         trainer = Trainer(own, known.unigram, seed=1000 * round_no + task % 1000)
         second = InnerTrainer(within, known, seed=1000 * round_no + task % 1000)
-        waiting: list[list[int]] = []
+        waiting: list[np.ndarray] = []
         size = 0
 
         def learn():
-            ranks = np.concatenate([np.array(x, np.int64) for x in waiting])
+            ranks = np.concatenate(waiting).astype(np.int64)
             starts = np.cumsum([0, *(len(x) for x in waiting[:-1])])
             w, ids = known.classes_of(ranks), known.ids(ranks)
             p1, p2 = contexts(w, starts)
@@ -377,7 +396,7 @@ def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, roun
 
         for b in batches:
             for t in b.column(0):
-                waiting.append(known.ranks(tokens(t.as_py())))
+                waiting.append(np.frombuffer(t.as_py(), "<i4"))
                 size += len(waiting[-1])
                 if size >= BUFFER:
                     learn()
@@ -388,34 +407,39 @@ def train(texts: DataFrame, words: Words, sent, model: Model, inner: Inner, roun
         if n:
             flat = np.concatenate([own.flat(), within.c.ravel()]) * n
             turn = task // TASKS
-            yield pa.RecordBatch.from_pylist([{"part": -1 - turn % ADDERS, "turn": turn, "n": float(n), "ids": b"", "times": b"", "p": flat.tobytes()}])
+            yield pa.RecordBatch.from_pylist([{"part": -1 - task // TASKS % ADDERS, "turn": turn, "n": float(n), "ids": b"", "times": b"", "p": flat.tobytes()}])
             met = np.flatnonzero(second.times)
             for part in np.unique(met // SLICE).tolist():
                 ids = met[met // SLICE == part]
                 yield moved(part, turn, ids, second.times[ids], within.rows(ids) - start.value[1][ids])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flats: dict[int, tuple] = {}
-        slices: dict[int, np.ndarray] = {}
+        flats: dict[tuple[int, int], tuple] = {}
+        slices: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
             for r in b.to_pylist():
-                part = r["part"]
+                part, turn = r["part"], r["turn"] // TASKS
                 if part < 0:
-                    n, p = flats.get(part, (0.0, 0.0))
-                    flats[part] = n + r["n"], p + np.frombuffer(r["p"])
+                    n, p = flats.get((part, turn), (0.0, 0.0))
+                    flats[part, turn] = n + r["n"], p + np.frombuffer(r["p"])
                 else:
-                    held = slices.setdefault(part, np.zeros((SLICE, 2 * DIM + 2)))
+                    held = slices.setdefault((part, turn), np.zeros((SLICE, 2 * DIM + 2)))
                     ids, times, delta = arrived(r)
                     held[ids - part * SLICE] += np.concatenate([delta * times, times], axis=1)
-        for part, (n, p) in flats.items():
-            yield pa.RecordBatch.from_pylist([{"part": part, "turn": 0, "n": n, "ids": b"", "times": b"", "p": p.tobytes()}])
-        for part, held in slices.items():
+        for (part, turn), (n, p) in flats.items():
+            yield pa.RecordBatch.from_pylist([{"part": part, "turn": turn, "n": n, "ids": b"", "times": b"", "p": p.tobytes()}])
+        for (part, turn), held in slices.items():
             ids = np.flatnonzero(held[:, -1])
-            yield moved(part, 0, ids + part * SLICE, held[ids, -1], held[ids, :-1] / held[ids, -1:])
+            yield moved(part, turn, ids + part * SLICE, held[ids, -1], held[ids, :-1] / held[ids, -1:])
 
     shape = "part bigint, turn bigint, n double, ids binary, times binary, p binary"
-    # First the sums of TASKS tasks each, then those of all: no task reads a slice from every task.
-    some = texts.mapInArrow(fit, shape).repartition("part", "turn").mapInArrow(total, shape)
+    # Sums of TASKS at a time, in as many levels as that takes: no task reads a slice from more.
+    some, turns = ranked.mapInArrow(fit, shape), -(-tasks // TASKS)
+    while True:
+        some = some.repartition("part", "turn").mapInArrow(total, shape)
+        if turns <= TASKS:
+            break
+        turns = -(-turns // TASKS)
     sums = some.repartition(ADDERS, "part").mapInArrow(total, shape).collect()  # ADDERS rows at most, and one for each slice
     flats = [r for r in sums if r["part"] < 0]
     if n := sum(r["n"] for r in flats):
@@ -447,15 +471,34 @@ def _learnt(learnt, known: Words) -> tuple[Inner, tuple[np.ndarray, np.ndarray,
     return value[1], held["tables"]
 
 
+RANKED = pa.schema([
+    ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("key", pa.int64()), ("turn", pa.int64()), ("ranks", pa.binary()),
+    ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())),
+])
+RANKED_DDL = "doc_id bigint, held_out boolean, key bigint, turn bigint, ranks binary, words array<binary>, times array<int>"
 SCORED = pa.schema([
     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("key", pa.int64()), ("n_tokens", pa.int64()), ("n_hot", pa.int64()), ("hot_log", pa.float64()), ("model_log", pa.float64()),
-    ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())),
 ])
-SCORED_DDL = "doc_id bigint, held_out boolean, key bigint, n_tokens bigint, n_hot bigint, hot_log double, model_log double, words array<binary>, times array<int>"
+SCORED_DDL = "doc_id bigint, held_out boolean, key bigint, n_tokens bigint, n_hot bigint, hot_log double, model_log double"
+
+
+def _ranked(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+    """(doc_id, held_out, key, turn, text) -> the ranks of its tokens, in 32 bits, and its words that are not hot with their
+    times.  All that follows reads these, so texts are split and looked up once."""
+    known = _words(sent)
+    for b in batches:
+        split = [tokens(t.as_py()) for t in b.column(4)]
+        ranks = [np.array(known.ranks(x), "<i4") for x in split]
+        others = [Counter(x[i] for i in np.flatnonzero(r < 0).tolist()) for x, r in zip(split, ranks, strict=True)]
+        columns = [
+            *(b.column(i) for i in range(4)), pa.array([r.tobytes() for r in ranks], pa.binary()),
+            pa.array([list(o.keys()) for o in others], pa.list_(pa.binary())), pa.array([list(o.values()) for o in others], pa.list_(pa.int32())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, schema=RANKED)
 
 
 def _score(batches: Iterator[pa.RecordBatch], sent, learnt) -> Iterator[pa.RecordBatch]:
-    """(doc_id, held_out, key, text) -> sums over the hot words and both models, and the other words with their times."""
+    """(doc_id, held_out, key, ranks) -> sums over the hot words and both models."""
     known = _words(sent)
     inner, (one, two, z) = _learnt(learnt, known)
     logs = np.log10(np.append(known.counts, 0) + 1.0)  # the last is for words that are not hot
@@ -463,11 +506,10 @@ def _score(batches: Iterator[pa.RecordBatch], sent, learnt) -> Iterator[pa.Recor
     for b in batches:
         if not b.num_rows:
             continue
-        split = [tokens(t.as_py()) for t in b.column(3)]
-        ranks = [np.array(known.ranks(x), np.int64) for x in split]
-        sizes = np.array([len(x) for x in split])
+        ranks = [np.frombuffer(r.as_py(), "<i4") for r in b.column(3)]
+        sizes = np.array([len(r) for r in ranks])
         starts = np.cumsum(sizes) - sizes
-        flat_ranks = np.concatenate(ranks)
+        flat_ranks = np.concatenate(ranks).astype(np.int64)
         w, ids = known.classes_of(flat_ranks), known.ids(flat_ranks)
         p1, p2 = contexts(w, starts)
         lp = (one[p1, w] + two[p2, w] - z[p1, p2]).astype(np.float64)
@@ -480,11 +522,9 @@ def _score(batches: Iterator[pa.RecordBatch], sent, learnt) -> Iterator[pa.Recor
         more = flat_ranks < 0
         lp[more] -= share[-1 - flat_ranks[more]]
         flat_ranks = np.where(more, -1, flat_ranks)
-        others = [Counter(x[i] for i in np.flatnonzero(r < 0).tolist()) for x, r in zip(split, ranks, strict=True)]
         columns = [
             b.column(0), b.column(1), b.column(2), pa.array(sizes, pa.int64()),
             pa.array(np.add.reduceat(seen[flat_ranks].astype(np.int64), starts)), pa.array(np.add.reduceat(logs[flat_ranks], starts)), pa.array(np.add.reduceat(lp, starts)),
-            pa.array([list(o.keys()) for o in others], pa.list_(pa.binary())), pa.array([list(o.values()) for o in others], pa.list_(pa.int32())),
         ]
         yield pa.RecordBatch.from_arrays(columns, schema=SCORED)
 
@@ -493,7 +533,6 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> list[tuple[bytes, int
     """The words from a count on above which there are at most `most`, by count, then bytes.
 
     The bound comes from a histogram of at most 1,024 bins, so no task sends more than its share of the words."""
-    counts = counts.where(F.octet_length("word") <= HOT_BYTES)
     level = F.floor(F.log2(F.col("c")) * 16)
     edge, held = None, 0
     for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():
@@ -513,7 +552,7 @@ def known_words(counts: DataFrame, most: int | None = None) -> list[tuple[bytes,
     end = [(END, r["c"]) for r in counts.where(F.col("word") == F.lit(END)).collect()] if END not in dict(ranked) else []
     lacks = CLASSES - 2 - len([w for w, _ in ranked if w != END])
     if lacks > 0:
-        below = counts.where((F.col("word") != F.lit(END)) & (F.octet_length("word") <= HOT_BYTES))
+        below = counts.where(F.col("word") != F.lit(END))
         if ranked:
             below = below.where(F.col("c") < ranked[-1][1])
         ranked = ranked + [(bytes(r["word"]), r["c"]) for r in below.orderBy(F.desc("c"), "word").limit(lacks).collect()]
@@ -546,35 +585,39 @@ def other_sizes(counts: DataFrame, ranked: list[tuple[bytes, int]], edges: list[
     return out
 
 
-def fit(texts: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Row, object, Model, Inner]:
-    """One column of training texts -> word counts, their totals (total, distinct), the broadcast hot words, the models."""
-    spark = texts.sparkSession
+def counted(texts: DataFrame) -> tuple[DataFrame, Row, object]:
+    """One column of training texts -> word counts, their totals (total, distinct), the broadcast hot words."""
     counts = written(word_counts(texts), "counts")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     ranked = known_words(counts)
     edges = group_edges(ranked)
-    sent = spark.sparkContext.broadcast((ranked, sums["total"], sums["distinct"], CLASSES, edges, other_sizes(counts, ranked, edges)))
+    sent = texts.sparkSession.sparkContext.broadcast((ranked, sums["total"], sums["distinct"], CLASSES, edges, other_sizes(counts, ranked, edges)))
+    return counts, sums, sent
+
+
+def fit(ranked: DataFrame, sent, rounds: int = ROUNDS) -> tuple[Model, Inner]:
+    """Both models from the training rows of `_ranked`, a round for each turn."""
     words = Words(*sent.value)
     model, inner = Model(words.unigram), Inner(words)
-    column = texts.columns[0]
     for i in range(rounds):
-        part = texts.where(F.pmod(F.xxhash64(column), F.lit(rounds)) == i)
-        train(part, words, sent, model, inner, i)
-    return counts, sums, sent, model, inner
+        train(ranked.where(F.col("turn") == i).select("ranks"), words, sent, model, inner, i)
+    return model, inner
 
 
 def score_documents(df: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learnt from the rows that are not held out."""
     rows = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.expr(held_out()).alias("held_out"))
-    counts, sums, sent, model, inner = fit(rows.where("not held_out").select("text"), rounds)
+    counts, sums, sent = counted(rows.where("not held_out").select("text"))
     total, distinct = sums["total"], sums["distinct"]
     # The key goes with the row through Python and is written with it, so it is drawn once.
-    keyed = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "held_out", F.monotonically_increasing_id().alias("key"), "text")
+    keyed = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "held_out", F.monotonically_increasing_id().alias("key"), F.pmod(F.xxhash64("text"), F.lit(rounds)).alias("turn"), "text")
+    ranked = written(keyed.mapInArrow(lambda b: _ranked(b, sent), RANKED_DDL), "ranks")
+    model, inner = fit(ranked.where("not held_out"), sent, rounds)
     learnt = df.sparkSession.sparkContext.broadcast((model.flat(), inner))
-    scored = written(keyed.mapInArrow(lambda b: _score(b, sent, learnt), SCORED_DDL), "scores")
-    pairs = scored.select("key", F.explode(F.arrays_zip("words", "times")).alias("p")).select("key", F.col("p.words").alias("word"), F.col("p.times").alias("times"))
+    scored = ranked.select("doc_id", "held_out", "key", "ranks").mapInArrow(lambda b: _score(b, sent, learnt), SCORED_DDL)
+    pairs = ranked.select("key", F.explode(F.arrays_zip("words", "times")).alias("p")).select("key", F.col("p.words").alias("word"), F.col("p.times").alias("times"))
     found = pairs.join(counts, "word").groupBy("key").agg(F.sum("times").alias("n_more"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("more_log"))
-    both = scored.drop("words", "times").join(found, "key", "left")
+    both = scored.join(found, "key", "left")
     more = F.coalesce("more_log", F.lit(0.0))
     return both.select(
         "doc_id",

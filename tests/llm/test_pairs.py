@@ -361,6 +361,82 @@ def test_lm_where_no_word_is_hot(spark, monkeypatch):
     assert abs(got[ids[0]]["base_score"] - 41 * base) < 1e-9 and abs(got[ids[1]]["base_score"] - 3 * base - math.log10(1 / 83)) < 1e-9
 
 
+def test_lm_long_words_are_words_like_others(spark, monkeypatch):
+    """A token that makes a third of all is learnt and counted alike whether it has 5, 64, 65 or 5,000 bytes."""
+    r = random.Random(31)
+    chain = [[r.randrange(40) for _ in range(3)] for _ in range(40)]
+    scores = []
+    for size in (5, 64, 65, 5000):
+        frequent, docs, q = "z" * size, [], random.Random(32)
+        for i in range(120):
+            at, words = q.randrange(40), []
+            for _ in range(30):
+                at = q.choice(chain[at])
+                words += [f"w{at}"] + ([frequent] if q.random() < 0.5 else [])
+            docs.append((i, " ".join(words)))
+        got = lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+        scores.append(sum(x["score"] for x in got))
+        assert all(x["n_known"] == x["n_tokens"] or x["held_out"] for x in got)
+    assert max(scores) - min(scores) < 0.01 * abs(scores[0])
+
+
+def test_lm_hardly_depends_on_partitions(spark):
+    r = random.Random(33)
+    chain = [[r.randrange(60) for _ in range(3)] for _ in range(60)]
+    docs = []
+    for i in range(400):
+        at, words = r.randrange(60), []
+        for _ in range(60):
+            at = r.choice(chain[at])
+            words.append(f"w{at}")
+        docs.append((i, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    means = []
+    for parts in (1, 16, 64):
+        rows = [x for x in lm.score_documents(df.repartition(parts, "doc_id")).collect() if x["held_out"]]
+        means.append(sum(x["score"] for x in rows) / sum(x["n_tokens"] for x in rows))
+    assert max(means) - min(means) < 0.01
+
+
+@pytest.mark.parametrize("level", [2, 32])
+def test_lm_scores_equal_a_plain_sum(spark, monkeypatch, level):
+    """From text to score, token by token, with the parameters that were learnt; also for rare words, copies and long texts,
+    and with sums in more levels."""
+    monkeypatch.setattr(lm, "TASKS", level)
+    monkeypatch.setattr(lm, "PART_TOKENS", 200)
+    kept, fit = [], lm.fit
+    monkeypatch.setattr(lm, "fit", lambda ranked, sent, rounds: kept.append((fit(ranked, sent, rounds), sent)) or kept[-1][0])
+    monkeypatch.setattr(lm, "HOT_WORDS", 60)
+    monkeypatch.setattr(lm, "CLASSES", 20)
+    r = random.Random(34)
+    texts = [" ".join(f"w{min(int(r.expovariate(0.05)), 400)}" for _ in range(r.randint(0, 60))) for _ in range(80)]
+    texts += [texts[0], texts[0], "w1 " * 4000, "never seen words", None, ""]
+    got = {x["doc_id"]: x for x in lm.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(9)).collect()}
+    ((model, inner), sent) = kept[0]
+    words = lm.Words(*sent.value)
+    counts = Counter(w for i, t in enumerate(texts) if not got[i]["held_out"] for w in lm.tokens(t))
+    soft = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+    r32, q = model.r.astype(float), model.q.astype(float)
+    for i, t in enumerate(texts):
+        total, before = 0.0, [(0, 0), (0, 0)]
+        split = lm.tokens(t)
+        for w in split[:200] if len(split) > 200 else split:
+            (rank,) = words.ranks([w])
+            k, own = (int(f(np.array([rank]))[0]) for f in (words.classes_of, words.ids))
+            h = r32[before[-1][0]] @ model.c[0] + r32[before[-2][0]] @ model.c[1]
+            total += soft(q[:, :-1] @ h + q[:, -1])[k]
+            if 0 < k <= words.groups:
+                members = words.members[words.first[k - 1] : words.first[k]]
+                g = inner.r[before[-1][1]] @ inner.c[0] + inner.r[before[-2][1]] @ inner.c[1]
+                total += soft(inner.q[members, :-1].astype(float) @ g + inner.q[members, -1])[members.tolist().index(own)]
+            if rank < 0:
+                total += math.log((counts[w] + 1) / words.others_size[-1 - rank])
+            before = [before[-1], (k, own)]
+        if len(split) <= 200:
+            assert got[i]["score"] == pytest.approx(total / math.log(10), rel=1e-4, abs=1e-4)
+    assert got[80]["score"] == pytest.approx(got[0]["score"], rel=1e-9) and got[82]["n_tokens"] == 4001
+
+
 def lm_groups():
     """Three groups of 20, 19 and 18 words and their others, 3 words with classes of their own."""
     ranked = [(lm.END, 99), *((w.encode(), 90) for w in ("the", "of", "and")), *((f"{i}{x}".encode(), 3 + i) for x in "aku" for i in range(20 - "aku".index(x)))]
@@ -428,7 +504,8 @@ def test_lm_tables_are_made_once_for_a_worker(monkeypatch):
     monkeypatch.setattr(lm.Model, "tables", lambda self: made.append(1) or tables(self))
     words = lm.Words(*lm_groups())
     sent = SimpleNamespace(value=lm_groups())
-    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "held_out": False, "key": i, "text": t} for i, t in enumerate(["the 3a of 4k", "", "new and 7u"])])
+    texts = pa.RecordBatch.from_pylist([{"doc_id": i, "held_out": False, "key": i, "turn": 0, "text": t} for i, t in enumerate(["the 3a of 4k", "", "new and 7u"])])
+    batch = next(lm._ranked(iter([texts]), sent)).select(["doc_id", "held_out", "key", "ranks"])
     learnt = SimpleNamespace(value=(lm.Model(words.unigram).flat(), lm.Inner(words)))
     tasks = [next(lm._score(iter([batch]), sent, learnt)) for _ in range(3)]
     assert len(made) == 1 and tasks[0].equals(tasks[1]) and tasks[0].equals(tasks[2])
