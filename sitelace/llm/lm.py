@@ -40,8 +40,6 @@ SLICE = 4096
 HOT_WORDS = 100_000
 #: Longer words stand as a digest behind a byte that no word has, so every word has this many bytes at most.
 LONG = 64
-#: Other words whose group a worker remembers.
-KNOWN_COLD = 200_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 400_000
 #: Tasks whose parameters are added up at once, and tasks that make the last sums; each of these sends its own to the driver.
@@ -88,20 +86,6 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-class Ranks(dict):
-    """Ranks of hot words; others, looked up once and remembered up to a bound, have the negative of their group's class."""
-
-    def __init__(self, ranks: dict[bytes, int], edges: list[bytes]):
-        super().__init__(ranks)
-        self.edges, self.most = edges, len(ranks) + KNOWN_COLD
-
-    def __missing__(self, word: bytes) -> int:
-        rank = -1 - bisect_right(self.edges, word[::-1])
-        if len(self) < self.most:
-            self[word] = rank
-        return rank
-
-
 class Words:
     """Ranks and counts of the hot words, and their classes: 0 the end, 1 to `groups` the groups, then by rank.
 
@@ -114,7 +98,6 @@ class Words:
         self.counts = np.array([counts.get(END, 0), *(c for _, c in own)], np.int64)
         self.rank = {END: 0} | {w: i + 1 for i, (w, _) in enumerate(own)}
         self.edges, self.groups = list(edges), len(edges) + 1
-        self.found = Ranks(self.rank, self.edges)
         n, hot = min(classes - 2, len(own)), len(self.counts)
         self.classes = n + 1 + self.groups
         if others is None:
@@ -146,7 +129,8 @@ class Words:
 
     def ranks(self, words: list[bytes]) -> list[int]:
         """Ranks of hot words; of others, the negative of their group's class."""
-        return list(map(self.found.__getitem__, words))
+        get, edges = self.rank.get, self.edges
+        return [r if (r := get(w)) is not None else -1 - bisect_right(edges, w[::-1]) for w in words]
 
     def classes_of(self, ranks: np.ndarray) -> np.ndarray:
         return np.where(ranks < 0, -ranks, self.class_of[np.maximum(ranks, 0)])
@@ -194,6 +178,11 @@ def by_group(group: np.ndarray) -> np.ndarray:
     return np.argsort(group.astype(np.uint16) if GROUPS < 1 << 16 else group, kind="stable")
 
 
+def miss(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), which tanh gives without overflow."""
+    return 0.5 - 0.5 * np.tanh(0.5 * x)
+
+
 class Trainer:
     """Steps of Adagrad on the NCE objective; noise classes are shared by a batch."""
 
@@ -216,19 +205,20 @@ class Trainer:
 
     def step(self, w: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> None:
         m, n = self.m, len(w)
-        r1, r2, qw = m.r.take(p1, axis=0), m.r.take(p2, axis=0), m.q.take(w, axis=0)
+        before = np.concatenate([p1, p2])
+        r, qw = m.r.take(before, axis=0), m.q.take(w, axis=0)
+        r1, r2 = r[:n], r[n:]
         h = np.ones((n, DIM + 1), np.float32)  # the last column is for biases
         h[:, :-1] = r1 @ m.c[0] + r2 @ m.c[1]
         noise = np.minimum(np.searchsorted(self.cumulative, self.g.random(NOISE)), len(self.noise) - 1)
         qn = m.q[noise]
         true = np.einsum("ij,ij->i", h, qw) - self.log_noise[w]
         false = h @ qn.T - self.log_noise[noise]
-        gt = 1 / (1 + np.exp(np.clip(true, -30, 30))) / n
-        gf = -1 / (1 + np.exp(np.clip(-false, -30, 30))) / n
+        gt, gf = miss(true) / n, miss(-false) / -n
         dh = (gt[:, None] * qw + gf @ qn)[:, :-1]
         dc = np.stack([r1.T @ dh, r2.T @ dh])
         self.apply("q", np.concatenate([w, noise]), np.concatenate([gt[:, None] * h, gf.T @ h]))
-        self.apply("r", np.concatenate([p1, p2]), np.concatenate([dh @ m.c[0].T, dh @ m.c[1].T]))
+        self.apply("r", before, np.concatenate([dh @ m.c[0].T, dh @ m.c[1].T]))
         self.seen["c"] += dc * dc
         m.c = m.c + RATE * dc / np.sqrt(self.seen["c"])
 
@@ -325,8 +315,7 @@ class InnerTrainer:
         false = laid @ against.transpose(0, 2, 1)
         false -= self.log_noise[noise][of][:, None, :]
         true = np.einsum("ij,ij->i", h, qw) - self.log_noise[w]
-        gt = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-        gf = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
+        gt, gf = miss(true), -miss(-false)
         dn = np.add.reduceat(gf.transpose(0, 2, 1) @ laid, before, axis=0)
         dh = (gt[:, None] * qw + (gf @ against).reshape(-1, DIM + 1).take(slot, axis=0))[:, :-1]
         dc = np.stack([r1.T @ dh, r2.T @ dh]) / len(w)
@@ -616,7 +605,8 @@ def score_documents(df: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     learnt = df.sparkSession.sparkContext.broadcast((model.flat(), inner))
     scored = ranked.select("doc_id", "held_out", "key", "ranks").mapInArrow(lambda b: _score(b, sent, learnt), SCORED_DDL)
     pairs = ranked.select("key", F.explode(F.arrays_zip("words", "times")).alias("p")).select("key", F.col("p.words").alias("word"), F.col("p.times").alias("times"))
-    found = pairs.join(counts, "word").groupBy("key").agg(F.sum("times").alias("n_more"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("more_log"))
+    # Words are unique in the counts, so a partition of them makes a small table, and the many pairs need no sort.
+    found = pairs.join(counts.hint("shuffle_hash"), "word").groupBy("key").agg(F.sum("times").alias("n_more"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("more_log"))
     both = scored.join(found, "key", "left")
     more = F.coalesce("more_log", F.lit(0.0))
     return both.select(
