@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_folder, written
 
-__all__ = ["bounded_batches", "fresh", "shared_dir", "table", "text_or_empty", "tokenizer_path", "worker_cache", "written"]
+__all__ = ["bounded_batches", "fresh", "one_blas_thread", "shared_dir", "table", "text_or_empty", "tokenizer_path", "worker_cache", "written"]
 #: Rows of one Arrow batch, and its bytes: a batch ends with the row that reaches either, so only a single text is larger.
 ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
 
@@ -51,6 +51,26 @@ def worker_cache(owner: str) -> dict:
     return _held.setdefault(owner, {})
 
 
+_limited = False
+
+
+def one_blas_thread() -> None:
+    """A task has one core, but numpy's linear algebra takes as many threads as the executor has cores and lets them spin
+    between calls.  Where it is OpenBLAS, this process gets one from here on; elsewhere nothing changes."""
+    global _limited
+    if _limited:
+        return
+    _limited = True
+    with contextlib.suppress(OSError):
+        with open("/proc/self/maps") as f:
+            paths = {line.split()[-1] for line in f if "openblas" in line}
+        for path in paths:
+            library = ctypes.CDLL(path)
+            for name in ("openblas_set_num_threads", "openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "scipy_openblas_set_num_threads64_"):
+                if set_threads := getattr(library, name, None):
+                    set_threads(1)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, text_or_empty, worker_cache
+from .common import fresh, one_blas_thread, text_or_empty, worker_cache
 
 SAMPLE, SAMPLE_LINES, SAMPLE_BYTES = 4096, 64, 1 << 18
 #: Bytes that are described at once, unless a line is longer.
@@ -325,6 +325,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("line_crf")
+        one_blas_thread()
         for batch in batches:
             rows, chars, n_lines = describe([t.as_py() for t in batch.column("text")])
             stops = np.cumsum(n_lines)
@@ -349,6 +350,7 @@ def quality(text: Column, model: LineCrf) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         worker_cache("line_crf")
+        one_blas_thread()
         for column in batches:
             texts = [t.as_py() or b"" for t in column]
             if not texts:
@@ -367,6 +369,7 @@ def line_labels(text: Column, model: LineCrf) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         worker_cache("line_crf")
+        one_blas_thread()
         for column in batches:
             rows, _, n_lines = describe([t.as_py() or b"" for t in column])
             p = model.lines(rows, n_lines) if len(rows) else np.zeros(0)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from .common import worker_cache, written
+from .common import one_blas_thread, worker_cache, written
 
 CLASSES, DIM, NOISE, BATCH, ROUNDS, RATE = 1024, 16, 16, 512, 2, 0.2
 GROUPS, GROUP_WORDS, GROUP_NOISE, GROUP_BATCH, GROUP_RATE = 384, 64, 16, 8192, 0.1
@@ -445,6 +445,7 @@ def train(ranked: DataFrame, words: Words, sent, model: Model, inner: Inner, rou
 
 def _words(sent) -> Words:
     """The broadcast words, made ready once for each worker."""
+    one_blas_thread()
     value, held = sent.value, worker_cache("lm")
     if held.get("of") is not value:
         held.clear()

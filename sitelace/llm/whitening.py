@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, worker_cache
+from .common import fresh, one_blas_thread, worker_cache
 
 TOLERANCE, ACCEPTED, RANK = 1e-14, 1e-10, 1e-11
 #: Vectors of the block beyond those wanted, rounds at most, and rounds without progress after which rounding is to blame.
@@ -95,6 +95,7 @@ def _totals(df: DataFrame, fixed: FixedPoint) -> tuple[int, np.ndarray]:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("whitening")
+        one_blas_thread()
         total = np.zeros(size, np.int64)
         for batch in batches:
             total += fixed.vectors(batch.column(0), size)[1].sum(axis=0)
@@ -113,6 +114,7 @@ def _summed(df: DataFrame, fixed: FixedPoint, n: int, sums: np.ndarray, shape: t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("whitening")
+        one_blas_thread()
         total = np.zeros(cells)
         for batch in batches:
             x = fixed.vectors(batch.column(0), size)[1]
@@ -224,6 +226,7 @@ def whiten(df: DataFrame, vector: str, model: Whitening) -> DataFrame:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         worker_cache("whitening")
+        one_blas_thread()
         for column in batches:
             inside, x = fixed.vectors(column, len(sums))
             off = centred(x, n, sums)
