@@ -223,14 +223,14 @@ OPENING_OUT_SQL = "SELECT a.rid AS l_rid, best.r_rid, round(best.score, 6) AS sc
 def _openings(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """The first four words of every document, and the same without their third letter."""
     words = F.split(text.key_relaxed(F.coalesce("text", F.lit(""))), " ")
-    whole = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rid"), F.trim(F.array_join(F.slice(words, 1, 4), " ")).alias("name"))
+    whole = written(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rid"), F.trim(F.array_join(F.slice(words, 1, 4), " ")).alias("name")), "openings")
     return whole.withColumn("name", F.concat(F.substring("name", 1, 2), F.substring("name", 4, 1_000_000))), whole
 
 
-@query(f"WITH {OPENING_SQL} {OPENING_OUT_SQL} AND best.score >= 70")
+@query(f"WITH {OPENING_SQL} {OPENING_OUT_SQL} AND best.score >= 85")
 def fuzzy_names(spark, sf_dir):
     """JOIN-06, FUZ-05, EXT-01: every document's opening with a letter lost, against all openings, by single edits."""
-    best = alike.fuzzy_best(*_openings(spark, sf_dir), threshold=70.0, backend="edits")
+    best = alike.fuzzy_best(*_openings(spark, sf_dir), threshold=85.0, backend="edits")
     return best.select("l_rid", "r_rid", F.round("score", 6).alias("score"))
 
 

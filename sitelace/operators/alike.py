@@ -41,7 +41,7 @@ from ..session import written
 #: Keys of one class of lengths at most, unless single letters give more; letters of a combination at most.
 COMBINATIONS, LETTERS = 64, 6
 #: Below this share of common letters blocks are cheaper than keys.  A matter of cost alone.
-INDEX_DICE = 0.7
+INDEX_DICE = 0.8
 #: Thresholds of the search without one, as shares of the scorer's top.
 FALLING = (0.9, 0.8, 0.7)
 #: Lengths up to this have classes of their own; beyond, a class is as wide as a factor.
@@ -269,7 +269,7 @@ def best_names(a: DataFrame, b: DataFrame, threshold: float | None, of: Scorer)
     if threshold is not None:
         found = _at_least(rest, b, threshold, of)
         return found if equal is None else found.unionByName(equal)
-    found, waiting, b = [] if equal is None else [equal], written(rest, "waiting"), written(b, "names")
+    found, waiting = [] if equal is None else [equal], written(rest, "waiting")
     for share in FALLING:
         level = share * (of.top or 100.0)
         if of.least_dice(level, 0.0) < INDEX_DICE or waiting.isEmpty():
@@ -283,7 +283,9 @@ def fuzzy_best(left: DataFrame, right: DataFrame, name: str = "name", threshold:
     """(l_rid, r_rid, score): the right row of the most similar name, of equally similar ones the first (JOIN-06).
 
     Distinct names are searched, not rows.  Names without a key match nothing."""
-    keyed = lambda df: df.select("rid", key_relaxed(F.col(name)).alias("k")).where("k <> ''")
+    # Keys are made once: the search reads them several times.
+    keyed = lambda df: written(df.select("rid", key_relaxed(F.col(name)).alias("k")).where("k <> ''"), "keys")
     a, b = keyed(left), keyed(right)
-    best = best_names(a.select(F.col("k").alias("x")).distinct(), b.groupBy(F.col("k").alias("y")).agg(F.min("rid").alias("r_rid")), threshold, scorer(backend))
+    names = written(b.groupBy(F.col("k").alias("y")).agg(F.min("rid").alias("r_rid")), "names")
+    best = best_names(a.select(F.col("k").alias("x")).distinct(), names, threshold, scorer(backend))
     return a.join(best, F.col("k") == F.col("x")).select(F.col("rid").alias("l_rid"), (-F.col("b.minus")).alias("r_rid"), F.col("b.score").alias("score"))

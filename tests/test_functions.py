@@ -138,7 +138,7 @@ def brute_score(x, y, of):
     return fuzzy.score_keys(x, y, of.name)
 
 
-@pytest.mark.parametrize(("of", "threshold"), [(fuzzy.DIFFLIB, 65), (fuzzy.DIFFLIB, 80), (fuzzy.INDEL, 70), (fuzzy.INDEL, 85), (fuzzy.EDITS, 75), (fuzzy.EDITS, 50)], ids=lambda v: getattr(v, "name", v))
+@pytest.mark.parametrize(("of", "threshold"), [(fuzzy.DIFFLIB, 65), (fuzzy.DIFFLIB, 80), (fuzzy.INDEL, 70), (fuzzy.INDEL, 85), (fuzzy.EDITS, 75), (fuzzy.EDITS, 85), (fuzzy.EDITS, 50)], ids=lambda v: getattr(v, "name", v))
 def test_index_loses_no_pair(spark, of, threshold):
     """Of 200 x 200 invented names; none that scores enough is lost, and pairs come once."""
     r = random.Random(5)
