@@ -328,6 +328,15 @@ def knn_anywhere(spark, sf_dir):
     return join.knn(*_ground(spark, sf_dir), 3).select("l_rid", "place", F.round("d", 2).alias("d"))
 
 
+@query(
+    f"""WITH {PARTS_SQL} {GROUND_SQL} p AS (SELECT c.rid AS l_rid, q.rid AS r_rid, {distance_sql("c", "q")} AS d FROM c, q WHERE c.lat IS NOT NULL AND q.lat IS NOT NULL)
+    SELECT l_rid, CAST(n AS INT) AS place, round(d, 2) AS d FROM (SELECT *, row_number() OVER (PARTITION BY l_rid ORDER BY d, r_rid) AS n FROM p WHERE d <= 20000) WHERE n <= 3"""
+)
+def knn_dense(spark, sf_dir):
+    """JOIN-01, JOIN-03 where a third of the parts lie in a few cells: three nearest within 20 km of every customer."""
+    return join.knn(*_ground(spark, sf_dir), 3, 20_000.0).select("l_rid", "place", F.round("d", 2).alias("d"))
+
+
 @query(f"WITH {SITES_SQL} SELECT rid, name FROM sites WHERE lat IS NULL OR lon IS NULL ORDER BY rid LIMIT 10")
 def coordinate_gaps(spark, sf_dir):
     """LIM-02, UPD-04: the rows that an error about missing coordinates shows."""

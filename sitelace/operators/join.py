@@ -1,7 +1,8 @@
 """Distance and key joins (JOIN-01 to 14; the search by similar name is in `alike`).
 
 Sides are tables with a `rid` that orders them; ties go to the smaller one.  Distance joins look at distinct coordinates
-first, so a crowd of rows on one spot is one point, and meet on grid cells; none of them is a cross join.
+first, so a crowd of rows on one spot is one point, and meet on grid cells; none of them is a cross join.  Cells with more
+points than a task should meet are dealt into blocks, and nearest searches go down a pyramid of counts there.
 """
 
 from __future__ import annotations
@@ -12,61 +13,114 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import Grid, haversine_m, valid
+from ..session import written
 from .nearest import nearest, nearest_k
 
 __all__ = ["exact_first", "exact_prefer_located", "first_rows", "knn", "lookup", "lookup_default", "member", "missing_keys", "nearest", "nearest_k", "nearest_within", "points", "proximity_pairs", "radius_pairs"]
 
 
+#: Rows of a side that meet under one key; right rows of a cell that are met whole by nearest searches; cells to broadcast.
+BLOCK, CROWD, FEW_CELLS = 4096, 256, 100_000
+
+
 def points(df: DataFrame, prefix: str) -> DataFrame:
     """Distinct valid coordinates with the first row on each: `{prefix}_rid`, `{prefix}_lat`, `{prefix}_lon`."""
     at = df.where(valid(F.col("lat"), F.col("lon"))).groupBy("lat", "lon").agg(F.min("rid").alias(f"{prefix}_rid"))
     return at.select(f"{prefix}_rid", F.col("lat").alias(f"{prefix}_lat"), F.col("lon").alias(f"{prefix}_lon"))
 
 
+def _crowded(at: DataFrame, more: int, n: str) -> DataFrame:
+    """Cells of more than so many rows, with their number."""
+    return at.groupBy("at.y", "at.x").agg(F.count("*").alias(n)).where(F.col(n) > more)
+
+
+def _kept(crowds: DataFrame) -> DataFrame | None:
+    """The crowded cells as a written table, broadcast if they are few (else the planner chooses); None without any."""
+    crowds = written(crowds, "crowds")
+    n = crowds.count()
+    return None if n == 0 else F.broadcast(crowds) if n <= FEW_CELLS else crowds
+
+
+def _met(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of both sides whose cells `at` are equal, each pair once.
+
+    A cell with more than BLOCK rows of a side has that side dealt into blocks, and its pairs of blocks are keys of their
+    own, so a task's share doesn't grow with the crowd.  Points are told apart by their coordinates.
+    """
+    crowds = _crowded(left, BLOCK, "nl").join(_crowded(right, BLOCK, "nr"), ["y", "x"], "full")
+    blocks = lambda n: F.ceil(F.coalesce(F.col(n), F.lit(1)) / BLOCK).cast("int")
+    crowds = _kept(crowds.select("y", "x", blocks("nl").alias("l_blocks"), blocks("nr").alias("r_blocks")))
+    if crowds is None:
+        return left.join(right, (left["at"]["y"] == right["at"]["y"]) & (left["at"]["x"] == right["at"]["x"])).drop("at")
+
+    def dealt(df: DataFrame, side: str, other: str) -> DataFrame:
+        df = df.select("*", F.col("at.y").alias("y"), F.col("at.x").alias("x")).drop("at").join(crowds, ["y", "x"], "left")
+        mine, theirs = F.coalesce(f"{side}_blocks", F.lit(1)), F.coalesce(f"{other}_blocks", F.lit(1))
+        df = df.withColumn(f"{side}_block", F.pmod(F.xxhash64(f"{side}_lat", f"{side}_lon"), mine).cast("int"))
+        return df.withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), theirs - 1))).drop("l_blocks", "r_blocks")
+
+    keys = ["y", "x", "l_block", "r_block"]
+    return dealt(left, "l", "r").join(dealt(right, "r", "l"), keys).drop(*keys)
+
+
 def radius_pairs(left: DataFrame, right: DataFrame, radius_m: float) -> DataFrame:
     """Pairs of `points` within the radius, with their distance `d`."""
     grid = Grid(radius_m)
     near = left.withColumn("at", F.explode(grid.around(F.col("l_lat"), F.col("l_lon"))))
     here = right.withColumn("at", grid.cell(F.col("r_lat"), F.col("r_lon")))
-    both = near.join(here, (near["at"]["y"] == here["at"]["y"]) & (near["at"]["x"] == here["at"]["x"])).drop("at")
     d = haversine_m(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon"))
-    return both.withColumn("d", d).where(F.col("d") <= radius_m)
+    return _met(near, here).withColumn("d", d).where(F.col("d") <= radius_m)
+
+
+def _nearest_pairs(left: DataFrame, right: DataFrame, k: int, radius_m: float) -> DataFrame:
+    """(l_lat, l_lon, r_rid, d) of distinct left points: a superset of their k nearest within the radius.
+
+    Cells of more than CROWD right rows are searched down the pyramid of counts, so on dense ground a point looks at a few
+    of its neighbours only; the others are met whole.
+    """
+    grid = Grid(radius_m)
+    here = written(right.withColumn("at", grid.cell(F.col("r_lat"), F.col("r_lon"))), "points")
+    crowds = _kept(_crowded(here, CROWD, "n").select(F.struct("y", "x").alias("at")))
+    if crowds is None:
+        return radius_pairs(left, here.drop("at"), radius_m).select("l_lat", "l_lon", "r_rid", "d")
+    sparse = radius_pairs(left, here.join(crowds, "at", "left_anti").drop("at"), radius_m)
+    near = left.withColumn("at", F.explode(grid.around(F.col("l_lat"), F.col("l_lon")))).join(crowds, "at", "left_semi")
+    near = near.select(F.col("l_rid").alias("rid"), F.col("l_lat").alias("lat"), F.col("l_lon").alias("lon")).distinct()
+    dense = here.join(crowds, "at", "left_semi").select(F.col("r_rid").alias("rid"), F.col("r_lat").alias("lat"), F.col("r_lon").alias("lon"))
+    found = nearest_k(near, dense, k, radius_m).join(left.select("l_rid", "l_lat", "l_lon"), "l_rid")
+    columns = ("l_lat", "l_lon", "r_rid", "d")
+    return sparse.select(*columns).unionByName(found.select(*columns))
 
 
 def _spread(left: DataFrame, found: DataFrame) -> DataFrame:
     """From points back to all rows that lie on them."""
     rows = left.where(valid(F.col("lat"), F.col("lon"))).select(F.col("rid").alias("l_rid"), F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"))
-    return rows.join(found.drop("l_rid"), ["l_lat", "l_lon"]).select("l_rid", "r_rid", "d")
+    return rows.join(found, ["l_lat", "l_lon"]).drop("l_lat", "l_lon")
 
 
 def nearest_within(left: DataFrame, right: DataFrame, radius_m: float) -> DataFrame:
     """(l_rid, r_rid, d): the nearest right row within the radius, of equally near ones the first (JOIN-01)."""
-    pairs = radius_pairs(points(left, "l"), points(right, "r"), radius_m)
+    pairs = _nearest_pairs(written(points(left, "l"), "points"), points(right, "r"), 1, radius_m)
     best = pairs.groupBy("l_lat", "l_lon").agg(F.min(F.struct("d", "r_rid")).alias("b"))
-    return _spread(left, best.select("l_lat", "l_lon", F.lit(0).alias("l_rid"), F.col("b.r_rid").alias("r_rid"), F.col("b.d").alias("d")))
+    return _spread(left, best.select("l_lat", "l_lon", "b.r_rid", "b.d")).select("l_rid", "r_rid", "d")
 
 
 def knn(left: DataFrame, right: DataFrame, k: int, radius_m: float | None = None) -> DataFrame:
     """(l_rid, r_rid, d, place): the k nearest right rows, within a radius if one is given, by distance, then rid (JOIN-03)."""
     if radius_m is None:
         return nearest_k(left, right, k)
-    grid = Grid(radius_m)
-    a = left.where(valid(F.col("lat"), F.col("lon"))).select(F.col("rid").alias("l_rid"), F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"))
     b = right.where(valid(F.col("lat"), F.col("lon"))).select(F.col("rid").alias("r_rid"), F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
     # No spot can give more than k of its rows.
     spot = Window.partitionBy("r_lat", "r_lon").orderBy("r_rid")
     b = b.withColumn("n", F.row_number().over(spot)).where(F.col("n") <= k).drop("n")
-    near = a.withColumn("at", F.explode(grid.around(F.col("l_lat"), F.col("l_lon"))))
-    here = b.withColumn("at", grid.cell(F.col("r_lat"), F.col("r_lon")))
-    both = near.join(here, (near["at"]["y"] == here["at"]["y"]) & (near["at"]["x"] == here["at"]["x"]))
-    both = both.withColumn("d", haversine_m(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon"))).where(F.col("d") <= radius_m)
-    ranked = both.withColumn("place", F.row_number().over(Window.partitionBy("l_rid").orderBy("d", "r_rid")))
-    return ranked.where(F.col("place") <= k).select("l_rid", "r_rid", "d", "place")
+    pairs = _nearest_pairs(written(points(left, "l"), "points"), b, k, radius_m)
+    ranked = pairs.withColumn("place", F.row_number().over(Window.partitionBy("l_lat", "l_lon").orderBy("d", "r_rid")))
+    return _spread(left, ranked.where(F.col("place") <= k)).select("l_rid", "r_rid", "d", "place")
 
 
 def proximity_pairs(df: DataFrame, radius_m: float) -> DataFrame:
     """(i, j, d) of distinct spots, i < j by their first rows (JOIN-14)."""
-    spots = points(df, "l")
+    spots = written(points(df, "l"), "points")
     other = spots.select(F.col("l_rid").alias("r_rid"), F.col("l_lat").alias("r_lat"), F.col("l_lon").alias("r_lon"))
     pairs = radius_pairs(spots, other, radius_m).where("l_rid < r_rid")
     return pairs.select(F.col("l_rid").alias("i"), F.col("r_rid").alias("j"), "d")

@@ -49,10 +49,12 @@ def _bounds(level: int) -> tuple[Column, Column]:
     return F.greatest(F.lit(0.0), centre - reach), centre + reach
 
 
-def _pruned(met: DataFrame, level: int, k: int) -> DataFrame:
-    """Squares that may hold one of the k nearest of their point."""
+def _pruned(met: DataFrame, level: int, k: int, within: float | None) -> DataFrame:
+    """Squares that may hold one of the k nearest of their point, and begin within the radius if there is one."""
     low, high = _bounds(level)
     near = met.withColumns({"low": low, "high": high})
+    if within is not None:
+        near = near.where(F.col("low") <= within * (1 + 1e-9) + 1e-3)
     mine = Window.partitionBy("p")
     held = F.sum("n").over(mine.orderBy("high", "y", "x").rowsBetween(Window.unboundedPreceding, 0))
     near = near.withColumn("held", held)
@@ -61,7 +63,7 @@ def _pruned(met: DataFrame, level: int, k: int) -> DataFrame:
     return kept.select("p", "p_lat", "p_lon", "y", "x", "n")
 
 
-def candidates(points: DataFrame, right: DataFrame, k: int) -> tuple[DataFrame, int]:
+def candidates(points: DataFrame, right: DataFrame, k: int, within: float | None = None) -> tuple[DataFrame, int]:
     """(squares of each point, their level): every point's k nearest lie in its squares."""
     level = STEP
     roots = [F.struct(F.lit(r["y"]).alias("y"), F.lit(r["x"]).alias("x"), F.lit(r["n"]).alias("n")) for r in _at(right, level).groupBy("y", "x").agg(F.count("*").alias("n")).collect()]  # 16 at most
@@ -69,7 +71,7 @@ def candidates(points: DataFrame, right: DataFrame, k: int) -> tuple[DataFrame,
         return points.select("p", "p_lat", "p_lon", F.lit(0).cast("bigint").alias("y"), F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("n")).limit(0), level
     met = points.select("p", "p_lat", "p_lon", F.explode(F.array(*roots)).alias("s")).select("p", "p_lat", "p_lon", "s.*")
     while True:
-        squares = written(_pruned(met, level, k), "squares")
+        squares = written(_pruned(met, level, k, within), "squares")
         most = squares.groupBy("p").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
         if most is None or most <= max(FEW, 4 * k) or level >= DEEPEST:
             return squares, level
@@ -79,17 +81,19 @@ def candidates(points: DataFrame, right: DataFrame, k: int) -> tuple[DataFrame,
         met = outer.join(inner, ["up_y", "up_x"]).select("p", "p_lat", "p_lon", "y", "x", "n")
 
 
-def nearest_k(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+def nearest_k(left: DataFrame, right: DataFrame, k: int, within: float | None = None) -> DataFrame:
     """(l_rid, r_rid, d, place): the k nearest right rows of every located left row, by distance, then rid; all of them if
-    there are no more than k."""
+    there are no more than k.  With a radius, only rows within it."""
     rows = left.where(valid(F.col("lat"), F.col("lon"))).select(F.col("rid").alias("l_rid"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
     points = written(rows.groupBy("p_lat", "p_lon").agg(F.min("l_rid").alias("p")), "points")
     spot = Window.partitionBy("lat", "lon").orderBy("r_rid")
     there = right.where(valid(F.col("lat"), F.col("lon"))).select(F.col("rid").alias("r_rid"), "lat", "lon")
     there = written(there.withColumn("turn", F.row_number().over(spot)).where(F.col("turn") <= k).drop("turn"), "points")
-    squares, level = candidates(points, there, k)
+    squares, level = candidates(points, there, k, within)
     d = haversine_m(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lon"))
     pairs = squares.drop("n").join(_at(there, level), ["y", "x"]).select("p", "r_rid", d.alias("d"))
+    if within is not None:
+        pairs = pairs.where(F.col("d") <= within)
     ranked = pairs.withColumn("place", F.row_number().over(Window.partitionBy("p").orderBy("d", "r_rid"))).where(F.col("place") <= k)
     return rows.join(points, ["p_lat", "p_lon"]).join(ranked, "p").select("l_rid", "r_rid", "d", "place")
 

@@ -58,6 +58,41 @@ def test_no_nested_loops(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def crowd(seed, n):
+    """Half of the points within some hundred metres, the others scattered around; some share a spot."""
+    r = random.Random(seed)
+    rows = [(i, 4.5 + r.gauss(0, 0.0005 if i % 2 else 0.1), -74 + r.gauss(0, 0.0005 if i % 2 else 0.1), None, None) for i in range(n)]
+    return rows + [(n + i, *rows[i][1:]) for i in range(20)]
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_nearest_within_on_dense_ground(spark, monkeypatch, k):
+    monkeypatch.setattr(join, "CROWD", 16)
+    monkeypatch.setattr(join, "BLOCK", 32)
+    left, right = crowd(5, 300), crowd(6, 260)
+    a, b = spark.createDataFrame(left, ROW), spark.createDataFrame(right, ROW)
+    found = join.nearest_within(a, b, 3000.0).withColumn("place", F.lit(1)) if k == 1 else join.knn(a, b, k, 3000.0)
+    got = {(r["l_rid"], r["place"]): (round(r["d"], 3), r["r_rid"]) for r in found.collect()}
+    want = {}
+    for i, lat, lon, *_ in left:
+        near = sorted((d, r[0]) for r in right if (d := meters((lat, lon), (r[1], r[2]))) <= 3000.0)[:k]
+        want |= {(i, n): (round(d, 3), j) for n, (d, j) in enumerate(near, 1)}
+    assert got.keys() == want.keys() and all(abs(got[x][0] - want[x][0]) <= 2e-3 for x in want)
+    assert sum(got[x][1] != want[x][1] for x in want) <= 2  # rounding may swap equal distances
+
+
+def test_crowded_cells_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(join, "BLOCK", 32)
+    rows = spark.createDataFrame(crowd(7, 400), ROW)
+    left, right = join.points(rows, "l"), join.points(rows, "r")
+    got = join.radius_pairs(left, right, 3000.0)
+    seen = [(r["l_rid"], r["r_rid"]) for r in got.collect()]
+    at = {r["l_rid"]: (r["l_lat"], r["l_lon"]) for r in left.collect()}
+    assert len(seen) == len(set(seen)) and set(seen) == {(i, j) for i in at for j in at if meters(at[i], at[j]) <= 3000.0}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_block" in plan and "r_block" in plan
+
+
 def test_nearest_unbounded(spark):
     left, right = places(2, 40, "globe"), places(3, 30, "globe")
     got = {r["l_rid"]: r["r_rid"] for r in join.nearest(spark.createDataFrame(left, ROW), spark.createDataFrame(right, ROW)).collect()}
