@@ -691,6 +691,19 @@ def element_flatten(spark, sf_dir):
     return rows.select("element_type", "element_id", "lat", "lon", "name_raw", "tags_count", "timestamp")
 
 
+@query(
+    """SELECT doc_id, reason, count(*) AS n FROM (
+      SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '{"n": ' || n_chars || '}' WHEN 1 THEN '[' || n_chars WHEN 2 THEN NULL WHEN 3 THEN '  ' ELSE '["' || source || '"]' END AS p FROM documents) t,
+    LATERAL (SELECT CASE WHEN p IS NULL OR trim(p) = '' THEN 'no payload' WHEN NOT json_valid(p) THEN 'not JSON' END AS reason) WHERE reason IS NOT NULL GROUP BY ALL"""
+)
+def rejected_payloads(spark, sf_dir):
+    """SEM-02, SRC-08: payloads without JSON and why."""
+    k = F.col("doc_id") % 5
+    said = F.when(k == 0, F.concat(F.lit('{"n": '), "n_chars", F.lit("}"))).when(k == 1, F.concat(F.lit("["), "n_chars")).when(k == 3, "  ").when(k == 4, F.concat(F.lit('["'), "source", F.lit('"]')))
+    docs = table(spark, sf_dir, "documents").select("doc_id", said.alias("payload"))
+    return semistructured.split_payloads(docs)[1].groupBy("doc_id", "reason").agg(F.count("*").alias("n"))
+
+
 @query(
     MATCHES_SQL
     + f""", u AS (SELECT a.* FROM a WHERE rid NOT IN (SELECT l_rid FROM m) AND lat IS NOT NULL),

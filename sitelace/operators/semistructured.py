@@ -29,6 +29,18 @@ def payload_items(payload: Column) -> Column:
     return F.when(v.isNull(), F.array().cast("array<variant>")).when(is_list, itself).otherwise(F.coalesce(collection, *(F.when(F.schema_of_variant(F.try_variant_get(v, f"$.{k}", "variant")).startswith("ARRAY"), x) for k, x in zip(LIST_KEYS, lists, strict=True)), F.array(v)))
 
 
+def split_payloads(df: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """(payloads that are JSON, the others with a `reason`): what the source said of its failure in a column `error`, else
+    `no payload` for null and blank text, else `not JSON`."""
+    text = F.col(payload)
+    blank = text.isNull() | (F.trim(text) == "")
+    reason = F.when(blank, "no payload").when(F.try_parse_json(text).isNull(), "not JSON")
+    if "error" in df.columns:
+        reason = F.coalesce(F.col("error"), reason)
+    told = df.withColumn("reason", reason)
+    return told.where("reason IS NULL").drop("reason"), told.where("reason IS NOT NULL")
+
+
 def _object(v: Column, path: str) -> Column:
     """An object's members as text; null if there is none."""
     held = F.try_variant_get(v, path, "map<string,variant>")

@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
+from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 # Retry policies, page size and timeouts of the services.
 RETRIED = (429, 500, 502, 503, 504)
-PAGE_IDS = 1800
+PAGE_IDS, PAGE_PAUSE = 1800, 0.1
 MAP_TRIES, MAP_PAUSE, MAP_TIMEOUT = 4, 2.0, 180
 LINES_TIMEOUT = 400
 SERVICE_TRIES, SERVICE_BACKOFF = 5, 0.4
+#: Requests that a service sees at a time.
+AT_ONCE = 4
 ENDPOINT_TRIES, ENDPOINT_PAUSE, ENDPOINT_TIMEOUT = 3, 1.0, 30
 
 
@@ -103,8 +107,13 @@ class _MapReader(_Reader):
 
 
 class FeatureService(DataSource):
-    """Format `feature_service`: option url (the layer).  Object ids are listed once, sorted, and read in pages of
-    `page` ids, a partition each; a row for each feature, as GeoJSON text."""
+    """Format `feature_service`: option url (the layer).  A row for each feature, as GeoJSON text.
+
+    Object ids are listed once, sorted, and read in pages of `page` ids; the service sees at most `at_once` requests at a
+    time, and each reader waits `pause` seconds between two of its pages.  As a stream, a batch is the next `at_once`
+    pages and its offset the last id, so what the checkpoint holds isn't fetched again, and later runs read objects of
+    greater ids only.  No objects: the batch reader raises, a stream waits.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -116,23 +125,82 @@ class FeatureService(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _ServiceReader(self.options)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _ServiceStream(self.options)
+
+
+class _Layer:
+    """A layer's ids and pages."""
+
+    def __init__(self, options: dict[str, str]):
+        self.options = o = dict(options)
+        self.page, self.at_once = int(o.get("page", PAGE_IDS)), int(o.get("at_once", AT_ONCE))
+        self.pause = float(o.get("pause", PAGE_PAUSE))
+        if self.page < 1 or self.at_once < 1:
+            raise ValueError("page and at_once must be 1 or more")
 
-class _ServiceReader(_Reader):
     def _ask(self, **params: str) -> dict:
         o = self.options
         url = f"{o['url'].rstrip('/')}/query?{urllib.parse.urlencode(params)}"
-        return json.loads(get_with_retry(url, int(o.get("tries", SERVICE_TRIES)), float(o.get("backoff", SERVICE_BACKOFF))))
+        answer = json.loads(get_with_retry(url, int(o.get("tries", SERVICE_TRIES)), float(o.get("backoff", SERVICE_BACKOFF))))
+        if "error" in answer:  # such services say errors with status 200
+            raise RuntimeError(f"{url}: {answer['error']}")
+        return answer
+
+    def ids(self) -> list[int]:
+        return sorted(self._ask(where="1=1", returnIdsOnly="true", f="json").get("objectIds") or [])
+
+    def read(self, partition: InputPartition) -> Iterator[tuple[str]]:
+        for i, ids in enumerate(partition.value):
+            if i:
+                time.sleep(self.pause)
+            page = self._ask(objectIds=",".join(map(str, ids)), outFields="*", outSR="4326", f="geojson")
+            for feature in page.get("features", []):
+                yield (json.dumps(feature, ensure_ascii=False),)
+
 
+class _ServiceReader(_Layer, DataSourceReader):
     def partitions(self) -> list[InputPartition]:
-        ids = sorted(self._ask(where="1=1", returnIdsOnly="true", f="json").get("objectIds") or [])
-        if not ids:
+        pages = [list(c) for c in chunked(self.ids(), self.page)]
+        if not pages:
             raise ValueError("the service has no objects")
-        return [InputPartition(list(c)) for c in chunked(ids, int(self.options.get("page", PAGE_IDS)))]
+        return [InputPartition(pages[i :: self.at_once]) for i in range(min(self.at_once, len(pages)))]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple[str]]:
-        page = self._ask(objectIds=",".join(map(str, partition.value)), outFields="*", outSR="4326", f="geojson")
-        for feature in page.get("features", []):
-            yield (json.dumps(feature, ensure_ascii=False),)
+
+class _ServiceStream(_Layer, DataSourceStreamReader):
+    def __init__(self, options: dict[str, str]):
+        super().__init__(options)
+        self.last: int | None = None  # id up to which batches are planned
+        self.started = False
+        self.known: list[int] = []
+
+    def initialOffset(self) -> dict:
+        return {"last": None}
+
+    def _after(self, last: int | None) -> list[int]:
+        return self.known if last is None else self.known[bisect_right(self.known, last) :]
+
+    def latestOffset(self) -> dict:
+        self.started = True
+        if not self._after(self.last):
+            self.known = self.ids()
+        ahead = self._after(self.last)[: self.page * self.at_once]
+        if ahead:
+            self.last = ahead[-1]
+        return {"last": self.last}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        if not self.started:  # a restart: the engine first plans the last batch of its log, then goes on from there
+            self.started, self.last = True, end["last"]
+        if end["last"] is None:
+            return []
+        if not self.known or self.known[-1] < end["last"]:
+            self.known = self.ids()
+        ids = [i for i in self._after(start["last"]) if i <= end["last"]]
+        return [InputPartition([list(c)]) for c in chunked(ids, self.page)]
+
+    def commit(self, end: dict) -> None:
+        pass
 
 
 class JsonEndpoint(DataSource):
@@ -149,25 +217,58 @@ class JsonEndpoint(DataSource):
         return _EndpointReader(self.options)
 
 
+def _json_text(url: str, o: dict[str, str]) -> str:
+    """What an endpoint says; raises the last failure when all tries are spent, and JSON it must be."""
+    headers = {k[7:]: v for k, v in o.items() if k.startswith("header.")}
+    last: Exception | None = None
+    for i in range(int(o.get("tries", ENDPOINT_TRIES))):
+        if i:
+            time.sleep(float(o.get("pause", ENDPOINT_PAUSE)))
+        try:
+            text = fetch(url, None, headers, ENDPOINT_TIMEOUT)
+            json.loads(text)
+            return text
+        except (OSError, ValueError) as e:
+            last = e
+    raise RuntimeError(f"{url}: {last}")
+
+
 class _EndpointReader(_Reader):
     def read(self, partition: InputPartition) -> Iterator[tuple[str, str]]:
-        o = self.options
-        headers = {k[7:]: v for k, v in o.items() if k.startswith("header.")}
-        last: Exception | None = None
-        for _ in range(int(o.get("tries", ENDPOINT_TRIES))):
-            try:
-                text = fetch(o["url"], None, headers, ENDPOINT_TIMEOUT)
-                json.loads(text)
-                yield o["url"], text
-                return
-            except (OSError, ValueError) as e:
-                last = e
-                time.sleep(float(o.get("pause", ENDPOINT_PAUSE)))
-        raise RuntimeError(f"{o['url']}: {last}")
+        yield self.options["url"], _json_text(self.options["url"], self.options)
+
+
+class JsonEndpoints(DataSource):
+    """Format `json_endpoints`: option urls (apart by blanks), and header.NAME.  A partition and a row for each: url,
+    payload, error.  One that fails has no payload but its error, and the others go on (SRC-08)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "json_endpoints"
+
+    def schema(self) -> str:
+        return "url string, payload string, error string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _EndpointsReader(self.options)
+
+
+class _EndpointsReader(_Reader):
+    def partitions(self) -> list[InputPartition]:
+        urls = re.findall(r"\S+", self.options["urls"])
+        if not urls:
+            raise ValueError("no endpoints")
+        return [InputPartition(u) for u in urls]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple[str, str | None, str | None]]:
+        try:
+            yield partition.value, _json_text(partition.value, self.options), None
+        except (RuntimeError, ValueError) as e:  # ValueError: no URL at all
+            yield partition.value, None, str(e)
 
 
 def register(spark: SparkSession) -> None:
-    for source in (MapElements, FeatureService, JsonEndpoint):
+    for source in (MapElements, FeatureService, JsonEndpoint, JsonEndpoints):
         spark.dataSource.register(source)
 
 

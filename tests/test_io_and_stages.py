@@ -2,7 +2,8 @@
 
 import json
 import threading
-from http.server import BaseHTTPRequestHandler, HTTPServer
+import time
+from http.server import BaseHTTPRequestHandler, HTTPServer, ThreadingHTTPServer
 from urllib.parse import parse_qs, urlparse
 
 import pytest
@@ -14,7 +15,7 @@ from sitelace.operators.semistructured import ELEMENT
 from sitelace.plans import schema, stages
 from sitelace.sinks import export
 from sitelace.sources import files, http
-from sitelace.streaming.refresh import refresh
+from sitelace.streaming.refresh import drain, refresh
 
 
 class Stub(BaseHTTPRequestHandler):
@@ -77,6 +78,101 @@ def test_failing_endpoints_do_not_stop_others(spark, url, capsys):
     assert "/bad" in capsys.readouterr().err
 
 
+class Layer(BaseHTTPRequestHandler):
+    """A paged service that counts: what was asked for, and how many requests were open at a time."""
+
+    ids: list[int] = []
+    broken: set[int] = set()
+    asked: list[int] = []
+    most = now = 0
+    lock = threading.Lock()
+
+    def do_GET(self):
+        q = parse_qs(urlparse(self.path).query)
+        if "returnIdsOnly" in q:
+            return self._say(200, {"objectIds": Layer.ids})
+        ids = [int(i) for i in q["objectIds"][0].split(",")]
+        with Layer.lock:
+            Layer.now += 1
+            Layer.most = max(Layer.most, Layer.now)
+            Layer.asked += ids
+        time.sleep(0.05)
+        with Layer.lock:
+            Layer.now -= 1
+        if Layer.broken & set(ids):
+            return self._say(200, {"error": {"code": 400}})
+        self._say(200, {"features": [{"properties": {"id": i}} for i in ids]})
+
+    def _say(self, status, body):
+        self.send_response(status)
+        self.end_headers()
+        self.wfile.write(json.dumps(body).encode())
+
+    def log_message(self, *_):
+        pass
+
+
+@pytest.fixture
+def layer():
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Layer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    Layer.ids, Layer.broken, Layer.asked, Layer.most = [], set(), [], 0
+    yield f"http://127.0.0.1:{server.server_port}"
+    server.shutdown()
+
+
+def test_paged_service_sees_few_requests_at_a_time(spark, layer):
+    http.register(spark)
+    Layer.ids = list(range(20, 0, -1))
+    service = spark.read.format("feature_service").option("url", layer).option("page", 2).option("at_once", 2).option("pause", 0)
+    assert service.load().count() == 20 and sorted(Layer.asked) == list(range(1, 21)) and Layer.most <= 2
+    Layer.ids = []
+    with pytest.raises(Exception, match="no objects"):
+        service.load().count()
+
+
+def test_paged_stream_fetches_nothing_twice(spark, layer, tmp_path):
+    http.register(spark)
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+
+    def run():
+        drain(spark.readStream.format("feature_service").option("url", layer).option("page", 2).option("at_once", 2).load(), lambda df: df, out, check)
+        return sorted(json.loads(r["feature"])["properties"]["id"] for r in spark.read.parquet(out).collect())
+
+    Layer.ids = [5, 3, 1, 4, 2]
+    assert run() == [1, 2, 3, 4, 5]
+    Layer.ids = [*range(1, 16)]
+    Layer.broken = {13}
+    with pytest.raises(Exception, match="400"):
+        run()
+    before = list(Layer.asked)
+    assert sorted(set(before)) == [*range(1, 14)] + [14] * (14 in before) + [15] * (15 in before)
+    assert all(before.count(i) == 1 for i in range(1, 10))
+    Layer.broken = set()
+    assert run() == [*range(1, 16)]
+    assert all(Layer.asked.count(i) == 1 for i in range(1, 10)) and Layer.most <= 2
+    n = len(Layer.asked)
+    assert run() == [*range(1, 16)] and len(Layer.asked) == n
+
+
+def test_endpoints_in_partitions(spark, url):
+    http.register(spark)
+    urls = f"{url}/bad {url}/ok\n{url}/also nothing"
+    rows = spark.read.format("json_endpoints").option("urls", urls).option("pause", 0).load()
+    assert rows.rdd.getNumPartitions() == 4
+    good, bad = semistructured.split_payloads(rows)
+    assert sorted(r["url"] for r in good.collect()) == [f"{url}/also", f"{url}/ok"]
+    assert {r["url"]: "500" in r["reason"] for r in bad.collect()} == {f"{url}/bad": True, "nothing": False}
+    assert sorted(r["source"] for r in stages.markers(good).collect()) == ["also", "ok"]
+
+
+def test_rejected_payloads(spark):
+    df = spark.createDataFrame([("{}",), ("null",), (" ",), (None,), ("{",), ("NaN x",)], "payload string")
+    good, bad = semistructured.split_payloads(df)
+    assert {r["payload"] for r in good.collect()} == {"{}", "null"}
+    assert {r["payload"]: r["reason"] for r in bad.collect()} == {" ": "no payload", None: "no payload", "{": "not JSON", "NaN x": "not JSON"}
+
+
 def test_rounds_of_retries():
     calls, naps = [], []
 
