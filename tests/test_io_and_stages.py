@@ -319,6 +319,38 @@ def test_cli(spark, tmp_path):
     assert "left_only_append" in text and (tmp_path / "out/matched.csv").exists()
 
 
+def test_cli_map_sites_and_map(spark, tmp_path):
+    said = [
+        {"type": "node", "id": 1, "lat": 4.5, "lon": -74.0, "tags": {"name": "Torca", "voltage": "115000"}},
+        {"type": "way", "id": 2, "center": {"lat": 6.0, "lon": -75.0}, "nodes": [1, 3], "tags": {"voltage": "500000"}},
+        {"type": "node", "id": 3, "lat": 4.6, "lon": -74.1},
+    ]
+    (tmp_path / "a.json").write_text(json.dumps({"elements": said}))
+    cli.main(["map-sites", "--payload", str(tmp_path / "a.json"), "--out", str(tmp_path / "one")])
+    assert "Torca" in (tmp_path / "one/named.csv").read_text(encoding="utf-8-sig") and len((tmp_path / "one/sites.csv").read_text().splitlines()) == 4
+    (tmp_path / "t.csv").write_text("Nombre;Latitud;Longitud;Tension\nTorca;4,5;-74;115\nNada;;;\n".replace("Latitud", "lat").replace("Longitud", "lon"))
+    cli.main(["map", "--targets", str(tmp_path / "t.csv"), "--payload", str(tmp_path / "a.json"), "--out", str(tmp_path / "eight")])
+    page = (tmp_path / "eight/map.html").read_text()
+    assert page.count("circleMarker") == 1 and page.count("polyline") == 1 and "500 kV" in page
+    (tmp_path / "b.json").write_text("<html>")
+    with pytest.raises(SystemExit, match="not JSON"):
+        cli.main(["map-sites", "--payload", str(tmp_path / "b.json"), "--out", str(tmp_path / "two")])
+    with pytest.raises(SystemExit):
+        cli.main(["map-sites", "--out", str(tmp_path / "two")])
+
+
+def test_cli_markers_and_service(spark, url, layer, tmp_path):
+    cli.main(["markers", "--urls", f"{url}/ok", f"{url}/bad", "--header", "Accept=*/*", "--out", str(tmp_path)])
+    assert "Alfa" in (tmp_path / "ok.csv").read_text(encoding="utf-8-sig")
+    assert json.loads((tmp_path / "ok.geojson").read_text())["features"][0]["geometry"]["coordinates"] == [2.0, 1.0]
+    assert "/bad" in (tmp_path / "rejected.csv").read_text(encoding="utf-8-sig")
+    Layer.ids = [2, 1, 3]
+    cli.main(["service", "--url", layer, "--attribute", "id=code", "--name", "code", "--out", str(tmp_path)])
+    assert len((tmp_path / "service.csv").read_text().splitlines()) == 4 and len(json.loads((tmp_path / "service.geojson").read_text())["features"]) == 3
+    with pytest.raises(SystemExit):
+        cli.main(["service", "--url", layer, "--attribute", "id", "--out", str(tmp_path)])
+
+
 def test_refresh(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
