@@ -11,6 +11,7 @@ from .config import LINK_SITES
 from .functions import fuzzy, geo, parse, text
 from .operators import alike, cascade, cluster, fill, join, palette, reports, semistructured
 from .plans import schema
+from .sinks import export
 from .session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -862,3 +863,26 @@ def geojson_features(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("rid"), F.lit(None).cast("double").alias("note"), F.lit(2.5).alias("lon"), F.lit(1.5).alias("lat"))
     made = features(rows)
     return made.select(F.get_json_object("feature", "$.properties.rid").cast("bigint").alias("rid"), F.lit(1.5).alias("lat"), F.lit(2.5).alias("lon"), "feature")
+
+
+_CELL_SQL = """CASE WHEN {0} IS NULL THEN '' WHEN regexp_matches({0}, '[;"\\r\\n]') THEN '"' || replace({0}, '"', '""') || '"' ELSE {0} END"""
+_QUOTED_SQL = """'"' || replace(coalesce({0}, ''), '"', '""') || '"'"""
+
+
+def _records_sql(quoting: str) -> str:
+    text = (_CELL_SQL if quoting == "minimal" else _QUOTED_SQL).format
+    number = _QUOTED_SQL.format if quoting == "all" else (lambda c: f"CASE WHEN {c} IS NULL THEN '\"\"' ELSE {c} END" if quoting == "nonnumeric" else f"coalesce({c}, '')")
+    return " || ';' || ".join((number("CAST(doc_id AS VARCHAR)"), text("text"), text("source"), number("CAST(n AS VARCHAR)")))
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, text, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE source END AS source, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE n_chars END AS n FROM documents)
+    SELECT 'minimal' AS quoting, md5({_records_sql("minimal")}) AS record, count(*) AS times FROM d GROUP BY ALL UNION ALL SELECT 'nonnumeric', md5({_records_sql("nonnumeric")}), count(*) FROM d GROUP BY ALL
+    UNION ALL SELECT 'all', md5({_records_sql("all")}), count(*) FROM d GROUP BY ALL"""
+)
+def csv_records(spark, sf_dir):
+    """SNK-01 to 03, 06: records of whole documents in the three ways of quoting."""
+    d = table(spark, sf_dir, "documents")
+    d = d.select("doc_id", "text", F.when(F.col("doc_id") % 7 != 0, F.col("source")).alias("source"), F.when(F.col("doc_id") % 5 != 0, F.col("n_chars")).alias("n"))
+    each = [export.csv_lines(d, ";", q).select(F.lit(q).alias("quoting"), F.md5(F.col("line").cast("binary")).alias("record")) for q in ("minimal", "nonnumeric", "all")]
+    return each[0].unionAll(each[1]).unionAll(each[2]).groupBy("quoting", "record").agg(F.count("*").alias("times"))

@@ -26,7 +26,7 @@ def palette(levels: DataFrame, kv: str = "kv") -> DataFrame:
 
 
 def coloured(df: DataFrame, colours: DataFrame, default: str, kv: str = "kv") -> DataFrame:
-    return df.join(F.broadcast(colours.withColumnRenamed("kv", "level")), F.col(kv) == F.col("level"), "left").withColumn("colour", F.coalesce("colour", F.lit(default))).drop("level")
+    return df.join(colours.withColumnRenamed("kv", "level"), F.col(kv) == F.col("level"), "left").withColumn("colour", F.coalesce("colour", F.lit(default))).drop("level")
 
 
 def line_weight(kv: Column) -> Column:

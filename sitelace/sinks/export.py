@@ -1,15 +1,18 @@
-"""Exporters (SNK-01 to 10).  Rows are streamed to one file partition by partition, in order."""
+"""Exporters (SNK-01 to 10).  `write_csv` and the like stream rows to one file of a person's size, partition by partition, in
+order; `write_csv_parts` and `write_feature_parts` write large tables from all tasks at once."""
 
 from __future__ import annotations
 
 import csv
 import html
+import io
 import json
 import math
+import re
 from collections.abc import Iterator
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.semistructured import header_keys, wide
@@ -39,6 +42,49 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", bom: bool = True, quotin
     return n
 
 
+def csv_lines(df: DataFrame, sep: str = ",", quoting: str = "minimal", quote: str = '"', newline: str = "\n") -> DataFrame:
+    """(line): each row as a record of `write_csv`, in column expressions.  Null and NaN are empty; numbers are Spark's text of
+    them (very large and very small ones as 1.0E20); columns must cast to text."""
+    if quoting not in ("minimal", "nonnumeric", "all"):
+        raise ValueError(f"unknown quoting {quoting}")
+    special = "[" + "".join(re.escape(c) for c in dict.fromkeys((sep, quote, "\r", "\n", *newline))) + "]"
+
+    def cell(name: str, kind: str) -> Column:
+        c = F.col("`" + name.replace("`", "``") + "`")
+        number = kind in ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
+        text = F.initcap(c.cast("string")) if kind == "boolean" else c.cast("string")
+        if kind in ("float", "double"):
+            text = F.when(~F.isnan(c), text)
+        quoted = F.concat(F.lit(quote), F.replace(F.coalesce(text, F.lit("")), F.lit(quote), F.lit(quote * 2)), F.lit(quote))
+        if quoting == "all":
+            return quoted
+        if quoting == "nonnumeric":
+            return F.coalesce(text, quoted) if number else quoted
+        needs = text.rlike(special)
+        if len(df.columns) == 1:  # an empty line would be no record
+            needs = needs | text.isNull() | (text == "")
+        return F.when(needs, quoted).otherwise(F.coalesce(text, F.lit("")))
+
+    return df.select(F.concat_ws(sep, *(cell(n, k) for n, k in df.dtypes)).alias("line"))
+
+
+def write_csv_parts(df: DataFrame, folder: str, sep: str = ",", bom: bool = True, quoting: str = "minimal", newline: str = "\n", quote: str = '"') -> None:
+    """A folder in which every task writes its own part, UTF-8, by Spark's commit protocol.  The first part holds the header
+    alone (and the byte order mark), so the parts one after the other are the file that `write_csv` gives; of an empty
+    table it is the only one with content."""
+    names = io.StringIO()
+    kinds = {"minimal": csv.QUOTE_MINIMAL, "nonnumeric": csv.QUOTE_NONNUMERIC, "all": csv.QUOTE_ALL}
+    csv.writer(names, delimiter=sep, quoting=kinds[quoting], lineterminator="", quotechar=quote).writerow(df.columns)
+    head = df.sparkSession.range(0, 1, 1, 1).select(F.lit((BOM if bom else "") + names.getvalue()).alias("line"))
+    head.unionAll(csv_lines(df, sep, quoting, quote, newline)).write.option("lineSep", newline).text(folder)
+
+
+def write_feature_parts(feature_rows: DataFrame, folder: str) -> None:
+    """A folder of parts with one GeoJSON feature a line (text sequences without a collection around them); feature_rows as
+    of `features`."""
+    feature_rows.select("feature").write.text(folder)
+
+
 def write_dialect(df: DataFrame, path: str, dialect: Dialect) -> int:
     """In the dialect that a table was read in; plain UTF-8 gets a byte order mark."""
     plain = dialect.encoding.lower().replace("_", "-") in ("utf-8", "utf-8-sig")

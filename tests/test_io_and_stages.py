@@ -220,6 +220,31 @@ def test_exports(spark, tmp_path):
                 assert list(json.loads(said)) == (["crs", "features", "type"] if sort_keys else ["type", "features"])
 
 
+def parts(folder):
+    return b"".join(p.read_bytes() for p in sorted(folder.glob("part-*")))
+
+
+@pytest.mark.parametrize("quoting", ["minimal", "nonnumeric", "all"])
+@pytest.mark.parametrize(("sep", "newline"), [(";", "\n"), ("|", "\r\n")])
+def test_parts_are_the_file(spark, tmp_path, quoting, sep, newline):
+    rows = [("x", None, 1.5, True, 3), ('a "b"', "c;d|e", float("nan"), None, -1), ("l\nm\r", "", 2.25, False, None), (None, " ", None, True, 0)]
+    df = spark.createDataFrame(rows, "`a;b` string, b string, c double, d boolean, e bigint").repartitionByRange(3, "c").sortWithinPartitions("c")
+    for name, table in (("rows", df), ("none", df.limit(0)), ("one", df.select("b"))):
+        export.write_csv(table, str(tmp_path / f"{name}.csv"), sep, True, quoting, newline)
+        export.write_csv_parts(table, str(tmp_path / name), sep, True, quoting, newline)
+        assert parts(tmp_path / name) == (tmp_path / f"{name}.csv").read_bytes()
+    assert len(list((tmp_path / "rows").glob("part-*"))) > 2
+    with pytest.raises(ValueError):
+        export.csv_lines(df, quoting="some")
+
+
+def test_feature_parts(spark, tmp_path):
+    df = spark.createDataFrame([("x\ny", 1.5, 2.5), (None, None, 1.0)], "b string, lon double, lat double").repartition(2)
+    export.write_feature_parts(export.features(df), str(tmp_path / "f"))
+    said = [json.loads(x) for x in parts(tmp_path / "f").decode().splitlines()]
+    assert sorted(str(x["properties"]["b"]) for x in said) == ["None", "x\ny"]
+
+
 def test_union_of_keys(spark, tmp_path):
     payload = '[{"b": 1, "lat": "1,5", "lon": 2}, {"a": "x;y", "b": 2}]'
     rows = semistructured.flatten_features(spark.createDataFrame([(payload,), ("no JSON {",), (None,)], "payload string"), "payload")
