@@ -43,6 +43,12 @@ def test_accents(spark):
     assert values(spark, text.strip_accents, xs) == values(spark, text.strip_accents_exact, xs)
 
 
+def test_strip_accents_on_every_code_point(spark):
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    xs = ["".join(points[i : i + 509]) for i in range(0, len(points), 509)] + [None, "", "한글 Ñandú ﬁn ㈱ x́", "é" * 50_000 + "각"]
+    assert values(spark, text.strip_accents, xs) == [text.folded(x or "") for x in xs]
+
+
 def test_names(spark):
     cases = {"  a​  b\x01 ": "a b", "NaN": "", "(Sin Nombre)": "", "--": "", "﻿X": "X", "é": "é", None: "", "a\nb": "a\nb"}
     assert values(spark, text.clean_name, list(cases)) == list(cases.values())
