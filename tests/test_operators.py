@@ -93,6 +93,18 @@ def test_crowded_cells_meet_in_blocks(spark, monkeypatch):
     assert "l_block" in plan and "r_block" in plan
 
 
+@pytest.mark.parametrize("k", [1, 3])
+def test_nearest_within_lists_few_pairs(spark, k):
+    left = [(i, 4.5 + i / 1e5, -74.0, None, None) for i in range(20)]
+    right = [(i, 4.5 + i % 17 / 1e4, -74.0 - i / 1e5, None, None) for i in range(200)]
+    a, b = (spark.createDataFrame(rows, ROW) for rows in (left, right))
+    pairs = join._nearest_pairs(join.points(a, "l"), join.points(b, "r"), k, 9000.0).collect()
+    assert len(pairs) <= 9 * k * len(left)
+    for i, lat, lon, *_ in left:
+        got = sorted((r["d"], r["r_rid"]) for r in pairs if r["l_lat"] == lat)[:k]
+        assert [j for _, j in got] == [j for _, j in sorted((meters((lat, lon), q[1:3]), q[0]) for q in right)[:k]]
+
+
 def test_nearest_unbounded(spark):
     left, right = places(2, 40, "globe"), places(3, 30, "globe")
     got = {r["l_rid"]: r["r_rid"] for r in join.nearest(spark.createDataFrame(left, ROW), spark.createDataFrame(right, ROW)).collect()}
