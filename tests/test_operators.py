@@ -93,6 +93,21 @@ def test_crowded_cells_meet_in_blocks(spark, monkeypatch):
     assert "l_block" in plan and "r_block" in plan
 
 
+def test_names_found_early_are_out_of_lower_thresholds(spark, monkeypatch):
+    names = [(i, None, None, f"estacion {'abcdefghij'[i] * 4} numero {'qrstuvwxyz'[i] * 4}", None) for i in range(10)]
+    lost = [(i, None, None, name[:2] + name[3:], None) for i, _, _, name, _ in names]
+    seen, search = [], alike.likely_pairs
+
+    def counted(a, b, threshold, of):
+        seen.append((threshold, a.count()))
+        return search(a, b, threshold, of)
+
+    monkeypatch.setattr(alike, "likely_pairs", counted)
+    got = alike.fuzzy_best(spark.createDataFrame(lost, ROW), spark.createDataFrame(names, ROW), threshold=85.0, backend="edits").collect()
+    assert {r["l_rid"]: r["r_rid"] for r in got} == {i: i for i in range(10)}
+    assert seen[0] == (95.0, 10) and seen[-1] == (85.0, 0)
+
+
 @pytest.mark.parametrize("k", [1, 3])
 def test_nearest_within_lists_few_pairs(spark, k):
     left = [(i, 4.5 + i / 1e5, -74.0, None, None) for i in range(20)]
