@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from sitelace.config import MatchConfig
 from sitelace.functions.fuzzy import score_keys
-from sitelace.operators import alike, cascade, cluster, fill, join, palette, reports, semistructured
+from sitelace.operators import alike, cascade, cluster, fill, join, nearest, palette, reports, semistructured
 from sitelace.session import with_row_id
 
 ROW = "rid bigint, lat double, lon double, name string, key string"
@@ -152,6 +152,53 @@ def test_k_nearest_without_a_radius(spark, k):
         assert [d for _, _, d in sorted(found)] == pytest.approx([d for d, _ in every], abs=0.05)
 
 
+def near_model(left, right, k, within=math.inf):
+    held = [x for x in right if x[1] is not None]
+    found = {x[0]: sorted((round(meters(x[1:3], y[1:3]), 4), y[0]) for y in held) for x in left if x[1] is not None}
+    return {i: [d for d, _ in every if d <= within][:k] for i, every in found.items()}
+
+
+def distances(rows):
+    got = {}
+    for r in sorted(rows, key=lambda r: (r["l_rid"], r["place"])):
+        got.setdefault(r["l_rid"], []).append(r["d"])
+        assert r["place"] == len(got[r["l_rid"]])
+    return got
+
+
+def test_nearest_search_writes_few_rows(spark, monkeypatch):
+    """What is written grows with the rows and with nodes of neighbours, not with the candidates of each point."""
+    rows, write = [], nearest.written
+
+    def counted(df, name):
+        out = write(df, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(nearest, "written", counted)
+    r = random.Random(21)
+    left, right = ([(i, math.degrees(math.asin(r.uniform(-1, 1))), r.uniform(-180, 180), None, None) for i in range(700)] for _ in "ab")
+    got = distances(join.knn(*(spark.createDataFrame(x, ROW) for x in (left, right)), 3).collect())
+    assert sum(rows) < 4 * (len(left) + len(right))
+    want = near_model(left, right, 3)
+    assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], abs=0.05) for i in want)
+
+
+@pytest.mark.parametrize(("k", "within"), [(1, None), (5, None), (3, 40_000.0)])
+def test_nearest_search_through_many_levels(spark, monkeypatch, k, within):
+    """Small nodes, so that both sides have many levels: a dense town, the globe, a far crowd, and few points against many."""
+    for name, value in (("MEMBERS", 4), ("TOP", 3), ("PACK", 50), ("PACKED", 60)):
+        monkeypatch.setattr(nearest, name, value)
+    r = random.Random(22)
+    town = [(i, 60 + r.random() / 1e3, 100 + r.random() / 1e3, None, None) for i in range(150)]
+    right = town + [(1000 + i, *x[1:]) for i, x in enumerate(places(23, 40, "city"))]
+    few = [(i, *x[1:]) for i, x in enumerate([*places(24, 40, "globe"), *places(25, 30, "city"), *[(0, 60 + r.random() / 1e3, 100 + r.random() / 1e2, None, None) for _ in range(20)]])]
+    for left, other in ((few, right), (right, few)):
+        got = distances(join.nearest_k(*(spark.createDataFrame(x, ROW) for x in (left, other)), k, within).collect())
+        want = {i: d for i, d in near_model(left, other, k, within or math.inf).items() if d}
+        assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], abs=0.05) for i in want)
+
+
 def test_leaders_of_a_long_line_take_few_rounds(spark, monkeypatch):
     rounds = []
     write = cluster.written
