@@ -184,6 +184,25 @@ def test_nearest_search_writes_few_rows(spark, monkeypatch):
     assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], abs=0.05) for i in want)
 
 
+def test_k_nearest_within_a_radius_writes_few_rows(spark, monkeypatch):
+    """Dense ground within the radius costs boxes, not cells around each point, nor squares of each point level by level."""
+    rows, write = [], nearest.written
+
+    def counted(df, name):
+        out = write(df, name)
+        rows.append(out.count())
+        return out
+
+    for module in (join, nearest):
+        monkeypatch.setattr(module, "written", counted)
+    r = random.Random(27)
+    left, right = ([(i, 60.01 + r.random() / 200, 100.01 + r.random() / 200, None, None) for i in range(600)] for _ in "ab")
+    got = distances(join.knn(*(spark.createDataFrame(x, ROW) for x in (left, right)), 3, 20_000.0).collect())
+    assert sum(rows) < 2 * (len(left) + len(right))
+    want = near_model(left, right, 3, 20_000.0)
+    assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], abs=0.05) for i in want)
+
+
 @pytest.mark.parametrize(("k", "within"), [(1, None), (5, None), (3, 40_000.0)])
 def test_nearest_search_through_many_levels(spark, monkeypatch, k, within):
     """Small nodes, so that both sides have many levels: a dense town, the globe, a far crowd, and few points against many."""
