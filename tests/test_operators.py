@@ -256,6 +256,25 @@ def model_cascade(left, right, config):
     return out
 
 
+def test_cascade_reads_each_stage_once(spark, monkeypatch):
+    """What a stage found is written, so later stages do not search again; the search by place keeps boxes, not crowds of cells."""
+    names, write = [], nearest.written
+
+    def named(df, name):
+        names.append(name)
+        return write(df, name)
+
+    for module in (cascade, join, nearest):
+        monkeypatch.setattr(module, "written", named)
+    a, b = (spark.createDataFrame(places(seed, 60), ROW) for seed in (31, 32))
+    config = MatchConfig(radius_m=3000.0, use_fuzzy=False)
+    matches = cascade.cascade(a, b, config)
+    assert names.count("stage") == 2 and names.count("pairs") <= 1
+    assert "Generate" not in matches._jdf.queryExecution().optimizedPlan().toString()
+    want = model_cascade(places(31, 60), places(32, 60), config)
+    assert {r["l_rid"]: (r["stage"], r["r_rid"]) for r in matches.collect()} == {i: w for i, w in want.items() if w[0] < 2}
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_cascade_and_write_back(spark, seed):
     config = MatchConfig(radius_m=1500.0, fuzzy_threshold=80.0)
